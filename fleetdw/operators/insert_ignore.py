@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ROW = "__row"
-_ORD = "__ord"
 
 
 def _order_struct(tie_break: Sequence[str]) -> Column:
@@ -56,7 +55,7 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
     if target is None:
         return deduped
     existing = target.select(*keys).where(~_any_null(keys))
-    keyed = deduped.where(~_any_null(keys)).join(existing, list(keys), "left_anti")
+    keyed = deduped.where(~_any_null(keys)).join(existing, list(keys), "left_anti").select(*batch.columns)
     return keyed.unionByName(deduped.where(_any_null(keys)))
 
 
@@ -92,5 +91,5 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     if target is None:
         return deduped
     fresh_keys = deduped.select(*keys).where(~_any_null(keys))
-    kept = target.where(~_any_null(keys)).join(fresh_keys, list(keys), "left_anti")
+    kept = target.where(~_any_null(keys)).join(fresh_keys, list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(target.where(_any_null(keys))).unionByName(deduped)

@@ -181,7 +181,7 @@ def dq_xor(source_a: dict[str, DataFrame], std: dict[str, DataFrame]) -> DataFra
 
 
 def dq_time(std: dict[str, DataFrame], as_of: _dt.date = AS_OF) -> DataFrame:  # Q8
-    today = F.lit(_dt.datetime.combine(as_of, _dt.time())).cast("timestamp_ntz")
+    today = F.lit(as_of).cast("date").cast("timestamp_ntz")  # zone-free midnight
     return _union([
         rule_counts(std["std_reserva"], {"std_reserva.reserva_no_futuro": _c("dt_reserva") > today}),
         rule_counts(std["std_locacao"], {"std_locacao.retirada_no_futuro": _c("dt_retirada") > today}),

@@ -14,6 +14,7 @@ Running :func:`load` twice on the same root inserts zero rows the second time.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,12 +74,25 @@ def _count(spark: SparkSession, path: str) -> int:
     return int(spark.read.parquet(path).count())  # parquet footers only
 
 
+def _in_parallel(tasks: dict[str, callable], workers: int = 8) -> None:
+    """Independent Spark jobs submitted from driver threads, so small stages
+    overlap instead of queueing behind each other."""
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = [pool.submit(fn) for fn in tasks.values()]
+        for f in futures:
+            f.result()
+
+
 def stage_std(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
-    """Extract + transform, written once to ``std/`` (drop-and-rebuild semantics)."""
-    shapes = Shapes(spark, sf_dir)
-    std = transform_all(extract_all(shapes.all_sources()))
-    for name, df in std.items():
-        df.write.mode("overwrite").parquet(wh.path("std", name))
+    """Extract + transform of the driver tables, written once to ``std/``."""
+    stage_sources(Shapes(spark, sf_dir).all_sources(), wh)
+
+
+def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse) -> None:
+    """Extract + transform of four source shapes, written to ``std/`` (drop and rebuild)."""
+    std = transform_all(extract_all(sources))
+    _in_parallel({name: (lambda df=df, name=name: df.write.mode("overwrite").parquet(wh.path("std", name)))
+                  for name, df in std.items()})
 
 
 def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
@@ -99,20 +113,28 @@ def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
 def load(spark: SparkSession, wh: Warehouse) -> Warehouse:
     """Dimension then fact loads from ``std/`` into ``dw/`` (insert-ignore)."""
     std = wh.std()
-    tempo_path = wh.path("dw", "dim_tempo")
-    existing_tempo = spark.read.parquet(tempo_path) if wh.exists("dw", "dim_tempo") else None
-    D.dim_tempo_rows(spark, std, existing_tempo).write.mode("append").parquet(tempo_path)
-    wh.counts["dim_tempo"] = _count(spark, tempo_path)
 
-    for name in DIM_ORDER:
+    def tempo() -> None:
+        path = wh.path("dw", "dim_tempo")
+        existing = spark.read.parquet(path) if wh.exists("dw", "dim_tempo") else None
+        D.dim_tempo_rows(spark, std, existing).write.mode("append").parquet(path)
+        wh.counts["dim_tempo"] = _count(spark, path)
+
+    def dim(name: str) -> None:
         existing = spark.read.parquet(wh.path("dw", name)) if wh.exists("dw", name) else None
         _append_dim(wh, name, D.dim_rows(name, std, existing))
 
+    tasks = {"dim_tempo": tempo}
+    tasks.update({name: (lambda name=name: dim(name)) for name in DIM_ORDER})
+    _in_parallel(tasks)
+
     dims = wh.dims()
     builders = {"fato_locacao": (FX.fato_locacao_rows, "std_locacao"),
                 "fato_reserva": (FX.fato_reserva_rows, "std_reserva"),
                 "fato_movimentacao_patio": (FX.fato_movimentacao_rows, "std_movimentacao")}
-    for name, (fn, src) in builders.items():
+
+    def fact(name: str) -> None:
+        fn, src = builders[name]
         path = wh.path("dw", name)
         existing = spark.read.parquet(path) if wh.exists("dw", name) else None
         start = 1
@@ -121,6 +143,8 @@ def load(spark: SparkSession, wh: Warehouse) -> Warehouse:
         rows = assign_unique_key(fn(std[src], dims, existing), FACT_SK[name], start)
         rows.write.mode("append").partitionBy("id_sistema_origem").parquet(path)
         wh.counts[name] = _count(spark, path)
+
+    _in_parallel({name: (lambda name=name: fact(name)) for name in builders})
     return wh
 
 
@@ -130,6 +154,14 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -
     return load(spark, wh)
 
 
+def build_from_sources(spark: SparkSession, sources: dict[str, dict[str, DataFrame]],
+                       root: str | None = None) -> Warehouse:
+    """Full ETL from already-shaped source tables (``sources[letter][table]``)."""
+    wh = Warehouse(spark, root or fresh_scratch(spark, "warehouse"))
+    stage_sources(sources, wh)
+    return load(spark, wh)
+
+
 _CACHE: dict[tuple[int, str], Warehouse] = {}
 
 
