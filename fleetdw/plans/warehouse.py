@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from fleetdw.operators.surrogate import assign_surrogate_key, assign_unique_key
 from fleetdw.plans import dims as D
 from fleetdw.plans import facts as FX
-from fleetdw.plans.transform import transform_all
+from fleetdw.plans.transform import TRANSFORMS
 from fleetdw.session import fresh_scratch
 from fleetdw.sources.adapters import Shapes
 from fleetdw.sources.extract import extract_all
@@ -62,8 +62,6 @@ class Warehouse:
         return {n: self.table(n) for n in names}
 
     def std(self) -> dict[str, DataFrame]:
-        from fleetdw.plans.transform import TRANSFORMS
-
         return {n: self.table(n) for n in TRANSFORMS}
 
     def dims(self) -> FX.Dims:
@@ -90,9 +88,12 @@ def stage_std(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
 
 def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse) -> None:
     """Extract + transform of four source shapes, written to ``std/`` (drop and rebuild)."""
-    std = transform_all(extract_all(sources))
-    _in_parallel({name: (lambda df=df, name=name: df.write.mode("overwrite").parquet(wh.path("std", name)))
-                  for name, df in std.items()})
+    stg = extract_all(sources)
+
+    def write(name: str) -> None:  # each thread builds only the frames its table reads
+        TRANSFORMS[name](stg).write.mode("overwrite").parquet(wh.path("std", name))
+
+    _in_parallel({name: (lambda name=name: write(name)) for name in TRANSFORMS})
 
 
 def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:

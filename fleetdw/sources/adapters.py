@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetdw.schemas import MONEY
+from fleetdw.sources.lazy import Lazy
 from fleetdw.sources.tpch import Tables
 
 SOURCE_INDEX = {"A": 0, "B": 1, "C": 2, "D": 3}
@@ -145,212 +146,262 @@ class Shapes:
         return self.t.part.select("p_type").distinct()
 
     # -- source A: bay_level ------------------------------------------------
-    def source_a(self) -> dict[str, DataFrame]:
+    def source_a(self) -> Lazy:
         t = self.t
-        endereco = t.nation.join(t.region, _c("n_regionkey") == _c("r_regionkey")).select(
-            _c("n_nationkey").alias("idendereco"),
-            F.concat(F.lit("R"), _c("n_regionkey").cast("string")).alias("uf"),
-            _c("n_name").alias("cidade"),
-            _c("r_name").alias("bairro"),
-            _c("n_name").alias("logradouro"),
-            _c("n_nationkey").cast("string").alias("numero"),
-        )
-        patio = t.supplier.select(_c("s_suppkey").alias("idpatio"), _c("s_name").alias("cdpatio"),
-                                  _c("s_nationkey").alias("idendereco"))
-        vaga = t.supplier.select(
-            F.explode(F.sequence(F.lit(0), F.lit(BAYS_PER_YARD - 1))).alias("k"), "s_suppkey"
-        ).select((_c("s_suppkey") * BAYS_PER_YARD + _c("k")).alias("idvaga"),
-                 _c("s_suppkey").alias("idpatio"))
-        categoria = self.groups().select(_c("p_type").alias("idcategoria"),
-                                         _c("p_type").alias("classificacao"))
-        veiculo = t.part.select(
-            _c("p_partkey").alias("idveiculo"), plate("A").alias("placa"),
-            chassis("A").alias("chassi"), _c("p_name").alias("modelo"),
-            (F.lit(1990) + _c("p_size")).alias("ano"), air_con().alias("arcondicionado"),
-            _c("p_type").alias("idcategoria"),
-        )
-        cust = t.customer.select("c_custkey", "c_name", "c_nationkey")
-        pessoafisica = cust.where(~is_company()).select(
-            _c("c_custkey").alias("idfisica"), _c("c_name").alias("nome"),
-            _c("c_nationkey").alias("idendereco"))
-        empresa = cust.where(is_company()).select(
-            _c("c_custkey").alias("idempresa"), _c("c_name").alias("razaosocial"),
-            _c("c_nationkey").alias("idendereco"))
-        centrocusto = cust.select(
-            _c("c_custkey").alias("idcentrocusto"),
-            F.when(is_company(), _c("c_custkey")).alias("idempresa"),
-            F.when(~is_company(), _c("c_custkey")).alias("idfisica"),
-        )
-        o = self.orders("A")
-        reserva = o.select(
-            _c("o_orderkey").alias("idreserva"),
-            (F.lit(1) + _c("o_orderkey") % 3).cast("int").alias("qtveiculossolicitados"),
-            (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (_c("o_orderkey") % 97).cast("int"))).alias("dtreserva"),
-            _c("o_orderdate").alias("dtretiradaprevista"),
-            (_c("o_orderdate") + F.expr("INTERVAL 2 DAYS")).alias("dtlimiteretirada"),
-            F.when(_c("o_orderstatus") == "P", "Cancelada")
-            .when(_c("o_orderstatus") == "F", "Atendida").otherwise("Confirmada").alias("status"),
-            _c("o_custkey").alias("idcentrocusto"),
-        )
-        li = self.lines("A")
-        dest = self.dest_yard()
-        locacao = li.select(
-            rental_id().alias("idlocacao"), money(_c("l_extendedprice")).alias("valordiaria"),
-            pickup_ts().alias("dtretirada"), return_ts().alias("dtchegada"),
-            (_c("l_suppkey") * BAYS_PER_YARD + _c("l_linenumber") - 1).alias("idvagaretirada"),
-            F.when(is_returned(), dest * BAYS_PER_YARD).alias("idvagadevolvida"),
-            _c("l_partkey").alias("idveiculo"), _c("l_orderkey").alias("idreserva"),
-        )
-        movimentacao = li.where(_c("l_returnflag") == "R").select(
-            rental_id().alias("idmovimentacao"),
-            (_c("l_shipdate") + F.expr("INTERVAL 1 DAYS")).alias("dtchegada"),
-            _c("l_shipdate").alias("dtretirada"), _c("l_partkey").alias("idveiculo"),
-            (_c("l_suppkey") * BAYS_PER_YARD + _c("l_linenumber") - 1).alias("idvagaorigem"),
-            F.when(_c("l_linenumber") != 7, dest * BAYS_PER_YARD).alias("idvagadestino"),
-        )
-        return dict(endereco=endereco, patio=patio, vaga=vaga, categoria=categoria,
-                    veiculo=veiculo, pessoafisica=pessoafisica, empresa=empresa,
-                    centrocusto=centrocusto, reserva=reserva, locacao=locacao,
-                    movimentacao=movimentacao)
+
+        def endereco():
+            return t.nation.join(t.region, _c("n_regionkey") == _c("r_regionkey")).select(
+                _c("n_nationkey").alias("idendereco"),
+                F.concat(F.lit("R"), _c("n_regionkey").cast("string")).alias("uf"),
+                _c("n_name").alias("cidade"), _c("r_name").alias("bairro"), _c("n_name").alias("logradouro"),
+                _c("n_nationkey").cast("string").alias("numero"))
+
+        def patio():
+            return t.supplier.select(_c("s_suppkey").alias("idpatio"), _c("s_name").alias("cdpatio"),
+                                     _c("s_nationkey").alias("idendereco"))
+
+        def vaga():
+            bays = t.supplier.select(F.explode(F.sequence(F.lit(0), F.lit(BAYS_PER_YARD - 1))).alias("k"),
+                                     "s_suppkey")
+            return bays.select((_c("s_suppkey") * BAYS_PER_YARD + _c("k")).alias("idvaga"),
+                               _c("s_suppkey").alias("idpatio"))
+
+        def categoria():
+            return self.groups().select(_c("p_type").alias("idcategoria"), _c("p_type").alias("classificacao"))
+
+        def veiculo():
+            return t.part.select(
+                _c("p_partkey").alias("idveiculo"), plate("A").alias("placa"), chassis("A").alias("chassi"),
+                _c("p_name").alias("modelo"), (F.lit(1990) + _c("p_size")).alias("ano"),
+                air_con().alias("arcondicionado"), _c("p_type").alias("idcategoria"))
+
+        def cust():
+            return t.customer.select("c_custkey", "c_name", "c_nationkey")
+
+        def pessoafisica():
+            return cust().where(~is_company()).select(
+                _c("c_custkey").alias("idfisica"), _c("c_name").alias("nome"), _c("c_nationkey").alias("idendereco"))
+
+        def empresa():
+            return cust().where(is_company()).select(
+                _c("c_custkey").alias("idempresa"), _c("c_name").alias("razaosocial"),
+                _c("c_nationkey").alias("idendereco"))
+
+        def centrocusto():
+            return cust().select(
+                _c("c_custkey").alias("idcentrocusto"),
+                F.when(is_company(), _c("c_custkey")).alias("idempresa"),
+                F.when(~is_company(), _c("c_custkey")).alias("idfisica"))
+
+        def reserva():
+            return self.orders("A").select(
+                _c("o_orderkey").alias("idreserva"),
+                (F.lit(1) + _c("o_orderkey") % 3).cast("int").alias("qtveiculossolicitados"),
+                (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (_c("o_orderkey") % 97).cast("int")))
+                .alias("dtreserva"),
+                _c("o_orderdate").alias("dtretiradaprevista"),
+                (_c("o_orderdate") + F.expr("INTERVAL 2 DAYS")).alias("dtlimiteretirada"),
+                F.when(_c("o_orderstatus") == "P", "Cancelada")
+                .when(_c("o_orderstatus") == "F", "Atendida").otherwise("Confirmada").alias("status"),
+                _c("o_custkey").alias("idcentrocusto"))
+
+        def locacao():
+            dest = self.dest_yard()
+            return self.lines("A").select(
+                rental_id().alias("idlocacao"), money(_c("l_extendedprice")).alias("valordiaria"),
+                pickup_ts().alias("dtretirada"), return_ts().alias("dtchegada"),
+                (_c("l_suppkey") * BAYS_PER_YARD + _c("l_linenumber") - 1).alias("idvagaretirada"),
+                F.when(is_returned(), dest * BAYS_PER_YARD).alias("idvagadevolvida"),
+                _c("l_partkey").alias("idveiculo"), _c("l_orderkey").alias("idreserva"))
+
+        def movimentacao():
+            dest = self.dest_yard()
+            return self.lines("A").where(_c("l_returnflag") == "R").select(
+                rental_id().alias("idmovimentacao"),
+                (_c("l_shipdate") + F.expr("INTERVAL 1 DAYS")).alias("dtchegada"),
+                _c("l_shipdate").alias("dtretirada"), _c("l_partkey").alias("idveiculo"),
+                (_c("l_suppkey") * BAYS_PER_YARD + _c("l_linenumber") - 1).alias("idvagaorigem"),
+                F.when(_c("l_linenumber") != 7, dest * BAYS_PER_YARD).alias("idvagadestino"))
+
+        return Lazy(dict(endereco=endereco, patio=patio, vaga=vaga, categoria=categoria, veiculo=veiculo,
+                         pessoafisica=pessoafisica, empresa=empresa, centrocusto=centrocusto, reserva=reserva,
+                         locacao=locacao, movimentacao=movimentacao))
 
     # -- source B: charge_total ---------------------------------------------
-    def source_b(self) -> dict[str, DataFrame]:
+    def source_b(self) -> Lazy:
         t = self.t
-        n = F.lit(self.n_yards)
-        cliente = self.customers().select(
-            _c("c_custkey").alias("id"), _c("c_name").alias("nome"),
-            F.when(is_company(), "PJ").otherwise("PF").alias("tipo"), _c("n_name").alias("cidade"))
-        condutor = t.customer.select(_c("c_custkey").alias("id"), _c("c_custkey").alias("cliente_id"))
-        grupo_veiculo = self.groups().select(_c("p_type").alias("id"), _c("p_type").alias("nome"))
-        veiculo = t.part.select(
-            _c("p_partkey").alias("id"), plate("B").alias("placa"), chassis("B").alias("chassi"),
-            _c("p_name").alias("modelo"), _c("p_brand").alias("marca"), colour().alias("cor"),
-            F.when(is_manual(), "manual").otherwise("automatico").alias("tipo_mecanizacao"),
-            air_con().alias("ar_condicionado"), _c("p_type").alias("grupo_id"))
-        patio = self.yards().select(_c("s_suppkey").alias("id"), _c("s_name").alias("nome"),
-                                    _c("n_name").alias("cidade"))
-        o = self.reservation_group(self.orders("B"))
-        reserva = o.select(
-            _c("o_orderkey").alias("id"), _c("o_custkey").alias("cliente_id"),
-            _c("res_group").alias("grupo_id"),
-            (_c("o_orderkey") % n).alias("patio_retirada_id"),
-            (_c("o_custkey") % n).alias("patio_devolucao_id"),
-            _c("o_orderdate").cast("date").alias("data_inicio"),
-            F.date_add(_c("o_orderdate").cast("date"), (_c("o_orderkey") % 20).cast("int")).alias("data_fim"),
-            F.when(_c("o_orderstatus") == "P", "cancelada")
-            .when(_c("o_orderstatus") == "F", "confirmada").otherwise("ativa").alias("status"))
-        li = self.lines_with_orders("B")
-        dest = self.dest_yard()
-        locacao = li.select(
-            rental_id().alias("id"), walk_in_reservation().alias("reserva_id"),
-            _c("l_partkey").alias("veiculo_id"), _c("o_custkey").alias("condutor_id"),
-            _c("l_suppkey").alias("patio_retirada_id"), dest.alias("patio_devolucao_id"),
-            pickup_ts().alias("data_retirada_realizada"), return_ts().alias("data_devolucao_realizada"))
-        cobranca = self.lines("B").where(_c("l_returnflag") != "N").select(
-            rental_id().alias("locacao_id"), money(_c("l_extendedprice")).alias("valor"))
-        movimentacao_patio = self.lines("B").where(
-            (_c("l_returnflag") == "R") & (_c("l_suppkey") != dest)).select(
-            rental_id().alias("id"), _c("l_partkey").alias("veiculo_id"),
-            _c("l_suppkey").alias("origem_patio_id"), dest.alias("destino_patio_id"),
-            _c("l_shipdate").alias("data_movimentacao"))
-        return dict(cliente=cliente, condutor=condutor, grupo_veiculo=grupo_veiculo,
-                    veiculo=veiculo, patio=patio, reserva=reserva, locacao=locacao,
-                    cobranca=cobranca, movimentacao_patio=movimentacao_patio)
+
+        def cliente():
+            return self.customers().select(
+                _c("c_custkey").alias("id"), _c("c_name").alias("nome"),
+                F.when(is_company(), "PJ").otherwise("PF").alias("tipo"), _c("n_name").alias("cidade"))
+
+        def condutor():
+            return t.customer.select(_c("c_custkey").alias("id"), _c("c_custkey").alias("cliente_id"))
+
+        def grupo_veiculo():
+            return self.groups().select(_c("p_type").alias("id"), _c("p_type").alias("nome"))
+
+        def veiculo():
+            return t.part.select(
+                _c("p_partkey").alias("id"), plate("B").alias("placa"), chassis("B").alias("chassi"),
+                _c("p_name").alias("modelo"), _c("p_brand").alias("marca"), colour().alias("cor"),
+                F.when(is_manual(), "manual").otherwise("automatico").alias("tipo_mecanizacao"),
+                air_con().alias("ar_condicionado"), _c("p_type").alias("grupo_id"))
+
+        def patio():
+            return self.yards().select(_c("s_suppkey").alias("id"), _c("s_name").alias("nome"),
+                                       _c("n_name").alias("cidade"))
+
+        def reserva():
+            n = F.lit(self.n_yards)
+            return self.reservation_group(self.orders("B")).select(
+                _c("o_orderkey").alias("id"), _c("o_custkey").alias("cliente_id"), _c("res_group").alias("grupo_id"),
+                (_c("o_orderkey") % n).alias("patio_retirada_id"), (_c("o_custkey") % n).alias("patio_devolucao_id"),
+                _c("o_orderdate").cast("date").alias("data_inicio"),
+                F.date_add(_c("o_orderdate").cast("date"), (_c("o_orderkey") % 20).cast("int")).alias("data_fim"),
+                F.when(_c("o_orderstatus") == "P", "cancelada")
+                .when(_c("o_orderstatus") == "F", "confirmada").otherwise("ativa").alias("status"))
+
+        def locacao():
+            return self.lines_with_orders("B").select(
+                rental_id().alias("id"), walk_in_reservation().alias("reserva_id"),
+                _c("l_partkey").alias("veiculo_id"), _c("o_custkey").alias("condutor_id"),
+                _c("l_suppkey").alias("patio_retirada_id"), self.dest_yard().alias("patio_devolucao_id"),
+                pickup_ts().alias("data_retirada_realizada"), return_ts().alias("data_devolucao_realizada"))
+
+        def cobranca():
+            return self.lines("B").where(_c("l_returnflag") != "N").select(
+                rental_id().alias("locacao_id"), money(_c("l_extendedprice")).alias("valor"))
+
+        def movimentacao_patio():
+            dest = self.dest_yard()
+            return self.lines("B").where((_c("l_returnflag") == "R") & (_c("l_suppkey") != dest)).select(
+                rental_id().alias("id"), _c("l_partkey").alias("veiculo_id"),
+                _c("l_suppkey").alias("origem_patio_id"), dest.alias("destino_patio_id"),
+                _c("l_shipdate").alias("data_movimentacao"))
+
+        return Lazy(dict(cliente=cliente, condutor=condutor, grupo_veiculo=grupo_veiculo, veiculo=veiculo,
+                         patio=patio, reserva=reserva, locacao=locacao, cobranca=cobranca,
+                         movimentacao_patio=movimentacao_patio))
 
     # -- source C: derived_moves --------------------------------------------
-    def source_c(self) -> dict[str, DataFrame]:
+    def source_c(self) -> Lazy:
         t = self.t
-        n = F.lit(self.n_yards)
-        patio = self.yards().select(
-            _c("s_suppkey").alias("id_patio"), _c("s_name").alias("nome"),
-            F.concat(_c("n_name"), F.lit(" - "), _c("r_name")).alias("endereco"))
-        grupo = self.groups().select(
-            _c("p_type").alias("id_grupo"), _c("p_type").alias("nome"),
-            F.upper(F.substring(_c("p_type"), 1, 3)).alias("codigo"))
-        veiculo = t.part.select(
-            _c("p_partkey").alias("id_veiculo"), _c("p_type").alias("grupo_id"),
-            plate("C").alias("placa"), chassis("C").alias("chassi"), _c("p_brand").alias("marca"),
-            _c("p_name").alias("modelo"), colour().alias("cor"),
-            (F.lit(1990) + _c("p_size")).alias("ano_fabricacao"),
-            F.when(is_manual(), "MANUAL").otherwise("AUTOMATICA").alias("mecanizacao"),
-            air_con().alias("tem_ar_condicionado"),
-            (_c("p_partkey") % n).alias("patio_origem_id"),
-            F.when(_c("p_size") % 2 == 0, "DISPONIVEL").otherwise("LOCADO").alias("situacao"))
-        cliente = self.customers().select(
-            _c("c_custkey").alias("id_cliente"),
-            F.when(is_company(), "PJ").otherwise("PF").alias("tipo_pessoa"),
-            _c("c_name").alias("nome"), _c("n_name").alias("cidade_origem"))
-        o = self.reservation_group(self.orders("C"))
-        reserva = o.select(
-            _c("o_orderkey").alias("id_reserva"), _c("o_custkey").alias("cliente_id"),
-            _c("res_group").alias("grupo_id"),
-            (_c("o_orderkey") % n).alias("patio_retirada_id"),
-            (_c("o_custkey") % n).alias("patio_devolucao_id"),
-            (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (_c("o_orderkey") % 97).cast("int"))).alias("data_reserva"),
-            _c("o_orderdate").alias("data_retirada_prevista"),
-            (_c("o_orderdate") + F.make_dt_interval((_c("o_orderkey") % 20).cast("int"))).alias("data_devolucao_prevista"),
-            F.when(_c("o_orderstatus") == "P", "CANCELADA")
-            .when(_c("o_orderstatus") == "F", "CONCRETIZADA")
-            .when(_c("o_orderkey") % 5 == 0, "EM_FILA_ESPERA").otherwise("CONFIRMADA").alias("estado"))
-        li = self.lines_with_orders("C")
-        locacao = li.select(
-            rental_id().alias("id_locacao"), walk_in_reservation().alias("reserva_id"),
-            _c("o_custkey").alias("cliente_id"), _c("l_partkey").alias("veiculo_id"),
-            _c("l_suppkey").alias("patio_retirada_id"), self.dest_yard().alias("patio_devolucao_id"),
-            pickup_ts().alias("data_retirada_real"), return_ts().alias("data_devolucao_real"),
-            money(_c("l_extendedprice")).alias("valor_diaria_aplicada"),
-            F.when(is_returned(), "CONCLUIDA").when(_c("l_returnflag") == "A", "CANCELADA")
-            .otherwise("EM_ANDAMENTO").alias("status"))
-        return dict(patio=patio, grupo=grupo, veiculo=veiculo, cliente=cliente,
-                    reserva=reserva, locacao=locacao)
+
+        def patio():
+            return self.yards().select(
+                _c("s_suppkey").alias("id_patio"), _c("s_name").alias("nome"),
+                F.concat(_c("n_name"), F.lit(" - "), _c("r_name")).alias("endereco"))
+
+        def grupo():
+            return self.groups().select(
+                _c("p_type").alias("id_grupo"), _c("p_type").alias("nome"),
+                F.upper(F.substring(_c("p_type"), 1, 3)).alias("codigo"))
+
+        def veiculo():
+            return t.part.select(
+                _c("p_partkey").alias("id_veiculo"), _c("p_type").alias("grupo_id"), plate("C").alias("placa"),
+                chassis("C").alias("chassi"), _c("p_brand").alias("marca"), _c("p_name").alias("modelo"),
+                colour().alias("cor"), (F.lit(1990) + _c("p_size")).alias("ano_fabricacao"),
+                F.when(is_manual(), "MANUAL").otherwise("AUTOMATICA").alias("mecanizacao"),
+                air_con().alias("tem_ar_condicionado"), (_c("p_partkey") % F.lit(self.n_yards)).alias("patio_origem_id"),
+                F.when(_c("p_size") % 2 == 0, "DISPONIVEL").otherwise("LOCADO").alias("situacao"))
+
+        def cliente():
+            return self.customers().select(
+                _c("c_custkey").alias("id_cliente"), F.when(is_company(), "PJ").otherwise("PF").alias("tipo_pessoa"),
+                _c("c_name").alias("nome"), _c("n_name").alias("cidade_origem"))
+
+        def reserva():
+            n = F.lit(self.n_yards)
+            return self.reservation_group(self.orders("C")).select(
+                _c("o_orderkey").alias("id_reserva"), _c("o_custkey").alias("cliente_id"),
+                _c("res_group").alias("grupo_id"), (_c("o_orderkey") % n).alias("patio_retirada_id"),
+                (_c("o_custkey") % n).alias("patio_devolucao_id"),
+                (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (_c("o_orderkey") % 97).cast("int")))
+                .alias("data_reserva"),
+                _c("o_orderdate").alias("data_retirada_prevista"),
+                (_c("o_orderdate") + F.make_dt_interval((_c("o_orderkey") % 20).cast("int")))
+                .alias("data_devolucao_prevista"),
+                F.when(_c("o_orderstatus") == "P", "CANCELADA").when(_c("o_orderstatus") == "F", "CONCRETIZADA")
+                .when(_c("o_orderkey") % 5 == 0, "EM_FILA_ESPERA").otherwise("CONFIRMADA").alias("estado"))
+
+        def locacao():
+            return self.lines_with_orders("C").select(
+                rental_id().alias("id_locacao"), walk_in_reservation().alias("reserva_id"),
+                _c("o_custkey").alias("cliente_id"), _c("l_partkey").alias("veiculo_id"),
+                _c("l_suppkey").alias("patio_retirada_id"), self.dest_yard().alias("patio_devolucao_id"),
+                pickup_ts().alias("data_retirada_real"), return_ts().alias("data_devolucao_real"),
+                money(_c("l_extendedprice")).alias("valor_diaria_aplicada"),
+                F.when(is_returned(), "CONCLUIDA").when(_c("l_returnflag") == "A", "CANCELADA")
+                .otherwise("EM_ANDAMENTO").alias("status"))
+
+        return Lazy(dict(patio=patio, grupo=grupo, veiculo=veiculo, cliente=cliente, reserva=reserva,
+                         locacao=locacao))
 
     # -- source D: quoted_total ---------------------------------------------
-    def source_d(self) -> dict[str, DataFrame]:
+    def source_d(self) -> Lazy:
         t = self.t
-        n = F.lit(self.n_yards)
-        patio = self.yards().select(
-            _c("s_suppkey").alias("id_patio"), _c("s_name").alias("nome_patio"),
-            F.concat(_c("n_name"), F.lit(" - "), _c("r_name")).alias("localizacao"))
-        grupo_veiculo = self.groups().select(_c("p_type").alias("id_grupo"),
-                                             _c("p_type").alias("nome_grupo"))
-        cliente = self.customers().select(
-            _c("c_custkey").alias("id_cliente"),
-            F.when(is_company(), "PJ").otherwise("PF").alias("tipo_cliente"),
-            _c("c_name").alias("nome_razao_social"), _c("n_name").alias("cidade"),
-            F.concat(F.lit("R"), _c("n_regionkey").cast("string")).alias("estado"))
-        veiculo = t.part.select(
-            _c("p_partkey").alias("id_veiculo"), plate("D").alias("placa"),
-            F.concat(F.lit("D-"), _c("p_name")).alias("chassi"), _c("p_brand").alias("marca"),
-            _c("p_name").alias("modelo"), colour().alias("cor"),
-            F.when(is_manual(), "MANUAL").otherwise("AUTOMATICO").alias("mecanizacao"),
-            air_con().alias("ar_condicionado"), _c("p_type").alias("id_grupo"))
-        o = self.reservation_group(self.orders("D"))
-        reserva = o.select(
-            _c("o_orderkey").alias("id_reserva"),
-            (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (_c("o_orderkey") % 97).cast("int"))).cast("date").alias("data_reserva"),
-            _c("o_orderdate").cast("date").alias("data_prev_retirada"),
-            F.date_add(_c("o_orderdate").cast("date"), (_c("o_orderkey") % 20).cast("int")).alias("data_prev_devolucao"),
-            F.when(_c("o_orderstatus") == "P", "CANCELADA")
-            .when(_c("o_orderstatus") == "F", "CONVERTIDA").otherwise("ATIVA").alias("status_reserva"),
-            _c("o_custkey").alias("id_cliente"), _c("res_group").alias("id_grupo"),
-            (_c("o_orderkey") % n).alias("id_patio_retirada"),
-            (_c("o_custkey") % n).alias("id_patio_devolucao_previsto"))
-        li = self.lines_with_orders("D")
-        dest = self.dest_yard()
-        locacao = li.select(
-            rental_id().alias("id_locacao"), pickup_ts().alias("data_hora_retirada"),
-            return_ts().alias("data_hora_real_devolucao"),
-            money(_c("l_extendedprice")).alias("valor_previsto"),
-            F.when(is_returned(), (money(_c("l_extendedprice")) + _c("l_quantity").cast("int")).cast(MONEY)).alias("valor_final"),
-            walk_in_reservation().alias("id_reserva"), _c("o_custkey").alias("id_cliente"),
-            _c("l_partkey").alias("id_veiculo"), _c("l_suppkey").alias("id_patio_retirada"),
-            F.when(is_returned(), dest).alias("id_patio_devolucao_real"))
-        movimentacao_patio = li.where((_c("l_returnflag") == "R") & (_c("l_suppkey") != dest)).select(
-            rental_id().alias("id_movimentacao"), _c("l_shipdate").alias("data_hora_movimentacao"),
-            _c("o_orderpriority").alias("motivo_movimentacao"), _c("l_partkey").alias("id_veiculo"),
-            _c("l_suppkey").alias("id_patio_origem"), dest.alias("id_patio_destino"))
-        return dict(patio=patio, grupo_veiculo=grupo_veiculo, cliente=cliente, veiculo=veiculo,
-                    reserva=reserva, locacao=locacao, movimentacao_patio=movimentacao_patio)
-
-    def all_sources(self) -> dict[str, dict[str, DataFrame]]:
+
+        def patio():
+            return self.yards().select(
+                _c("s_suppkey").alias("id_patio"), _c("s_name").alias("nome_patio"),
+                F.concat(_c("n_name"), F.lit(" - "), _c("r_name")).alias("localizacao"))
+
+        def grupo_veiculo():
+            return self.groups().select(_c("p_type").alias("id_grupo"), _c("p_type").alias("nome_grupo"))
+
+        def cliente():
+            return self.customers().select(
+                _c("c_custkey").alias("id_cliente"), F.when(is_company(), "PJ").otherwise("PF").alias("tipo_cliente"),
+                _c("c_name").alias("nome_razao_social"), _c("n_name").alias("cidade"),
+                F.concat(F.lit("R"), _c("n_regionkey").cast("string")).alias("estado"))
+
+        def veiculo():
+            return t.part.select(
+                _c("p_partkey").alias("id_veiculo"), plate("D").alias("placa"),
+                F.concat(F.lit("D-"), _c("p_name")).alias("chassi"), _c("p_brand").alias("marca"),
+                _c("p_name").alias("modelo"), colour().alias("cor"),
+                F.when(is_manual(), "MANUAL").otherwise("AUTOMATICO").alias("mecanizacao"),
+                air_con().alias("ar_condicionado"), _c("p_type").alias("id_grupo"))
+
+        def reserva():
+            n = F.lit(self.n_yards)
+            day = _c("o_orderdate").cast("date")
+            return self.reservation_group(self.orders("D")).select(
+                _c("o_orderkey").alias("id_reserva"),
+                (_c("o_orderdate") - F.make_dt_interval(F.lit(0), (_c("o_orderkey") % 97).cast("int")))
+                .cast("date").alias("data_reserva"),
+                day.alias("data_prev_retirada"),
+                F.date_add(day, (_c("o_orderkey") % 20).cast("int")).alias("data_prev_devolucao"),
+                F.when(_c("o_orderstatus") == "P", "CANCELADA")
+                .when(_c("o_orderstatus") == "F", "CONVERTIDA").otherwise("ATIVA").alias("status_reserva"),
+                _c("o_custkey").alias("id_cliente"), _c("res_group").alias("id_grupo"),
+                (_c("o_orderkey") % n).alias("id_patio_retirada"),
+                (_c("o_custkey") % n).alias("id_patio_devolucao_previsto"))
+
+        def locacao():
+            dest = self.dest_yard()
+            price = money(_c("l_extendedprice"))
+            return self.lines_with_orders("D").select(
+                rental_id().alias("id_locacao"), pickup_ts().alias("data_hora_retirada"),
+                return_ts().alias("data_hora_real_devolucao"), price.alias("valor_previsto"),
+                F.when(is_returned(), (price + _c("l_quantity").cast("int")).cast(MONEY)).alias("valor_final"),
+                walk_in_reservation().alias("id_reserva"), _c("o_custkey").alias("id_cliente"),
+                _c("l_partkey").alias("id_veiculo"), _c("l_suppkey").alias("id_patio_retirada"),
+                F.when(is_returned(), dest).alias("id_patio_devolucao_real"))
+
+        def movimentacao_patio():
+            dest = self.dest_yard()
+            moves = self.lines_with_orders("D").where((_c("l_returnflag") == "R") & (_c("l_suppkey") != dest))
+            return moves.select(
+                rental_id().alias("id_movimentacao"), _c("l_shipdate").alias("data_hora_movimentacao"),
+                _c("o_orderpriority").alias("motivo_movimentacao"), _c("l_partkey").alias("id_veiculo"),
+                _c("l_suppkey").alias("id_patio_origem"), dest.alias("id_patio_destino"))
+
+        return Lazy(dict(patio=patio, grupo_veiculo=grupo_veiculo, cliente=cliente, veiculo=veiculo,
+                         reserva=reserva, locacao=locacao, movimentacao_patio=movimentacao_patio))
+
+    def all_sources(self) -> dict[str, Lazy]:
         return {"A": self.source_a(), "B": self.source_b(), "C": self.source_c(), "D": self.source_d()}

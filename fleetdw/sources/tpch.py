@@ -34,14 +34,19 @@ SCHEMAS = {
 
 
 class Tables:
-    """Lazy access to ``{sf_dir}/{name}.parquet``; each access is a fresh scan so
-    Catalyst prunes columns and pushes filters per use."""
+    """Lazy access to ``{sf_dir}/{name}.parquet``. Each use is its own scan in the
+    plan, so Catalyst prunes columns and pushes filters per use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SCHEMAS:
             raise AttributeError(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self._frames.get(name)
+        if df is None:  # one relation (one file listing) per table; plans still prune per use
+            df = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+            self._frames[name] = df
+        return df
