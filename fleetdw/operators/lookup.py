@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# A lookup broadcasts only the join key(s) plus the surrogate key / a few
+# attributes (~50-100 bytes a row), so 1M rows stays around 100 MB per executor.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def checked_broadcast(dim: DataFrame, n_rows: int | None,

@@ -147,9 +147,11 @@ def dq_fk(std: dict[str, DataFrame]) -> DataFrame:  # Q5
     parts = []
     for child, col, parent, pcol in FOREIGN_KEYS:
         ref = std[parent].select(_c(SYS).alias("__s"), _c(pcol).alias("__k")).distinct()
-        kids = std[child].where(_c(col).isNotNull()).select(SYS, col)
+        # one row per referenced key before the join: a hot parent collapses map-side
+        kids = (std[child].where(_c(col).isNotNull()).groupBy(SYS, col)
+                .agg(F.count(F.lit(1)).alias("__n")))
         orphans = kids.join(ref, (_c(SYS) == _c("__s")) & (_c(col) == _c("__k")), "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).cast("long").alias("n_violations"))
+        parts.append(orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_violations"))
                      .select(F.lit(f"{child}.{col}->{parent}").alias("rule"), "n_violations"))
     return _union(parts)
 

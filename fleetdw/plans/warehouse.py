@@ -20,10 +20,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetdw.operators.insert_ignore import upsert
 from fleetdw.operators.surrogate import assign_surrogate_key, assign_unique_key
 from fleetdw.plans import dims as D
 from fleetdw.plans import facts as FX
 from fleetdw.plans.transform import TRANSFORMS
+from fleetdw.schemas import NATURAL_KEYS
 from fleetdw.session import fresh_scratch
 from fleetdw.sources.adapters import Shapes
 from fleetdw.sources.extract import extract_all
@@ -38,12 +40,18 @@ class Warehouse:
     spark: SparkSession
     root: str
     counts: dict[str, int] = field(default_factory=dict)
+    # table -> folder of its current version (update mode writes new versions)
+    versions: dict[str, str] = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
+    def table_path(self, name: str) -> str:
+        layer = "std" if name.startswith("std_") else "dw"
+        return self.versions.get(name, self.path(layer, name))
+
     def exists(self, *parts: str) -> bool:
-        p = self.path(*parts)
+        p = self.table_path(parts[-1]) if parts[0] == "dw" and len(parts) == 2 else self.path(*parts)
         if "://" in p and not p.startswith("file:"):
             try:
                 self.spark.read.parquet(p).limit(0).collect()
@@ -54,8 +62,14 @@ class Warehouse:
         return os.path.isdir(local) and any(f.endswith(".parquet") for _, _, fs in os.walk(local) for f in fs)
 
     def table(self, name: str) -> DataFrame:
-        layer = "std" if name.startswith("std_") else "dw"
-        return self.spark.read.parquet(self.path(layer, name))
+        return self.spark.read.parquet(self.table_path(name))
+
+    def new_version(self, name: str) -> str:
+        """A fresh folder for the next version of ``name`` (write new, then switch)."""
+        import uuid
+
+        base = self.versions.get(name, self.path("dw", name)).split("@")[0]
+        return f"{base}@{uuid.uuid4().hex[:12]}"
 
     def tables(self) -> dict[str, DataFrame]:
         names = ["dim_tempo", *DIM_ORDER, *FACT_SK]
@@ -99,30 +113,58 @@ def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse) -> No
 def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
     spark = wh.spark
     sk = D.SK_COLUMN[name]
-    path = wh.path("dw", name)
+    path = wh.table_path(name)
     start = 1
     if wh.exists("dw", name):
         mx = spark.read.parquet(path).agg(F.max(sk)).collect()[0][0]
         start = int(mx or 0) + 1
-    from fleetdw.schemas import NATURAL_KEYS
-
     keyed = assign_surrogate_key(new_rows, NATURAL_KEYS[name], sk, start=start)
     keyed.write.mode("append").parquet(path)
     wh.counts[name] = _count(spark, path)
 
 
-def load(spark: SparkSession, wh: Warehouse) -> Warehouse:
-    """Dimension then fact loads from ``std/`` into ``dw/`` (insert-ignore)."""
+def _refresh_dim(wh: Warehouse, name: str, std: dict[str, DataFrame]) -> None:
+    """Update mode (SCD type 1): attributes of known keys are replaced, their
+    surrogate keys kept; unknown keys get new keys after the current maximum."""
+    spark = wh.spark
+    sk, keys = D.SK_COLUMN[name], NATURAL_KEYS[name]
+    existing = wh.table(name)
+    batch = D.dim_rows(name, std, None)
+    full = upsert(existing.drop(sk), batch, keys, D.TIE_BREAK[name])
+    old = existing.select(*keys, sk)
+    known = full.join(old, keys, "inner").select(sk, *D.DIM_COLUMNS[name])
+    fresh = full.join(old, keys, "left_anti").select(*D.DIM_COLUMNS[name])
+    start = int(existing.agg(F.max(sk)).collect()[0][0] or 0) + 1
+    out = known.unionByName(assign_surrogate_key(fresh, keys, sk, start=start))
+    path = wh.new_version(name)
+    out.write.mode("overwrite").parquet(path)
+    wh.versions[name] = path
+    wh.counts[name] = _count(spark, path)
+
+
+def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
+    """Dimension then fact loads from ``std/`` into ``dw/``.
+
+    ``mode="ignore"`` is ON CONFLICT DO NOTHING (append new keys only);
+    ``mode="update"`` replaces rows whose natural key reappears (a rental that was
+    open at the last load and is returned now), writing each table as a new
+    version folder and switching to it.
+    """
+    if mode not in ("ignore", "update"):
+        raise ValueError(mode)
     std = wh.std()
 
     def tempo() -> None:
-        path = wh.path("dw", "dim_tempo")
+        path = wh.table_path("dim_tempo")
         existing = spark.read.parquet(path) if wh.exists("dw", "dim_tempo") else None
         D.dim_tempo_rows(spark, std, existing).write.mode("append").parquet(path)
         wh.counts["dim_tempo"] = _count(spark, path)
 
     def dim(name: str) -> None:
-        existing = spark.read.parquet(wh.path("dw", name)) if wh.exists("dw", name) else None
+        if mode == "update" and wh.exists("dw", name):
+            _refresh_dim(wh, name, std)
+            return
+        existing = wh.table(name) if wh.exists("dw", name) else None
         _append_dim(wh, name, D.dim_rows(name, std, existing))
 
     tasks = {"dim_tempo": tempo}
@@ -136,13 +178,25 @@ def load(spark: SparkSession, wh: Warehouse) -> Warehouse:
 
     def fact(name: str) -> None:
         fn, src = builders[name]
-        path = wh.path("dw", name)
-        existing = spark.read.parquet(path) if wh.exists("dw", name) else None
+        sk, keys = FACT_SK[name], NATURAL_KEYS[name]
+        path = wh.table_path(name)
+        existing = wh.table(name) if wh.exists("dw", name) else None
         start = 1
         if existing is not None:
-            start = int(existing.agg(F.max(FACT_SK[name])).collect()[0][0] or 0) + 1
-        rows = assign_unique_key(fn(std[src], dims, existing), FACT_SK[name], start)
-        rows.write.mode("append").partitionBy("id_sistema_origem").parquet(path)
+            start = int(existing.agg(F.max(sk)).collect()[0][0] or 0) + 1
+        if mode == "update" and existing is not None:
+            rows = fn(std[src], dims, None)
+            full = upsert(existing.drop(sk), rows.select(*existing.drop(sk).columns), keys)
+            old = existing.select(*keys, F.col(sk).alias("__old"))
+            fresh = (F.lit(start) + F.monotonically_increasing_id())
+            out = full.join(old, keys, "left").select(
+                F.coalesce(F.col("__old"), fresh).alias(sk), *existing.drop(sk).columns)
+            path = wh.new_version(name)
+            out.write.mode("overwrite").partitionBy("id_sistema_origem").parquet(path)
+            wh.versions[name] = path
+        else:
+            rows = assign_unique_key(fn(std[src], dims, existing), sk, start)
+            rows.write.mode("append").partitionBy("id_sistema_origem").parquet(path)
         wh.counts[name] = _count(spark, path)
 
     _in_parallel({name: (lambda name=name: fact(name)) for name in builders})

@@ -195,3 +195,30 @@ def test_reload_inserts_nothing(spark, wh):
     load(spark, wh)
     after = {n: sorted(tuple(r) for r in wh.table(n).collect()) for n in before}
     assert before == after
+
+
+def test_update_mode_refreshes_returned_rental(spark):
+    from fixtures import ROWS, SCHEMAS, t
+
+    from fleetdw.plans.warehouse import stage_sources
+
+    wh_ignore = build_from_sources(spark, sources(spark))
+    wh_update = build_from_sources(spark, sources(spark))
+    sk_before = {r.id_locacao_origem: r.sk_locacao for r in wh_update.table("fato_locacao").collect()}
+    rows = {p: dict(tables) for p, tables in ROWS.items()}
+    # C1 was open at the first load and is returned before the second one
+    rows["C"]["locacao"] = [r if r[0] != "C1" else
+                            ("C1", 1, 1, 2, 30, 31, t("2026-01-02 10:00:00"), t("2026-01-09 11:00:00"),
+                             Decimal("50.00"), "CONCLUIDA") for r in ROWS["C"]["locacao"]]
+    changed = {p: {n: spark.createDataFrame(rows[p][n], ddl) for n, ddl in tables.items()}
+               for p, tables in SCHEMAS.items()}
+    for wh, mode in ((wh_ignore, "ignore"), (wh_update, "update")):
+        stage_sources(changed, wh)
+        load(spark, wh, mode=mode)
+    c1_ignore = wh_ignore.table("fato_locacao").where(F.col("id_locacao_origem") == "C1").collect()
+    c1_update = wh_update.table("fato_locacao").where(F.col("id_locacao_origem") == "C1").collect()
+    assert len(c1_ignore) == 1 and c1_ignore[0].status == "EM_ANDAMENTO"
+    assert len(c1_update) == 1 and c1_update[0].status == "CONCLUIDA" and c1_update[0].dias_locacao == 7
+    assert c1_update[0].sk_locacao == sk_before["C1"]
+    assert wh_update.table("fato_locacao").count() == len(sk_before)
+    assert sorted(r.sk_patio for r in wh_update.table("dim_patio").collect()) == list(range(1, 9))
