@@ -29,6 +29,7 @@ from fleetdw.schemas import NATURAL_KEYS
 from fleetdw.session import fresh_scratch
 from fleetdw.sources.adapters import Shapes
 from fleetdw.sources.extract import extract_all
+from fleetdw.sources.lazy import Lazy
 
 DIM_ORDER = ["dim_grupo", "dim_patio", "dim_cliente", "dim_veiculo"]
 FACT_SK = {"fato_locacao": "sk_locacao", "fato_reserva": "sk_reserva",
@@ -42,6 +43,9 @@ class Warehouse:
     counts: dict[str, int] = field(default_factory=dict)
     # table -> folder of its current version (update mode writes new versions)
     versions: dict[str, str] = field(default_factory=dict)
+    # read frames, reused across queries (one file listing / footer read per table);
+    # dropped whenever the table is written again
+    _frames: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -62,7 +66,17 @@ class Warehouse:
         return os.path.isdir(local) and any(f.endswith(".parquet") for _, _, fs in os.walk(local) for f in fs)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.table_path(name))
+        df = self._frames.get(name)
+        if df is None:
+            df = self.spark.read.parquet(self.table_path(name))
+            self._frames[name] = df
+        return df
+
+    def written(self, name: str) -> None:
+        """Record a write: forget the cached frame and refresh the row count."""
+        self._frames.pop(name, None)
+        if not name.startswith("std_"):
+            self.counts[name] = _count(self.spark, self.table_path(name))
 
     def new_version(self, name: str) -> str:
         """A fresh folder for the next version of ``name`` (write new, then switch)."""
@@ -71,12 +85,12 @@ class Warehouse:
         base = self.versions.get(name, self.path("dw", name)).split("@")[0]
         return f"{base}@{uuid.uuid4().hex[:12]}"
 
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self) -> Lazy:
         names = ["dim_tempo", *DIM_ORDER, *FACT_SK]
-        return {n: self.table(n) for n in names}
+        return Lazy({n: (lambda n=n: self.table(n)) for n in names})
 
-    def std(self) -> dict[str, DataFrame]:
-        return {n: self.table(n) for n in TRANSFORMS}
+    def std(self) -> Lazy:
+        return Lazy({n: (lambda n=n: self.table(n)) for n in TRANSFORMS})
 
     def dims(self) -> FX.Dims:
         return FX.Dims({n: self.table(n) for n in DIM_ORDER}, self.counts)
@@ -106,6 +120,7 @@ def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse) -> No
 
     def write(name: str) -> None:  # each thread builds only the frames its table reads
         TRANSFORMS[name](stg).write.mode("overwrite").parquet(wh.path("std", name))
+        wh.written(name)
 
     _in_parallel({name: (lambda name=name: write(name)) for name in TRANSFORMS})
 
@@ -120,7 +135,7 @@ def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
         start = int(mx or 0) + 1
     keyed = assign_surrogate_key(new_rows, NATURAL_KEYS[name], sk, start=start)
     keyed.write.mode("append").parquet(path)
-    wh.counts[name] = _count(spark, path)
+    wh.written(name)
 
 
 def _refresh_dim(wh: Warehouse, name: str, std: dict[str, DataFrame]) -> None:
@@ -139,7 +154,7 @@ def _refresh_dim(wh: Warehouse, name: str, std: dict[str, DataFrame]) -> None:
     path = wh.new_version(name)
     out.write.mode("overwrite").parquet(path)
     wh.versions[name] = path
-    wh.counts[name] = _count(spark, path)
+    wh.written(name)
 
 
 def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
@@ -158,7 +173,7 @@ def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
         path = wh.table_path("dim_tempo")
         existing = spark.read.parquet(path) if wh.exists("dw", "dim_tempo") else None
         D.dim_tempo_rows(spark, std, existing).write.mode("append").parquet(path)
-        wh.counts["dim_tempo"] = _count(spark, path)
+        wh.written("dim_tempo")
 
     def dim(name: str) -> None:
         if mode == "update" and wh.exists("dw", name):
@@ -197,7 +212,7 @@ def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
         else:
             rows = assign_unique_key(fn(std[src], dims, existing), sk, start)
             rows.write.mode("append").partitionBy("id_sistema_origem").parquet(path)
-        wh.counts[name] = _count(spark, path)
+        wh.written(name)
 
     _in_parallel({name: (lambda name=name: fact(name)) for name in builders})
     return wh

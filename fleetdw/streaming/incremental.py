@@ -27,14 +27,13 @@ FACT_SOURCES = {
 def load_batch(wh: Warehouse, fact: str, batch: DataFrame) -> None:
     """Insert-ignore one batch of standard rows into ``fact``."""
     _, build = FACT_SOURCES[fact]
-    spark = wh.spark
     existing = wh.table(fact) if wh.exists("dw", fact) else None
     start = 1
     if existing is not None:
         start = int(existing.agg(F.max(FACT_SK[fact])).collect()[0][0] or 0) + 1
     rows = assign_unique_key(build(batch, wh.dims(), existing), FACT_SK[fact], start)
     rows.write.mode("append").partitionBy("id_sistema_origem").parquet(wh.table_path(fact))
-    wh.counts[fact] = int(spark.read.parquet(wh.table_path(fact)).count())
+    wh.written(fact)
 
 
 def start_fact_stream(wh: Warehouse, fact: str, landing_dir: str, checkpoint_dir: str,
