@@ -8,12 +8,15 @@ back, so lineage is cut and an executor loss only re-runs the current stage):
   semantics; surrogate keys of dimensions are assigned before the append, so
   every fact load sees stable keys.
 
-Running :func:`load` twice on the same root inserts zero rows the second time.
+Running :func:`load` twice on the same root inserts zero rows the second time;
+``load(mode="update")`` instead refreshes rows whose key reappears, writing a
+new version folder per table and switching to it.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -80,8 +83,6 @@ class Warehouse:
 
     def new_version(self, name: str) -> str:
         """A fresh folder for the next version of ``name`` (write new, then switch)."""
-        import uuid
-
         base = self.versions.get(name, self.path("dw", name)).split("@")[0]
         return f"{base}@{uuid.uuid4().hex[:12]}"
 

@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from fleetdw.operators.insert_ignore import dedup_batch, insert_ignore, skipped_by_reason, upsert
 from fleetdw.operators.surrogate import assign_surrogate_key
 
