@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ROW = "__row"
+_BREAK = "__null_key_row"
 
 
 def _order_struct(tie_break: Sequence[str]) -> Column:
@@ -37,26 +38,29 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 def dedup_batch(batch: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = (),
                 keep: str = "first") -> DataFrame:
-    """One row per non-NULL key (first or last by ``tie_break``); NULL-key rows kept."""
+    """One row per non-NULL key (first or last by ``tie_break``); NULL-key rows kept.
+
+    A single aggregation: rows with a NULL key get a per-row breaker as an extra
+    grouping value, so each forms its own group and passes through unchanged.
+    """
     cols = batch.columns
-    keyed = batch.where(~_any_null(keys))
+    breaker = F.when(_any_null(keys), F.monotonically_increasing_id()).alias(_BREAK)
     picker = F.min_by if keep == "first" else F.max_by
-    chosen = (keyed.groupBy(*keys)
-              .agg(picker(F.struct(*[F.col(c) for c in cols]), _order_struct(tie_break)).alias(_ROW))
-              .select(f"{_ROW}.*"))
-    nulls = batch.where(_any_null(keys))
-    return chosen.unionByName(nulls)
+    return (batch.groupBy(*[F.col(k) for k in keys], breaker)
+            .agg(picker(F.struct(*[F.col(c) for c in cols]), _order_struct(tie_break)).alias(_ROW))
+            .select(f"{_ROW}.*"))
 
 
 def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
                   tie_break: Sequence[str] = ()) -> DataFrame:
-    """Rows of ``batch`` that ``ON CONFLICT (keys) DO NOTHING`` would insert."""
+    """Rows of ``batch`` that ``ON CONFLICT (keys) DO NOTHING`` would insert.
+
+    NULL keys never equal anything, so NULL-key rows survive the anti join."""
     deduped = dedup_batch(batch, keys, tie_break)
     if target is None:
         return deduped
     existing = target.select(*keys).where(~_any_null(keys))
-    keyed = deduped.where(~_any_null(keys)).join(existing, list(keys), "left_anti").select(*batch.columns)
-    return keyed.unionByName(deduped.where(_any_null(keys)))
+    return deduped.join(existing, list(keys), "left_anti").select(*batch.columns)
 
 
 def skipped_by_reason(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
@@ -91,5 +95,5 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     if target is None:
         return deduped
     fresh_keys = deduped.select(*keys).where(~_any_null(keys))
-    kept = target.where(~_any_null(keys)).join(fresh_keys, list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(target.where(_any_null(keys))).unionByName(deduped)
+    kept = target.join(fresh_keys, list(keys), "left_anti").select(*target.columns)
+    return kept.unionByName(deduped)
