@@ -6,8 +6,9 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal as D
 
+from fleetdw.sources.oltp import SOURCE_SCHEMAS
+
 AS_OF = dt.date(2026, 1, 10)
-TS = "timestamp_ntz"
 
 
 def t(s: str | None):
@@ -18,69 +19,7 @@ def d(s: str | None):
     return None if s is None else dt.date.fromisoformat(s)
 
 
-SCHEMAS = {
-    "A": {
-        "endereco": "idendereco long, uf string, cidade string, bairro string, logradouro string, numero string",
-        "patio": "idpatio long, cdpatio string, idendereco long",
-        "vaga": "idvaga long, idpatio long",
-        "categoria": "idcategoria string, classificacao string",
-        "veiculo": "idveiculo long, placa string, chassi string, modelo string, ano int, arcondicionado boolean, "
-                   "idcategoria string",
-        "pessoafisica": "idfisica long, nome string, idendereco long",
-        "empresa": "idempresa long, razaosocial string, idendereco long",
-        "centrocusto": "idcentrocusto long, idempresa long, idfisica long",
-        "reserva": f"idreserva long, qtveiculossolicitados int, dtreserva {TS}, dtretiradaprevista {TS}, "
-                   f"dtlimiteretirada {TS}, status string, idcentrocusto long",
-        "locacao": f"idlocacao string, valordiaria decimal(10,2), dtretirada {TS}, dtchegada {TS}, "
-                   f"idvagaretirada long, idvagadevolvida long, idveiculo long, idreserva long",
-        "movimentacao": f"idmovimentacao string, dtchegada {TS}, dtretirada {TS}, idveiculo long, "
-                        f"idvagaorigem long, idvagadestino long",
-    },
-    "B": {
-        "cliente": "id long, nome string, tipo string, cidade string",
-        "condutor": "id long, cliente_id long",
-        "grupo_veiculo": "id string, nome string",
-        "veiculo": "id long, placa string, chassi string, modelo string, marca string, cor string, "
-                   "tipo_mecanizacao string, ar_condicionado boolean, grupo_id string",
-        "patio": "id long, nome string, cidade string",
-        "reserva": "id long, cliente_id long, grupo_id string, patio_retirada_id long, patio_devolucao_id long, "
-                   "data_inicio date, data_fim date, status string",
-        "locacao": f"id string, reserva_id long, veiculo_id long, condutor_id long, patio_retirada_id long, "
-                   f"patio_devolucao_id long, data_retirada_realizada {TS}, data_devolucao_realizada {TS}",
-        "cobranca": "locacao_id string, valor decimal(10,2)",
-        "movimentacao_patio": f"id string, veiculo_id long, origem_patio_id long, destino_patio_id long, "
-                              f"data_movimentacao {TS}",
-    },
-    "C": {
-        "patio": "id_patio long, nome string, endereco string",
-        "grupo": "id_grupo string, nome string, codigo string",
-        "veiculo": "id_veiculo long, grupo_id string, placa string, chassi string, marca string, modelo string, "
-                   "cor string, ano_fabricacao int, mecanizacao string, tem_ar_condicionado boolean, "
-                   "patio_origem_id long, situacao string",
-        "cliente": "id_cliente long, tipo_pessoa string, nome string, cidade_origem string",
-        "reserva": f"id_reserva long, cliente_id long, grupo_id string, patio_retirada_id long, "
-                   f"patio_devolucao_id long, data_reserva {TS}, data_retirada_prevista {TS}, "
-                   f"data_devolucao_prevista {TS}, estado string",
-        "locacao": f"id_locacao string, reserva_id long, cliente_id long, veiculo_id long, patio_retirada_id long, "
-                   f"patio_devolucao_id long, data_retirada_real {TS}, data_devolucao_real {TS}, "
-                   f"valor_diaria_aplicada decimal(10,2), status string",
-    },
-    "D": {
-        "patio": "id_patio long, nome_patio string, localizacao string",
-        "grupo_veiculo": "id_grupo string, nome_grupo string",
-        "cliente": "id_cliente long, tipo_cliente string, nome_razao_social string, cidade string, estado string",
-        "veiculo": "id_veiculo long, placa string, chassi string, marca string, modelo string, cor string, "
-                   "mecanizacao string, ar_condicionado boolean, id_grupo string",
-        "reserva": "id_reserva long, data_reserva date, data_prev_retirada date, data_prev_devolucao date, "
-                   "status_reserva string, id_cliente long, id_grupo string, id_patio_retirada long, "
-                   "id_patio_devolucao_previsto long",
-        "locacao": f"id_locacao string, data_hora_retirada {TS}, data_hora_real_devolucao {TS}, "
-                   f"valor_previsto decimal(10,2), valor_final decimal(10,2), id_reserva long, id_cliente long, "
-                   f"id_veiculo long, id_patio_retirada long, id_patio_devolucao_real long",
-        "movimentacao_patio": f"id_movimentacao string, data_hora_movimentacao {TS}, motivo_movimentacao string, "
-                              f"id_veiculo long, id_patio_origem long, id_patio_destino long",
-    },
-}
+SCHEMAS = SOURCE_SCHEMAS
 
 ROWS = {
     "A": {
