@@ -48,8 +48,8 @@ def open_rentals(dw: dict[str, DataFrame], counts: dict[str, int] | None = None,
     today = F.lit(as_of).cast("date")
     f = dw["fato_locacao"].where(_c("sk_tempo_devolucao").isNull())
     g = _dim(dw, counts, "dim_grupo", _c("sk_grupo"), _c("nome_grupo"), _c("mecanizacao"))
-    v = dw["dim_veiculo"].select("sk_veiculo", "placa", "marca", "modelo")
-    c = dw["dim_cliente"].select("sk_cliente", "nome_cliente")
+    v = _dim(dw, counts, "dim_veiculo", _c("sk_veiculo"), _c("placa"), _c("marca"), _c("modelo"))
+    c = _dim(dw, counts, "dim_cliente", _c("sk_cliente"), _c("nome_cliente"))
     t_ret = _dim(dw, counts, "dim_tempo", _c("sk_tempo").alias("sk_tempo_retirada"), _c("dt_ref").alias("dt_retirada"))
     t_prev = _dim(dw, counts, "dim_tempo", _c("sk_tempo").alias("sk_tempo_devolucao_prevista"),
                   _c("dt_ref").alias("dt_devolucao_prevista"))
@@ -101,7 +101,7 @@ def reservation_demand(dw: dict[str, DataFrame], counts: dict[str, int] | None =
                  _c("dt_ref").alias("dt_dev"))
     f = fr.where(status_ok).join(t_ret, "sk_tempo_retirada_prevista").where(_c("dt_ret") > today)
     f = f.join(t_dev, "sk_tempo_devolucao_prevista", "left")
-    c = dw["dim_cliente"].select("sk_cliente", "cidade_origem", "tipo_cliente")
+    c = _dim(dw, counts, "dim_cliente", _c("sk_cliente"), _c("cidade_origem"), _c("tipo_cliente"))
     g = _dim(dw, counts, "dim_grupo", _c("sk_grupo"), _c("nome_grupo"), _c("mecanizacao"))
     p = _dim(dw, counts, "dim_patio", _c("sk_patio").alias("sk_patio_retirada"), _c("nome_patio"),
              _c("cidade").alias("cidade_patio_raw"))
@@ -133,18 +133,26 @@ def top_groups(dw: dict[str, DataFrame], counts: dict[str, int] | None = None,
     res = dw["fato_reserva"].select("id_sistema_origem", "id_reserva_origem",
                                     _c("qt_veiculos_solicitados").alias("qt_res"))
     f = f.join(res, ["id_sistema_origem", "id_reserva_origem"], "left")
+    # aggregate on the surrogate keys first: the customer dimension (too large to
+    # broadcast at scale) then meets one row per (group, customer, source)
+    pre = f.groupBy("sk_grupo", "sk_cliente", "id_sistema_origem").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qt_res").alias("qt"), F.sum("valor_total").alias("total"),
+        F.sum("valor_diaria").alias("rate"), F.count("valor_diaria").alias("n_rate"),
+        F.sum("dias_locacao").alias("days"), F.count("dias_locacao").alias("n_days"),
+        F.min("dias_locacao").alias("min_d"), F.max("dias_locacao").alias("max_d"))
     g = _dim(dw, counts, "dim_grupo", _c("sk_grupo"), _c("nome_grupo"), _c("mecanizacao"), _c("classe_luxo"))
-    c = dw["dim_cliente"].select("sk_cliente", "cidade_origem", "estado_origem", "tipo_cliente")
-    j = f.join(g, "sk_grupo").join(c, "sk_cliente")
+    c = _dim(dw, counts, "dim_cliente", _c("sk_cliente"), _c("cidade_origem"), _c("estado_origem"),
+             _c("tipo_cliente"))
+    j = pre.join(g, "sk_grupo").join(c, "sk_cliente")
     keys = ["nome_grupo", "mecanizacao", "classe_luxo", "cidade_origem", "estado_origem", "tipo_cliente",
             "id_sistema_origem"]
     agg = j.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("qt_locacoes"),
-        F.sum("qt_res").cast("long").alias("qt_veiculos_solicitados"),
-        F.sum("valor_total").cast("decimal(38,2)").alias("valor_total_periodo"),
-        F.sum("valor_diaria").alias("_sum_rate"), F.count("valor_diaria").alias("_n_rate"),
-        F.sum("dias_locacao").alias("_sum_days"), F.count("dias_locacao").alias("_n_days"),
-        F.min("dias_locacao").alias("min_dias_locacao"), F.max("dias_locacao").alias("max_dias_locacao"))
+        F.sum("n").alias("qt_locacoes"),
+        F.sum("qt").cast("long").alias("qt_veiculos_solicitados"),
+        F.sum("total").cast("decimal(38,2)").alias("valor_total_periodo"),
+        F.sum("rate").alias("_sum_rate"), F.sum("n_rate").alias("_n_rate"),
+        F.sum("days").alias("_sum_days"), F.sum("n_days").alias("_n_days"),
+        F.min("min_d").alias("min_dias_locacao"), F.max("max_d").alias("max_dias_locacao"))
     rank = F.rank().over(Window.partitionBy("id_sistema_origem").orderBy(_c("qt_locacoes").desc()))
     fill = lambda col: F.coalesce(_c(col), F.lit(NOT_INFORMED))
     out = agg.select(
