@@ -33,18 +33,26 @@ TIE_BREAK = {
 
 
 def date_bounds(std: dict[str, DataFrame]) -> DataFrame:  # L3
-    """MIN/MAX over the 8 date columns: one aggregate per table, no distinct."""
-    def mm(df: DataFrame, cols) -> DataFrame:
-        ds = [c.cast("date") for c in cols]
-        return df.agg(F.min(F.least(*ds)).alias("lo"), F.max(F.greatest(*ds)).alias("hi"))
+    """MIN/MAX over the 8 date columns, as plain-column aggregates.
 
-    c = F.col
-    parts = [
-        mm(std["std_locacao"], [c("dt_retirada"), c("dt_devolucao_real"), c("dt_devolucao_prevista")]),
-        mm(std["std_reserva"], [F.coalesce(c("dt_reserva"), c("dt_retirada_prevista")),
-                                c("dt_retirada_prevista"), c("dt_devolucao_prevista")]),
-        mm(std["std_movimentacao"], [c("dt_saida_origem"), c("dt_chegada_destino")]),
-    ]
+    The reference unions eight date lists (one of them COALESCE(dt_reserva,
+    dt_retirada_prevista)) only to take MIN and MAX. The union of that coalesce
+    with dt_retirada_prevista is the same set as the two columns' own values, so
+    every member is a plain column: one MIN/MAX pass per table, no distinct, and
+    answerable from Parquet footer statistics where aggregate pushdown is enabled.
+    Casting to date is monotonic, so it is applied after the aggregation.
+    """
+    cols = {
+        "std_locacao": ["dt_retirada", "dt_devolucao_real", "dt_devolucao_prevista"],
+        "std_reserva": ["dt_reserva", "dt_retirada_prevista", "dt_devolucao_prevista"],
+        "std_movimentacao": ["dt_saida_origem", "dt_chegada_destino"],
+    }
+    parts = []
+    for table, names in cols.items():
+        agg = std[table].agg(*[F.min(c).alias(f"lo_{c}") for c in names],
+                             *[F.max(c).alias(f"hi_{c}") for c in names])
+        parts.append(agg.select(F.least(*[F.col(f"lo_{c}") for c in names]).cast("date").alias("lo"),
+                                F.greatest(*[F.col(f"hi_{c}") for c in names]).cast("date").alias("hi")))
     u = reduce(lambda a, b: a.unionByName(b), parts)
     return u.agg(F.min("lo").alias("dt_ini"), F.max("hi").alias("dt_fim"))
 
