@@ -30,19 +30,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     )
 
 
+_PRIVATE_DIRS: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    It is read from the session; only when it is unset (local tests) a private
-    temporary folder is created and registered, so later checkpoints and written
-    tables land in one place that every executor can read.
+    It is read from the session. Only when it is unset (local tests) is a private
+    temporary folder created, once per SparkContext, and registered as the
+    checkpoint directory, so later checkpoints and written tables land in one
+    place that every executor can read.
     """
-    conf = spark.conf.get(_CKPT_KEY, None)
-    if not conf:
-        conf = spark.sparkContext.getConf().get(_CKPT_KEY, None)
+    conf = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getConf().get(_CKPT_KEY, None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="fleetdw-ckpt-")
-        spark.conf.set(_CKPT_KEY, conf)
+        key = id(spark.sparkContext)
+        conf = _PRIVATE_DIRS.get(key)
+        if conf is None:
+            conf = tempfile.mkdtemp(prefix="fleetdw-ckpt-")
+            _PRIVATE_DIRS[key] = conf
+            try:
+                spark.conf.set(_CKPT_KEY, conf)
+            except Exception:  # noqa: BLE001 - some deployments refuse runtime core confs
+                pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf)
     return conf.rstrip("/")
