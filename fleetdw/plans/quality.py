@@ -62,13 +62,19 @@ RESERVATION_STATUS = {
     SYS_D: ["ATIVA", "CANCELADA", "CONVERTIDA"],
 }
 GEARBOX = ["MANUAL", "AUTOMATICO"]
+# The 27 Brazilian federative units accepted by source A's address table.
+UF = ["AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA", "PB", "PR", "PE", "PI",
+      "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO"]
 
 
 def _outside(c: Column, lo: int, hi: int | None = None) -> Column:
     return (c < lo) if hi is None else ~c.between(lo, hi)
 
 
-def dq_domain(std: dict[str, DataFrame], dim_tempo: DataFrame) -> DataFrame:  # Q2
+def dq_domain(std: dict[str, DataFrame], dim_tempo: DataFrame,
+              sources: dict[str, dict[str, DataFrame]] | None = None) -> DataFrame:  # Q2
+    """Enum and range rules: on the conformed tables, on the calendar, and - when
+    ``sources`` is given - on the source columns the extracts read."""
     status_ok = reduce(lambda a, b: a | b, [(_c(SYS) == s) & _c("status").isin(*v)
                                             for s, v in RESERVATION_STATUS.items()])
     parts = [
@@ -90,6 +96,16 @@ def dq_domain(std: dict[str, DataFrame], dim_tempo: DataFrame) -> DataFrame:  #
             "dim_tempo.dia_semana": _outside(_c("dia_semana"), 1, 7),
             "dim_tempo.semana_ano": _outside(_c("semana_ano"), 1, 53)}),
     ]
+    if sources is not None:
+        a, c, d = sources["A"], sources["C"], sources["D"]
+        parts += [
+            rule_counts(a["endereco"], {f"{SYS_A}.endereco.uf": ~_c("uf").isin(*UF)}),
+            rule_counts(a["veiculo"], {f"{SYS_A}.veiculo.ano": _c("ano") < 1900}),
+            rule_counts(a["reserva"], {f"{SYS_A}.reserva.qtveiculossolicitados": _c("qtveiculossolicitados") < 1}),
+            rule_counts(a["locacao"], {f"{SYS_A}.locacao.valordiaria": _c("valordiaria") <= 0}),
+            rule_counts(c["locacao"], {f"{SYS_C}.locacao.valor_diaria_aplicada": _c("valor_diaria_aplicada") < 0}),
+            rule_counts(d["locacao"], {f"{SYS_D}.locacao.valor_previsto": _c("valor_previsto") < 0}),
+        ]
     return _union(parts)
 
 

@@ -212,7 +212,7 @@ def dq_not_null(spark, sf_dir):
 
 def dq_domain(spark, sf_dir):
     wh = warehouse_for(spark, sf_dir)
-    return Q.dq_domain(wh.std(), wh.table("dim_tempo"))
+    return Q.dq_domain(wh.std(), wh.table("dim_tempo"), Shapes(spark, sf_dir).all_sources())
 
 
 def dq_unique(spark, sf_dir):
