@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetdw.operators.insert_ignore import upsert
+from fleetdw.operators.insert_ignore import insert_ignore, upsert
 from fleetdw.operators.surrogate import assign_surrogate_key, assign_unique_key
 from fleetdw.plans import dims as D
 from fleetdw.plans import facts as FX
@@ -115,9 +115,46 @@ def stage_std(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
     stage_sources(Shapes(spark, sf_dir).all_sources(), wh)
 
 
-def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse) -> None:
-    """Extract + transform of four source shapes, written to ``std/`` (drop and rebuild)."""
+# Primary key of each raw staging table (the extracts' ON CONFLICT target).
+STAGING_KEYS = {"patio": "id_patio_origem", "cliente": "id_cliente_origem", "veiculo": "id_veiculo_origem",
+                "reserva": "id_reserva_origem", "locacao": "id_locacao_origem",
+                "movimentacao": "id_movimentacao_origem"}
+
+
+def persist_staging(stg: dict[str, dict[str, DataFrame]], wh: Warehouse) -> dict[str, Lazy]:
+    """Insert-ignore every extract into its raw staging table ``stg/<letter>_<entity>``.
+
+    This is the reference's staging layer: a row, once staged, is never refreshed
+    (D11: a rental staged while open stays open), and re-running the extracts is
+    idempotent. Returns the persisted tables for the transform.
+    """
+    spark = wh.spark
+
+    def name(letter: str, entity: str) -> str:
+        return f"{letter.lower()}_{entity}"
+
+    def one(letter: str, entity: str) -> None:
+        path = wh.path("stg", name(letter, entity))
+        existing = spark.read.parquet(path) if wh.exists("stg", name(letter, entity)) else None
+        batch = stg[letter][entity]
+        key = STAGING_KEYS[entity]
+        new = insert_ignore(existing, batch, [key], [c for c in batch.columns if c != key])
+        new.write.mode("append").parquet(path)
+
+    _in_parallel({f"{p}{e}": (lambda p=p, e=e: one(p, e)) for p in stg for e in stg[p]})
+    return {p: Lazy({e: (lambda p=p, e=e: spark.read.parquet(wh.path("stg", name(p, e)))) for e in stg[p]})
+            for p in stg}
+
+
+def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse,
+                  persist_staging_tables: bool = False) -> None:
+    """Extract + transform of four source shapes, written to ``std/`` (drop and rebuild).
+
+    With ``persist_staging_tables`` the extracts first go through the persisted,
+    insert-ignore raw staging layer (:func:`persist_staging`)."""
     stg = extract_all(sources)
+    if persist_staging_tables:
+        stg = persist_staging(stg, wh)
 
     def write(name: str) -> None:  # each thread builds only the frames its table reads
         TRANSFORMS[name](stg).write.mode("overwrite").parquet(wh.path("std", name))
@@ -226,10 +263,10 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -
 
 
 def build_from_sources(spark: SparkSession, sources: dict[str, dict[str, DataFrame]],
-                       root: str | None = None) -> Warehouse:
+                       root: str | None = None, persist_staging_tables: bool = False) -> Warehouse:
     """Full ETL from already-shaped source tables (``sources[letter][table]``)."""
     wh = Warehouse(spark, root or fresh_scratch(spark, "warehouse"))
-    stage_sources(sources, wh)
+    stage_sources(sources, wh, persist_staging_tables)
     return load(spark, wh)
 
 

@@ -236,3 +236,25 @@ def test_parquet_source_layout_round_trip(spark, dw):
         a = sorted((tuple(r) for r in dw[name].drop(*keys).collect()), key=repr)
         b = sorted((tuple(r) for r in wh2.table(name).drop(*keys).collect()), key=repr)
         assert a == b, name
+
+
+def test_persisted_staging_never_refreshes(spark):
+    """D11: with the reference's persisted staging, a rental staged while open stays
+    open even under mode="update"; re-staging is idempotent."""
+    from fixtures import ROWS, SCHEMAS, t
+
+    from fleetdw.plans.warehouse import stage_sources
+
+    wh = build_from_sources(spark, sources(spark), persist_staging_tables=True)
+    n_stg = spark.read.parquet(wh.path("stg", "c_locacao")).count()
+    rows = {p: dict(tables) for p, tables in ROWS.items()}
+    rows["C"]["locacao"] = [r if r[0] != "C1" else
+                            ("C1", 1, 1, 2, 30, 31, t("2026-01-02 10:00:00"), t("2026-01-09 11:00:00"),
+                             Decimal("50.00"), "CONCLUIDA") for r in ROWS["C"]["locacao"]]
+    changed = {p: {n: spark.createDataFrame(rows[p][n], ddl) for n, ddl in tables.items()}
+               for p, tables in SCHEMAS.items()}
+    stage_sources(changed, wh, persist_staging_tables=True)
+    load(spark, wh, mode="update")
+    assert spark.read.parquet(wh.path("stg", "c_locacao")).count() == n_stg
+    c1 = wh.table("fato_locacao").where(F.col("id_locacao_origem") == "C1").collect()
+    assert len(c1) == 1 and c1[0].status == "EM_ANDAMENTO"
