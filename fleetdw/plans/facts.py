@@ -63,7 +63,8 @@ def _rental_lookups(std_loc: DataFrame, dims: Dims, how: str) -> DataFrame:
                      {"sk_patio": "sk_patio_devolucao"}, "left")
 
 
-def fato_locacao_rows(std_loc: DataFrame, dims: Dims, existing: DataFrame | None = None) -> DataFrame:  # L9
+def fato_locacao_rows(std_loc: DataFrame, dims: Dims, existing: DataFrame | None = None,
+                      batch_rows: int | None = None) -> DataFrame:  # L9
     f = _rental_lookups(std_loc, dims, "inner").where(resolved_rate().isNotNull()
                                                       & _c("dt_retirada").isNotNull())
     out = f.select(
@@ -76,10 +77,11 @@ def fato_locacao_rows(std_loc: DataFrame, dims: Dims, existing: DataFrame | None
         _c("dias_locacao"), _c("km_rodados"),
         F.coalesce(_c("valor_total"), _c("valor_diaria") * _c("dias_locacao")).cast(MONEY).alias("valor_total"),
         _c("status"), _c("id_reserva_origem"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_locacao"], ["sk_tempo_retirada"])
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_locacao"], ["sk_tempo_retirada"], batch_rows)
 
 
-def fato_reserva_rows(std_res: DataFrame, dims: Dims, existing: DataFrame | None = None) -> DataFrame:  # L10
+def fato_reserva_rows(std_res: DataFrame, dims: Dims, existing: DataFrame | None = None,
+                      batch_rows: int | None = None) -> DataFrame:  # L10
     f = dims.look(std_res, "dim_cliente", [("id_cliente_origem", "id_cliente_origem"), (SYS, SYS)],
                   {"sk_cliente": "sk_cliente"}, "inner")
     f = dims.look(f, "dim_patio", [("id_patio_retirada_origem", "id_patio_origem"), (SYS, SYS)],
@@ -96,10 +98,11 @@ def fato_reserva_rows(std_res: DataFrame, dims: Dims, existing: DataFrame | None
         _c("antecedencia_dias"),
         F.coalesce(_c("qt_veiculos_solicitados"), F.lit(1)).alias("qt_veiculos_solicitados"),
         _c("status"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_reserva"], ["sk_tempo_reserva"])
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_reserva"], ["sk_tempo_reserva"], batch_rows)
 
 
-def fato_movimentacao_rows(std_mov: DataFrame, dims: Dims, existing: DataFrame | None = None) -> DataFrame:  # L11
+def fato_movimentacao_rows(std_mov: DataFrame, dims: Dims, existing: DataFrame | None = None,
+                           batch_rows: int | None = None) -> DataFrame:  # L11
     f = dims.look(std_mov, "dim_veiculo", [("id_veiculo_origem", "id_veiculo_origem"), (SYS, SYS)],
                   {"sk_veiculo": "sk_veiculo"}, "inner")
     f = dims.look(f, "dim_patio", [("id_patio_origem_origem", "id_patio_origem"), (SYS, SYS)],
@@ -110,7 +113,7 @@ def fato_movimentacao_rows(std_mov: DataFrame, dims: Dims, existing: DataFrame |
         _c("id_movimentacao_origem"), _c("sk_veiculo"), _c("sk_patio_origem"), _c("sk_patio_destino"),
         date_key(_c("dt_saida_origem")).alias("sk_tempo"), _c("motivo"),
         F.lit(1).alias("quantidade_veiculos"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_movimentacao_patio"], ["sk_tempo"])
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_movimentacao_patio"], ["sk_tempo"], batch_rows)
 
 
 def discards(std: dict[str, DataFrame], dims: Dims) -> DataFrame:  # Q9

@@ -248,7 +248,9 @@ def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
             out.write.mode("overwrite").partitionBy("id_sistema_origem").parquet(path)
             wh.versions[name] = path
         else:
-            rows = assign_unique_key(fn(std[src], dims, existing), sk, start)
+            # a known batch size lets the conflict check probe the fact map-side
+            batch_rows = _count(spark, wh.table_path(src)) if existing is not None else None
+            rows = assign_unique_key(fn(std[src], dims, existing, batch_rows), sk, start)
             rows.write.mode("append").partitionBy("id_sistema_origem").parquet(path)
         wh.written(name)
 

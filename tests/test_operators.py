@@ -7,7 +7,7 @@ SCHEMA = "k string, tb int, v string"
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_insert_ignore_skips_existing_and_later_in_batch_duplicates(spark):
@@ -60,3 +60,13 @@ def test_surrogate_keys_dense_and_ordered_across_partitions(spark):
 def test_surrogate_keys_on_empty_input(spark):
     df = spark.createDataFrame([], "nk string")
     assert assign_surrogate_key(df, ["nk"], "sk").count() == 0
+
+
+def test_insert_ignore_incremental_plan_same_result(spark):
+    target = spark.createDataFrame([(f"k{i}", 1, "old") for i in range(50)] + [(None, 1, "t")], SCHEMA)
+    batch = spark.createDataFrame([("k3", 0, "x"), ("new", 2, "y"), ("new", 1, "z"), (None, 5, "n")], SCHEMA)
+    plain = rows(insert_ignore(target, batch, ["k"], ["tb"]))
+    probed = insert_ignore(target, batch, ["k"], ["tb"], batch_rows=4)
+    assert rows(probed) == plain == sorted([(None, 5, "n"), ("new", 1, "z")], key=repr)
+    plan = probed._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
