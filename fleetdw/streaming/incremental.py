@@ -31,7 +31,9 @@ def load_batch(wh: Warehouse, fact: str, batch: DataFrame) -> None:
     start = 1
     if existing is not None:
         start = int(existing.agg(F.max(FACT_SK[fact])).collect()[0][0] or 0) + 1
-    rows = assign_unique_key(build(batch, wh.dims(), existing), FACT_SK[fact], start)
+    # a micro-batch is small: its size lets the conflict check probe the fact map-side
+    batch_rows = int(batch.count()) if existing is not None else None
+    rows = assign_unique_key(build(batch, wh.dims(), existing, batch_rows), FACT_SK[fact], start)
     rows.write.mode("append").partitionBy("id_sistema_origem").parquet(wh.table_path(fact))
     wh.written(fact)
 
