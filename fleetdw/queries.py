@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetdw.operators.insert_ignore import dedup_batch, insert_ignore, skipped_by_reason, upsert
+from fleetdw.operators.lookup import lookup
 from fleetdw.operators.surrogate import assign_surrogate_key
 from fleetdw.plans import dims as D
 from fleetdw.plans import markov as M
@@ -24,7 +25,7 @@ from fleetdw.plans.facts import discards
 from fleetdw.plans.transform import TRANSFORMS
 from fleetdw.plans.warehouse import DIM_ORDER, warehouse_for
 from fleetdw.sources.adapters import Shapes
-from fleetdw.sources.extract import ENTITIES, EXTRACTS
+from fleetdw.sources.extract import ENTITIES, EXTRACTS, a_reserva
 from fleetdw.sources.tpch import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,8 +96,6 @@ def _dim_query(name: str) -> Query:
 
 def _natural(dw: dict[str, DataFrame], counts, fact: str) -> DataFrame:
     """Fact rows with each surrogate key replaced by the natural key it points to."""
-    from fleetdw.operators.lookup import lookup
-
     f = dw[fact]
     n = counts or {}
     if "sk_cliente" in f.columns:
@@ -229,8 +228,6 @@ def dq_fk(spark, sf_dir):
 
 
 def dq_order(spark, sf_dir):
-    from fleetdw.sources.extract import a_reserva
-
     return Q.dq_order(warehouse_for(spark, sf_dir).std(), a_reserva(Shapes(spark, sf_dir).source_a()))
 
 
