@@ -24,7 +24,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from fleetdw.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="fleetdw-bench")
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(4, cpus)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle, app="fleetdw-bench")
     spark.sparkContext.setLogLevel("ERROR")
     from fleetdw.plans.warehouse import _CACHE, build_warehouse
     from fleetdw.queries import registry
