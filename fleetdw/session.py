@@ -72,3 +72,24 @@ def fresh_scratch(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a run over ``input_bytes`` of source data.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    before AQE coalescing (never fewer than 2 per core). The file split and AQE's
+    advisory size use the same target, so a task's input fits in executor memory
+    and spills stay rare. Skewed partitions (a key holding a third of the rows)
+    are split by AQE. Apply with ``spark.conf.set`` before building the warehouse.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
