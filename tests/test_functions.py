@@ -54,3 +54,11 @@ def test_exact_rounding(spark):
     avg = spark.createDataFrame([(12345, 2)], "s long, c long").select(
         avg_round(F.col("s"), F.col("c"), 2, in_scale=2)).collect()[0][0]
     assert avg == Decimal("61.73")
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from fleetdw.session import scale_conf
+
+    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "409600"
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"  # floor: two per core
+    assert scale_conf(1 << 30, 1, target_partition_bytes=128 << 20)["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
