@@ -163,6 +163,19 @@ def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse,
     _in_parallel({name: (lambda name=name: write(name)) for name in TRANSFORMS})
 
 
+ROWS_PER_KEY_PARTITION = 2_000_000
+DIM_SOURCE = {"dim_patio": "std_patio", "dim_cliente": "std_cliente", "dim_grupo": "std_grupo",
+              "dim_veiculo": "std_veiculo"}
+
+
+def _key_partitions(wh: Warehouse, name: str) -> int:
+    """Range partitions for numbering ``name``: sized from its standard table's row
+    count (Parquet footers), at most the session's shuffle partitions."""
+    rows = _count(wh.spark, wh.table_path(DIM_SOURCE[name]))
+    cap = int(wh.spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, -(-rows // ROWS_PER_KEY_PARTITION)))
+
+
 def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
     spark = wh.spark
     sk = D.SK_COLUMN[name]
@@ -171,7 +184,8 @@ def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
     if wh.exists("dw", name):
         mx = spark.read.parquet(path).agg(F.max(sk)).collect()[0][0]
         start = int(mx or 0) + 1
-    keyed = assign_surrogate_key(new_rows, NATURAL_KEYS[name], sk, start=start)
+    keyed = assign_surrogate_key(new_rows, NATURAL_KEYS[name], sk, start=start,
+                                 num_partitions=_key_partitions(wh, name))
     keyed.write.mode("append").parquet(path)
     wh.written(name)
 
@@ -188,7 +202,8 @@ def _refresh_dim(wh: Warehouse, name: str, std: dict[str, DataFrame]) -> None:
     known = full.join(old, keys, "inner").select(sk, *D.DIM_COLUMNS[name])
     fresh = full.join(old, keys, "left_anti").select(*D.DIM_COLUMNS[name])
     start = int(existing.agg(F.max(sk)).collect()[0][0] or 0) + 1
-    out = known.unionByName(assign_surrogate_key(fresh, keys, sk, start=start))
+    out = known.unionByName(assign_surrogate_key(fresh, keys, sk, start=start,
+                                                 num_partitions=_key_partitions(wh, name)))
     path = wh.new_version(name)
     out.write.mode("overwrite").parquet(path)
     wh.versions[name] = path
