@@ -46,6 +46,8 @@ class Warehouse:
     counts: dict[str, int] = field(default_factory=dict)
     # table -> folder of its current version (update mode writes new versions)
     versions: dict[str, str] = field(default_factory=dict)
+    # rows added to each warehouse table by the last load (0 everywhere on a re-run)
+    inserted: dict[str, int] = field(default_factory=dict)
     # read frames, reused across queries (one file listing / footer read per table);
     # dropped whenever the table is written again
     _frames: dict[str, DataFrame] = field(default_factory=dict, repr=False)
@@ -76,10 +78,13 @@ class Warehouse:
         return df
 
     def written(self, name: str) -> None:
-        """Record a write: forget the cached frame and refresh the row count."""
+        """Record a write: forget the cached frame, refresh the row count and log
+        how many rows the write added (``inserted``, per table, last load)."""
         self._frames.pop(name, None)
         if not name.startswith("std_"):
+            before = self.counts.get(name, 0)
             self.counts[name] = _count(self.spark, self.table_path(name))
+            self.inserted[name] = self.counts[name] - before
 
     def new_version(self, name: str) -> str:
         """A fresh folder for the next version of ``name`` (write new, then switch)."""

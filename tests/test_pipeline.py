@@ -195,6 +195,7 @@ def test_reload_inserts_nothing(spark, wh):
     load(spark, wh)
     after = {n: sorted(tuple(r) for r in wh.table(n).collect()) for n in before}
     assert before == after
+    assert set(wh.inserted) >= {"dim_tempo", "dim_patio", "fato_locacao"} and not any(wh.inserted.values())
 
 
 def test_update_mode_refreshes_returned_rental(spark):
