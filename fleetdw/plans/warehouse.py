@@ -299,7 +299,8 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Build once per (session, input folder); reports then read the written tables."""
     key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
     wh = _CACHE.get(key)
-    if wh is None or not wh.exists("dw", "fato_locacao"):
+    # ids can be reused after a session is stopped: only trust a build of this very session
+    if wh is None or wh.spark is not spark or not wh.exists("dw", "fato_locacao"):
         wh = build_warehouse(spark, sf_dir)
         _CACHE[key] = wh
     return wh
