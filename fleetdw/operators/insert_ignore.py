@@ -53,7 +53,7 @@ def dedup_batch(batch: DataFrame, keys: Sequence[str], tie_break: Sequence[str]
 
 def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
                   tie_break: Sequence[str] = (), batch_rows: int | None = None,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  max_broadcast_rows: int = 1_000_000, probe: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` that ``ON CONFLICT (keys) DO NOTHING`` would insert.
 
     NULL keys never equal anything, so NULL-key rows survive the anti join.
@@ -61,15 +61,17 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
     ``batch_rows`` (a known row count of ``batch``) enables the incremental plan:
     when the batch is at most ``max_broadcast_rows`` rows, its keys are broadcast
     and probed against the target on the map side, so a daily delta is checked
-    against a large table without shuffling the table's keys.
+    against a large table without shuffling the table's keys. ``probe`` is a cheap
+    frame holding the batch's key columns (e.g. the staging table the batch was
+    derived from), so the batch's own plan is not evaluated twice.
     """
     deduped = dedup_batch(batch, keys, tie_break)
     if target is None:
         return deduped
     existing = target.select(*keys).where(~_any_null(keys))
     if batch_rows is not None and batch_rows <= max_broadcast_rows:
-        probe = F.broadcast(batch.select(*keys).where(~_any_null(keys)))
-        existing = F.broadcast(existing.join(probe, list(keys), "left_semi"))
+        probe_keys = F.broadcast((probe if probe is not None else batch).select(*keys).where(~_any_null(keys)))
+        existing = F.broadcast(existing.join(probe_keys, list(keys), "left_semi"))
     return deduped.join(existing, list(keys), "left_anti").select(*batch.columns)
 
 

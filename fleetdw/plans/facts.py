@@ -77,7 +77,8 @@ def fato_locacao_rows(std_loc: DataFrame, dims: Dims, existing: DataFrame | None
         _c("dias_locacao"), _c("km_rodados"),
         F.coalesce(_c("valor_total"), _c("valor_diaria") * _c("dias_locacao")).cast(MONEY).alias("valor_total"),
         _c("status"), _c("id_reserva_origem"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_locacao"], ["sk_tempo_retirada"], batch_rows)
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_locacao"], ["sk_tempo_retirada"], batch_rows,
+                         probe=std_loc)
 
 
 def fato_reserva_rows(std_res: DataFrame, dims: Dims, existing: DataFrame | None = None,
@@ -98,7 +99,8 @@ def fato_reserva_rows(std_res: DataFrame, dims: Dims, existing: DataFrame | None
         _c("antecedencia_dias"),
         F.coalesce(_c("qt_veiculos_solicitados"), F.lit(1)).alias("qt_veiculos_solicitados"),
         _c("status"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_reserva"], ["sk_tempo_reserva"], batch_rows)
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_reserva"], ["sk_tempo_reserva"], batch_rows,
+                         probe=std_res)
 
 
 def fato_movimentacao_rows(std_mov: DataFrame, dims: Dims, existing: DataFrame | None = None,
@@ -113,7 +115,8 @@ def fato_movimentacao_rows(std_mov: DataFrame, dims: Dims, existing: DataFrame |
         _c("id_movimentacao_origem"), _c("sk_veiculo"), _c("sk_patio_origem"), _c("sk_patio_destino"),
         date_key(_c("dt_saida_origem")).alias("sk_tempo"), _c("motivo"),
         F.lit(1).alias("quantidade_veiculos"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_movimentacao_patio"], ["sk_tempo"], batch_rows)
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_movimentacao_patio"], ["sk_tempo"], batch_rows,
+                         probe=std_mov)
 
 
 def discards(std: dict[str, DataFrame], dims: Dims) -> DataFrame:  # Q9
