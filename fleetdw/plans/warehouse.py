@@ -68,6 +68,8 @@ class Warehouse:
             except Exception:  # noqa: BLE001 - missing path
                 return False
         local = p[5:] if p.startswith("file:") else p
+        if os.path.isfile(os.path.join(local, "_SUCCESS")):  # job-commit marker: O(1)
+            return True
         return os.path.isdir(local) and any(f.endswith(".parquet") for _, _, fs in os.walk(local) for f in fs)
 
     def table(self, name: str) -> DataFrame:
