@@ -259,3 +259,14 @@ def test_persisted_staging_never_refreshes(spark):
     assert spark.read.parquet(wh.path("stg", "c_locacao")).count() == n_stg
     c1 = wh.table("fato_locacao").where(F.col("id_locacao_origem") == "C1").collect()
     assert len(c1) == 1 and c1[0].status == "EM_ANDAMENTO"
+
+
+def test_markov_matrix_dynamic_columns_and_limit(dw, monkeypatch):
+    wide = M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"])
+    names = [r.nome_patio for r in M.yard_columns(dw["dim_patio"]).collect()]
+    assert wide.columns == ["patio_origem", *names, "total_saidas_origem"]
+    row = [r for r in wide.collect() if r.patio_origem == "Yard X" and r.total_saidas_origem == 3][0]
+    assert row["A-Sul"] == Decimal("66.67") and row["B-Leste"] is None
+    monkeypatch.setattr(M, "MATRIX_MAX_COLUMNS", 3)
+    with pytest.raises(ValueError):
+        M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"])
