@@ -62,3 +62,11 @@ def test_scale_conf_sizes_partitions_from_input():
     assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "409600"
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"  # floor: two per core
     assert scale_conf(1 << 30, 1, target_partition_bytes=128 << 20)["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+
+
+def test_calendar_span_guard(spark):
+    import pytest
+
+    bounds = spark.createDataFrame([(dt.date(1800, 1, 1), dt.date(2100, 1, 1))], "dt_ini date, dt_fim date")
+    with pytest.raises(Exception, match="MAX_CALENDAR_DAYS"):
+        calendar(bounds).count()
