@@ -270,3 +270,23 @@ def test_markov_matrix_dynamic_columns_and_limit(dw, monkeypatch):
     monkeypatch.setattr(M, "MATRIX_MAX_COLUMNS", 3)
     with pytest.raises(ValueError):
         M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"])
+
+
+def test_new_dimension_member_gets_next_key(spark):
+    """L0 on a later load: existing keys unchanged, a new yard gets max + 1."""
+    from fixtures import ROWS, SCHEMAS
+
+    from fleetdw.plans.warehouse import stage_sources
+
+    wh = build_from_sources(spark, sources(spark))
+    before = {(r.id_sistema_origem, r.id_patio_origem): r.sk_patio for r in wh.table("dim_patio").collect()}
+    rows = {p: dict(tables) for p, tables in ROWS.items()}
+    rows["D"]["patio"] = ROWS["D"]["patio"] + [(39, "D-Aeroporto", "Terminal 1")]
+    changed = {p: {n: spark.createDataFrame(rows[p][n], ddl) for n, ddl in tables.items()}
+               for p, tables in SCHEMAS.items()}
+    stage_sources(changed, wh)
+    load(spark, wh)
+    after = {(r.id_sistema_origem, r.id_patio_origem): r.sk_patio for r in wh.table("dim_patio").collect()}
+    assert {k: after[k] for k in before} == before
+    assert after[(SYS_D, "39")] == max(before.values()) + 1
+    assert wh.inserted["dim_patio"] == 1 and wh.inserted["fato_locacao"] == 0
