@@ -8,6 +8,7 @@ schema, reports read it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,18 @@ MATRIX_YARDS = ["Supplier#000000000", "Supplier#000000001", "Supplier#000000002"
                 "Supplier#000000003", "Supplier#000000004"]
 
 
+_SHAPES: dict[tuple[int, str], Shapes] = {}
+
+
+def _shapes(spark, sf_dir) -> Shapes:
+    """Source shapes per (session, input folder): the supplier count is taken once."""
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    sh = _SHAPES.get(key)
+    if sh is None or sh.spark is not spark:
+        sh = _SHAPES[key] = Shapes(spark, sf_dir)
+    return sh
+
+
 def _wh(spark, sf_dir):
     wh = warehouse_for(spark, sf_dir)
     return wh, wh.tables()
@@ -65,7 +78,7 @@ def markov_columns(spark, sf_dir):
 # ------------------------------------------------------------------ extract / transform
 def _extract_query(letter: str, entity: str) -> Query:
     def q(spark, sf_dir):
-        src = getattr(Shapes(spark, sf_dir), f"source_{letter.lower()}")()
+        src = getattr(_shapes(spark, sf_dir), f"source_{letter.lower()}")()
         return EXTRACTS[letter][entity](src)
     q.__name__ = f"ext_{letter.lower()}_{entity}"
     return q
@@ -199,7 +212,7 @@ def top_groups_completed(spark, sf_dir):
 # ------------------------------------------------------------------ source C views
 def _view(fn) -> Query:
     def q(spark, sf_dir):
-        return fn(Shapes(spark, sf_dir).source_c())
+        return fn(_shapes(spark, sf_dir).source_c())
     q.__name__ = fn.__name__
     return q
 
@@ -211,7 +224,7 @@ def dq_not_null(spark, sf_dir):
 
 def dq_domain(spark, sf_dir):
     wh = warehouse_for(spark, sf_dir)
-    return Q.dq_domain(wh.std(), wh.table("dim_tempo"), Shapes(spark, sf_dir).all_sources())
+    return Q.dq_domain(wh.std(), wh.table("dim_tempo"), _shapes(spark, sf_dir).all_sources())
 
 
 def dq_unique(spark, sf_dir):
@@ -220,7 +233,7 @@ def dq_unique(spark, sf_dir):
 
 
 def dq_one_open(spark, sf_dir):
-    return Q.dq_one_open(warehouse_for(spark, sf_dir).std(), Shapes(spark, sf_dir).source_c())
+    return Q.dq_one_open(warehouse_for(spark, sf_dir).std(), _shapes(spark, sf_dir).source_c())
 
 
 def dq_fk(spark, sf_dir):
@@ -228,11 +241,11 @@ def dq_fk(spark, sf_dir):
 
 
 def dq_order(spark, sf_dir):
-    return Q.dq_order(warehouse_for(spark, sf_dir).std(), a_reserva(Shapes(spark, sf_dir).source_a()))
+    return Q.dq_order(warehouse_for(spark, sf_dir).std(), a_reserva(_shapes(spark, sf_dir).source_a()))
 
 
 def dq_xor(spark, sf_dir):
-    return Q.dq_xor(Shapes(spark, sf_dir).source_a(), warehouse_for(spark, sf_dir).std())
+    return Q.dq_xor(_shapes(spark, sf_dir).source_a(), warehouse_for(spark, sf_dir).std())
 
 
 def dq_time(spark, sf_dir):
