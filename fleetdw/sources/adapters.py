@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetdw.functions.dates import date_key
 from fleetdw.schemas import MONEY
 from fleetdw.sources.lazy import Lazy
 from fleetdw.sources.tpch import Tables
@@ -40,7 +41,7 @@ def rental_id() -> Column:
         _c("l_linenumber").cast("string"),
         _c("l_partkey").cast("string"),
         _c("l_suppkey").cast("string"),
-        F.date_format(_c("l_shipdate"), "yyyyMMdd"),
+        date_key(_c("l_shipdate")).cast("string"),  # yyyymmdd without a per-row formatter
     )
 
 
