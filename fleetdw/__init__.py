@@ -5,10 +5,12 @@ model, loaded into a star schema with insert-ignore semantics and surrogate keys
 checked against declared data-quality rules and served as fleet-management reports.
 
 Layout:
-    sources/    driver-table adapters (the four source shapes) and extracts E1-E24
-    functions/  column expressions: whole-day spans, smart date keys, calendar, names
+    sources/    source table shapes and readers (Parquet layout, JDBC), the driver-table
+                adapter (test data), extracts E1-E24
+    functions/  column expressions: whole-day spans, smart date keys, calendar, exact rounding
     operators/  insert_ignore / upsert, surrogate keys, size-checked dimension lookups
-    plans/      transform T1-T7, dimension and fact loads, reports, Markov, views, DQ
+    plans/      transform T1-T7, warehouse loads (ignore / update, optional persisted
+                staging), reports R1-R4, Markov M1-M4, source views V1-V5, DQ Q1-Q10
     streaming/  the same insert-ignore load driven by Structured Streaming micro-batches
     checks/     DuckDB SQL oracle used by the correctness gate
 """
