@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetdw.llm import bpe, simhash
+from fleetdw.llm import bpe, pii, simhash
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -19,6 +19,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op8_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_read(spark, sf_dir, "documents")).drop("text_hash", "hits")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -28,4 +32,4 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_simhash_near_dedup, op10_bpe_encode_decode)}
+    return {f.__name__: f for f in (op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
