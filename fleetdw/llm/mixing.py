@@ -243,3 +243,25 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
             .select("doc_id", "size", "source_size", "target",
                     ((F.col("whole") + F.when(F.col("i") <= F.col("extra"), 1).otherwise(0)) * F.col("size"))
                     .cast("long").alias("taken")))
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          share: float = 1.5, max_copies: int = 2, seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of ``df``, as it is, as many times as the mix takes it."""
+    size = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("size"),
+                     F.array(source_key(F.col(source_col).cast("string"))).alias("sources"))
+    decisions, _ = decide(docs, share, max_copies, seed)
+    decisions = decisions.select(F.col("doc_id").alias("__id"), F.col("size").alias("__n"), "pattern",
+                                 "whole", "extra", "n")
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__d"), F.col(id_col).cast("long").alias("__i"),
+                     size.alias("__s"), F.to_json(F.array(source_key(F.col(source_col).cast("string")))).alias("__p"))
+    met = rows.join(decisions, F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__s") == F.col("__n"))
+                    & (F.col("__p") == F.col("pattern")))
+    alike = W.partitionBy("__i", "__s", "__p").orderBy(F.xxhash64("__d"))
+    one = F.when(F.col("extra") > 0, 1).otherwise(0)
+    split = (F.col("extra") > 0) & (F.col("extra") < F.col("n"))  # some of the rows alike
+    some = met.where(split).withColumn("more", F.when(F.row_number().over(alike) <= F.col("extra"), 1).otherwise(0))
+    copies = met.where(~split).withColumn("more", one).unionByName(some).withColumn("copies", F.col("whole") + F.col("more"))
+    return (copies.where("copies > 0").select("__d", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__k"))
+            .select("__d.*"))

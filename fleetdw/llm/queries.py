@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetdw.llm import bpe, mixing, pii, simhash
+from fleetdw.llm import bpe, mixing, pii, simhash, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -19,6 +19,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), share=1.5, max_copies=2)
 
@@ -36,4 +40,4 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
+    return {f.__name__: f for f in (op1_toxicity_bigru, op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
