@@ -38,6 +38,7 @@ from fleetdw.llm.components import connected_components
 
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
+HOT = 2000
 LOW = 0x5555555555555555  # the lower bit of every segment
 HIGH = -0x5555555555555556  # the upper bits, as a signed 64-bit value
 
@@ -133,12 +134,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``df``."""
     docs = materialise(fingerprints(df, id_col, text_col, shingle), "simhash")
-    points = materialise(docs.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-points")
+    points = materialise(docs.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")),
+                         "simhash-points")
     roots = connected_components(links(points, max_bits))
     linked = points.join(roots.withColumnRenamed("node", "fp"), "fp")
     lowest = linked.groupBy("root").agg(F.min("low").alias("root_low"))
     moved = linked.join(lowest, "root").select("fp", "root_low")  # only fingerprints on a link
-    named = points.join(moved, "fp", "left").select(
-        "fp", F.coalesce("root_low", "low").alias("component_id"))
-    return docs.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = materialise(points.join(moved, "fp", "left").select(
+        "fp", "n", F.coalesce("root_low", "low").alias("component_id")), "simhash-named")
+    # fingerprints of more than 1/HOT of all rows are fewer than HOT: small enough to broadcast
+    many = F.col("n") * HOT > docs.count()
+    hot, cold = F.broadcast(named.where(many).drop("n")), named.where(~many).drop("n")
+    every = docs.join(hot, "fp").unionByName(docs.join(hot, "fp", "left_anti").join(cold, "fp"))
+    return every.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
