@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetdw.llm import bpe, mixing, pii, simhash, toxicity
+from fleetdw.llm import bpe, mixing, pii, simhash, token_files, toxicity
 
+BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,10 @@ def op1_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_token_files_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
+
+
 def op6_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), share=1.5, max_copies=2)
 
@@ -40,4 +45,4 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity_bigru, op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
+    return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
