@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetdw.session import shared_dir
 
@@ -49,3 +50,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Keys that hold more than 1/HOT of all rows are fewer than HOT.
+HOT = 2000
+
+
+def join_by_key(rows: DataFrame, keyed: DataFrame, on: list[str], count: str) -> DataFrame:
+    """Inner join of ``rows`` with one row per key; ``count``: how many rows a key has. Keys
+    that hold more than 1/HOT of the rows are fewer than ``HOT``, so they are broadcast
+    and their rows stay where they are; the others are shuffled. Both sides are read
+    twice, so they should be tables that are written already."""
+    many = F.col(count) * HOT > rows.count()
+    hot, cold = F.broadcast(keyed.where(many).drop(count)), keyed.where(~many).drop(count)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))

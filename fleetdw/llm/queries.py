@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetdw.llm import bpe, mixing, pii, simhash, token_files, toxicity
+from fleetdw.llm import bpe, embed_dedup, mixing, pii, secret_scan, simhash, token_files, toxicity
 
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -28,6 +29,15 @@ def op2_token_files_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find(_read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS),
+                            public_tokenizers.PATTERN).drop("found")
+
+
 def op6_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), share=1.5, max_copies=2)
 
@@ -45,4 +55,5 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
+    return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op4_embedding_near_dedup,
+                                    op5_secret_scan, op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}

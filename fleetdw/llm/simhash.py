@@ -33,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetdw.llm.common import materialise, ship_package
+from fleetdw.llm.common import join_by_key, materialise, ship_package
 from fleetdw.llm.components import connected_components
 
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
-HOT = 2000
 LOW = 0x5555555555555555  # the lower bit of every segment
 HIGH = -0x5555555555555556  # the upper bits, as a signed 64-bit value
 
@@ -142,8 +141,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     moved = linked.join(lowest, "root").select("fp", "root_low")  # only fingerprints on a link
     named = materialise(points.join(moved, "fp", "left").select(
         "fp", "n", F.coalesce("root_low", "low").alias("component_id")), "simhash-named")
-    # fingerprints of more than 1/HOT of all rows are fewer than HOT: small enough to broadcast
-    many = F.col("n") * HOT > docs.count()
-    hot, cold = F.broadcast(named.where(many).drop("n")), named.where(~many).drop("n")
-    every = docs.join(hot, "fp").unionByName(docs.join(hot, "fp", "left_anti").join(cold, "fp"))
+    every = join_by_key(docs, named, ["fp"], "n")
     return every.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
