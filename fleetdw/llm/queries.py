@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetdw.llm import bpe, embed_dedup, mixing, pii, secret_scan, simhash, token_files, toxicity
+from fleetdw.llm import ann, bpe, embed_dedup, mixing, pii, secret_scan, simhash, token_files, toxicity
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -42,6 +43,10 @@ def op6_mixing_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), share=1.5, max_copies=2)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_read(spark, sf_dir, "documents")).drop("text_hash", "hits")
 
@@ -56,4 +61,5 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op4_embedding_near_dedup,
-                                    op5_secret_scan, op6_mixing_flow, op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
+                                    op5_secret_scan, op6_mixing_flow, op7_nearest_neighbours,
+                                    op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
