@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetdw.llm import ann, bpe, embed_dedup, mixing, pii, secret_scan, simhash, token_files, toxicity
+from fleetdw.llm import ann, bpe, embed_dedup, mixing, pii, secret_scan, sharding, simhash, token_files, toxicity
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -30,6 +30,10 @@ def op2_token_files_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), end_id=2)
 
 
+def op3_sharding_extendible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_read(spark, sf_dir, "documents"), limit=sharding.LIMIT)
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -60,6 +64,6 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op4_embedding_near_dedup,
+    return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op3_sharding_extendible, op4_embedding_near_dedup,
                                     op5_secret_scan, op6_mixing_flow, op7_nearest_neighbours,
                                     op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
