@@ -60,7 +60,7 @@ LOOSE = {
 NEEDS = {("email", True): "@", ("phone", True): "+", ("email", False): "at"}
 GENERATORS = [(k, True, BASE[k]) for k in KINDS] + [(k, False, LOOSE[k]) for k in KINDS if k in LOOSE]
 
-BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 IP_OK = rf"^{BYTE}(?:\.{BYTE}){{3}}$"
 
 CONTEXT = 24  # characters kept before a match
@@ -74,7 +74,7 @@ WORDS = {  # context words, by what they announce
 FEATURES = {"f_kind": 4, "f_digits": 9, "f_seps": 5, "f_marks": 16, "f_left": 4, "f_right": 4, "f_words": 5}
 MAX_CELLS = math.prod(FEATURES.values())
 PRECISION = 0.5
-ROUNDS, RATE, DEPTH, LEAST = 40, 0.4, 3, 4.0
+ROUNDS, RATE, DEPTH, LEAST = 40, 0.4, 3, 1
 
 
 def _matches(text: Column, gen: int) -> Column:

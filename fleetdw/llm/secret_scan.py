@@ -47,8 +47,9 @@ SLICE = 256
 # Hexadecimal lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
-DIGEST_NAME = re.compile(r"(md5|sha-?(1|224|256|384|512)|blake2[bs]|crc32|etag|integrity)[\"'\x20]*[:=-]?[\"'\x20]*$",
-                         re.IGNORECASE)
+DIGEST = r"(md5|sha-?(1|224|256|384|512)|blake2[bs]|crc32|etag|integrity)"
+DIGEST_NAME = re.compile(DIGEST + r"[\"'\x20]*[:=-]?[\"'\x20]*$", re.IGNORECASE)
+DIGEST_RUN = re.compile(DIGEST + "[=_-]", re.IGNORECASE)  # "-" and "=" belong to runs
 
 
 class Tokens:
@@ -71,7 +72,7 @@ def known(run: str, before: str) -> bool:
     letters = run.strip("=")
     if not any(c.isdigit() for c in letters) or not any(c.isalpha() for c in letters):
         return True
-    if UUID.fullmatch(letters) or DIGEST_NAME.search(before):
+    if UUID.fullmatch(letters) or DIGEST_NAME.search(before) or DIGEST_RUN.match(run):
         return True
     return len(letters) in DIGEST_LENGTHS and all(c in "0123456789abcdefABCDEF" for c in letters)
 

@@ -1,0 +1,26 @@
+import public_tokenizers
+
+import corpus_pipeline as P
+from fleetdw.llm import bpe, simhash
+
+
+def test_stages_and_run(spark, sf_dir, documents):
+    columns, docs = documents.columns, documents
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == columns and out.schema.simpleString() == docs.schema.simpleString(), name
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    assert [n for n, _ in P.STAGES] == ["toxicity", "simhash_near_dedup", "pii", "mixing", "bpe"]
+    want = sorted(map(tuple, bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")).collect()))
+    assert sorted(map(tuple, P.run(spark, sf_dir).collect())) == want
+
+
+def test_one_document_of_each_group_stays(spark, sf_dir, documents):
+    ids = {r["doc_id"] for r in P.near_dedup(spark, documents, sf_dir).collect()}
+    assert ids == {r["component_id"] for r in simhash.near_duplicates(documents).collect()}
+
+
+def test_empty_documents(spark, sf_dir, documents):
+    docs = documents.where("1 = 0")
+    for _, stage in P.STAGES:
+        assert stage(spark, docs, sf_dir).collect() == []
