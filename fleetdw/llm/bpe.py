@@ -37,7 +37,7 @@ from fleetdw.llm.common import ship_package
 
 WORD_END = "</w>"
 BLOCK_CHARS = 2_000_000
-MEMO_CHARS = 10_000_000
+MEMO_CHARS = 7_000_000
 #: White space for str.split() but not for the vocabulary's \s.
 ODD_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _PLAIN_SPACE = re.compile("[ \t\n\r\x0b\x0c\x85\xa0]+")
