@@ -27,12 +27,12 @@ def main() -> None:
     shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(4, cpus)))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle, app="fleetdw-bench")
     spark.sparkContext.setLogLevel("ERROR")
-    from fleetdw.plans.warehouse import warehouse_for
+    from fleetdw.plans.star import store_for
     from fleetdw.queries import registry
 
     timings: dict[str, float] = {}
     t0 = time.time()
-    warehouse_for(spark, sf_dir)  # the ETL: builds, writes and remembers the warehouse
+    store_for(spark, sf_dir)  # the ETL: builds, writes and remembers the star store
     timings["etl_build"] = round(time.time() - t0, 3)
     qs = registry()
     for name in HEADLINE:

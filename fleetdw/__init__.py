@@ -1,4 +1,4 @@
-"""fleetdw: a PySpark car-rental data warehouse.
+"""fleetdw: a PySpark car-rental star schema.
 
 Four independently designed operational sources are extracted, conformed to one
 model, loaded into a star schema with insert-ignore semantics and surrogate keys,
@@ -9,7 +9,7 @@ Layout:
                 adapter (test data), extracts E1-E24
     functions/  column expressions: whole-day spans, smart date keys, calendar, exact rounding
     operators/  insert_ignore / upsert, surrogate keys, size-checked dimension lookups
-    plans/      transform T1-T7, warehouse loads (ignore / update, optional persisted
+    plans/      transform T1-T7, star store loads (ignore / update, optional persisted
                 staging), reports R1-R4, Markov M1-M4, source views V1-V5, DQ Q1-Q10
     streaming/  the same insert-ignore load driven by Structured Streaming micro-batches
     checks/     DuckDB SQL oracle used by the correctness gate

@@ -24,8 +24,6 @@ DAY_NAMES = ["Segunda-Feira", "Terça-Feira", "Quarta-Feira", "Quinta-Feira",
 MONTH_NAMES = ["Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho", "Julho",
                "Agosto", "Setembro", "Outubro", "Novembro", "Dezembro"]
 
-# Guard against an outlier date stretching the calendar (one row per day).
-MAX_CALENDAR_DAYS = 200 * 366
 
 
 def whole_days(end: Column, start: Column) -> Column:
@@ -91,19 +89,14 @@ def sentinel_row(spark: SparkSession) -> DataFrame:
 def calendar(bounds: DataFrame) -> DataFrame:
     """One row per day between ``dt_ini`` and ``dt_fim`` of a one-row frame.
 
-    The span is checked lazily: a span over MAX_CALENDAR_DAYS raises at run time
-    instead of generating millions of rows from one outlier date.
+    Years are generated first and dealt to the partitions, each makes its own
+    days: an outlier date costs its rows, and no task makes them all.
     """
-    span = F.datediff(F.col("dt_fim"), F.col("dt_ini"))
-    checked = bounds.select(
-        F.col("dt_ini"),
-        F.when(span <= MAX_CALENDAR_DAYS, F.col("dt_fim"))
-        .otherwise(F.raise_error(F.lit("dim_tempo span exceeds MAX_CALENDAR_DAYS")).cast("date"))
-        .alias("dt_fim"),
-    )
-    days = checked.select(
-        F.explode(F.sequence(F.col("dt_ini"), F.col("dt_fim"), F.expr("INTERVAL 1 DAY"))).alias("d")
-    )
+    years = bounds.select("dt_ini", "dt_fim", F.explode(F.sequence(F.year("dt_ini"), F.year("dt_fim"))).alias("y"))
+    years = years.repartition("y").select(
+        F.greatest("dt_ini", F.make_date("y", F.lit(1), F.lit(1))).alias("lo"),
+        F.least("dt_fim", F.make_date("y", F.lit(12), F.lit(31))).alias("hi"))
+    days = years.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*calendar_attributes(F.col("d")))
 
 

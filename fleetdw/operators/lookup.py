@@ -30,7 +30,7 @@ def lookup(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]], ta
            max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Join ``fact`` to ``dim`` on ``fact_col == dim_col`` pairs and add ``take``
     (dim column -> output name). NULL fact keys never match (plain equality)."""
-    tag = f"__d{abs(hash((tuple(pairs), tuple(take.items())))) % 10**8}"
+    tag = "__d_" + "_".join([*(fc for fc, _ in pairs), *take.values()])
     d = dim.select(*[F.col(dc).alias(f"{tag}_{dc}") for _, dc in pairs],
                    *[F.col(src).alias(out) for src, out in take.items()])
     d = checked_broadcast(d, n_rows, max_rows)
@@ -40,3 +40,13 @@ def lookup(fact: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]], ta
         cond = c if cond is None else cond & c
     joined = fact.join(d, cond, how)
     return joined.drop(*[f"{tag}_{dc}" for _, dc in pairs])
+
+
+def left_join_known(rows: DataFrame, other: DataFrame, on: Sequence[str], maybe: str) -> DataFrame:
+    """Left join in which rows whose ``maybe`` key is NULL, and so match nothing, stay
+    where they are: as one hot key they would all be shuffled to one task."""
+    met = rows.where(F.col(maybe).isNotNull()).join(other, list(on), "left")
+    rest = rows.where(F.col(maybe).isNull())
+    new = [f for f in other.schema.fields if f.name not in on]
+    rest = rest.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
+    return met.unionByName(rest)

@@ -1,4 +1,4 @@
-"""Dimension loads L2-L8 (rows to insert; keys are assigned by the warehouse)."""
+"""Dimension loads L2-L8 (rows to insert; keys are assigned by the star store)."""
 
 from __future__ import annotations
 
@@ -23,13 +23,15 @@ DIM_COLUMNS = {
 SK_COLUMN = {"dim_patio": "sk_patio", "dim_cliente": "sk_cliente", "dim_grupo": "sk_grupo",
              "dim_veiculo": "sk_veiculo"}
 
-# Deterministic choice among rows sharing a natural key inside one batch.
-TIE_BREAK = {
+# Deterministic choice among rows sharing a natural key inside one batch: these columns
+# first, then all others, so that a retried task keeps the same row.
+_FIRST = {
     "dim_patio": ["nome_patio"],
     "dim_cliente": ["nome_cliente"],
     "dim_grupo": ["mecanizacao"],  # D7: AUTOMATICO before MANUAL, NULL last
     "dim_veiculo": ["id_sistema_origem", "id_veiculo_origem"],  # D8: first source wins
 }
+TIE_BREAK = {name: [*first, *(c for c in DIM_COLUMNS[name] if c not in first)] for name, first in _FIRST.items()}
 
 
 def date_bounds(std: dict[str, DataFrame]) -> DataFrame:  # L3

@@ -1,5 +1,5 @@
 """Data-quality rules Q1-Q10: the declared constraints of the sources and the
-warehouse, re-aimed as validation jobs that return ``(rule, n_violations)``.
+star store, re-aimed as validation jobs that return ``(rule, n_violations)``.
 
 All row-level rules on one table fold into a single aggregation pass
 (``sum(when(bad, 1))``); uniqueness is ``groupBy(key).count() > 1``; references
@@ -49,9 +49,23 @@ NOT_NULL = {
 }
 
 
-def dq_not_null(std: dict[str, DataFrame]) -> DataFrame:  # Q1
-    return _union([rule_counts(std[t], {f"{t}.{c}": _c(c).isNull() for c in cols})
-                   for t, cols in NOT_NULL.items()])
+# declared NOT NULL columns of the loaded tables
+DW_NOT_NULL = {
+    "dim_tempo": ["sk_tempo", "dt_ref", "dia", "mes", "ano"],
+    "dim_patio": ["sk_patio", "id_patio_origem", "nome_patio", SYS],
+    "dim_cliente": ["sk_cliente", "id_cliente_origem", "nome_cliente", "tipo_cliente", SYS],
+    "dim_grupo": ["sk_grupo", "nome_grupo", SYS],
+    "dim_veiculo": ["sk_veiculo", "id_veiculo_origem", "placa", SYS],
+    "fato_locacao": ["sk_locacao", "sk_cliente", "sk_veiculo", "sk_grupo", "sk_patio_retirada", "sk_tempo_retirada",
+                     "valor_diaria", SYS],
+    "fato_reserva": ["sk_reserva", "sk_cliente", "sk_tempo_retirada_prevista", SYS],
+    "fato_movimentacao_patio": ["sk_movimentacao", "sk_veiculo", "sk_patio_origem", SYS],
+}
+
+
+def dq_not_null(std: dict[str, DataFrame], dw: dict[str, DataFrame]) -> DataFrame:  # Q1
+    return _union([rule_counts(tables[t], {f"{t}.{c}": _c(c).isNull() for c in cols})
+                   for tables, rules in ((std, NOT_NULL), (dw, DW_NOT_NULL)) for t, cols in rules.items()])
 
 
 # Reservation status domain of each source.
@@ -103,8 +117,11 @@ def dq_domain(std: dict[str, DataFrame], dim_tempo: DataFrame,
             rule_counts(a["veiculo"], {f"{SYS_A}.veiculo.ano": _c("ano") < 1900}),
             rule_counts(a["reserva"], {f"{SYS_A}.reserva.qtveiculossolicitados": _c("qtveiculossolicitados") < 1}),
             rule_counts(a["locacao"], {f"{SYS_A}.locacao.valordiaria": _c("valordiaria") <= 0}),
-            rule_counts(c["locacao"], {f"{SYS_C}.locacao.valor_diaria_aplicada": _c("valor_diaria_aplicada") < 0}),
-            rule_counts(d["locacao"], {f"{SYS_D}.locacao.valor_previsto": _c("valor_previsto") < 0}),
+            rule_counts(c["locacao"], {
+                f"{SYS_C}.locacao.valor_diaria_aplicada": _c("valor_diaria_aplicada") < 0,
+                f"{SYS_C}.locacao.status": ~_c("status").isin("EM_ANDAMENTO", "CONCLUIDA", "CANCELADA")}),
+            rule_counts(d["locacao"], {f"{SYS_D}.locacao.valor_previsto": _c("valor_previsto") <= 0,
+                                       f"{SYS_D}.locacao.valor_final": _c("valor_final") < 0}),
         ]
     return _union(parts)
 
@@ -129,10 +146,25 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
         F.lit(rule).alias("rule"), F.coalesce(_c("v"), F.lit(0)).cast("long").alias("n_violations"))
 
 
-def dq_unique(std: dict[str, DataFrame], dim_tempo: DataFrame) -> DataFrame:  # Q3
+# natural keys of the loaded tables
+DW_UNIQUE = {
+    "dim_patio": [SYS, "id_patio_origem"], "dim_cliente": [SYS, "id_cliente_origem"],
+    "dim_grupo": [SYS, "nome_grupo"], "dim_veiculo": ["placa"],
+    "fato_locacao": [SYS, "id_locacao_origem"], "fato_reserva": [SYS, "id_reserva_origem"],
+    "fato_movimentacao_patio": [SYS, "id_movimentacao_origem"],
+}
+
+
+def dq_unique(std: dict[str, DataFrame], dw: dict[str, DataFrame],
+              sources: dict[str, dict[str, DataFrame]]) -> DataFrame:  # Q3
     parts = [duplicated_keys(std[name.split(".")[0]], keys, name if "." in name else f"{name}.pk")
              for name, keys in UNIQUE.items()]
-    parts.append(duplicated_keys(dim_tempo, ["dt_ref"], "dim_tempo.dt_ref"))
+    parts.append(duplicated_keys(dw["dim_tempo"], ["dt_ref"], "dim_tempo.dt_ref"))
+    parts += [duplicated_keys(dw[name], keys, f"{name}.natural_key") for name, keys in DW_UNIQUE.items()]
+    # chassis of every source that declares it; one rental per reservation
+    parts += [duplicated_keys(sources[p]["veiculo"], ["chassi"], f"{s}.veiculo.chassi")
+              for p, s in (("A", SYS_A), ("B", SYS_B), ("C", SYS_C), ("D", SYS_D))]
+    parts.append(duplicated_keys(sources["C"]["locacao"], ["reserva_id"], f"{SYS_C}.locacao.reserva_id"))
     return _union(parts)
 
 
@@ -159,30 +191,74 @@ FOREIGN_KEYS = [
 ]
 
 
-def dq_fk(std: dict[str, DataFrame]) -> DataFrame:  # Q5
-    parts = []
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        ref = std[parent].select(_c(SYS).alias("__s"), _c(pcol).alias("__k")).distinct()
-        # one row per referenced key before the join: a hot parent collapses map-side
-        kids = (std[child].where(_c(col).isNotNull()).groupBy(SYS, col)
-                .agg(F.count(F.lit(1)).alias("__n")))
-        orphans = kids.join(ref, (_c(SYS) == _c("__s")) & (_c(col) == _c("__k")), "left_anti")
-        parts.append(orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_violations"))
-                     .select(F.lit(f"{child}.{col}->{parent}").alias("rule"), "n_violations"))
-    return _union(parts)
+# (fact, key, dimension, key); a null key refers to nothing
+DW_FOREIGN_KEYS = [
+    ("fato_locacao", "sk_cliente", "dim_cliente", "sk_cliente"),
+    ("fato_locacao", "sk_veiculo", "dim_veiculo", "sk_veiculo"),
+    ("fato_locacao", "sk_grupo", "dim_grupo", "sk_grupo"),
+    ("fato_locacao", "sk_patio_retirada", "dim_patio", "sk_patio"),
+    ("fato_locacao", "sk_patio_devolucao", "dim_patio", "sk_patio"),
+    ("fato_locacao", "sk_tempo_retirada", "dim_tempo", "sk_tempo"),
+    ("fato_locacao", "sk_tempo_devolucao", "dim_tempo", "sk_tempo"),
+    ("fato_locacao", "sk_tempo_devolucao_prevista", "dim_tempo", "sk_tempo"),
+    ("fato_reserva", "sk_cliente", "dim_cliente", "sk_cliente"),
+    ("fato_reserva", "sk_patio_retirada", "dim_patio", "sk_patio"),
+    ("fato_reserva", "sk_patio_devolucao", "dim_patio", "sk_patio"),
+    ("fato_reserva", "sk_tempo_retirada_prevista", "dim_tempo", "sk_tempo"),
+    ("fato_reserva", "sk_tempo_devolucao_prevista", "dim_tempo", "sk_tempo"),
+    ("fato_movimentacao_patio", "sk_veiculo", "dim_veiculo", "sk_veiculo"),
+    ("fato_movimentacao_patio", "sk_patio_origem", "dim_patio", "sk_patio"),
+    ("fato_movimentacao_patio", "sk_patio_destino", "dim_patio", "sk_patio"),
+    ("fato_movimentacao_patio", "sk_tempo", "dim_tempo", "sk_tempo"),
+]
+
+
+def _orphans(tables: dict[str, DataFrame], rules: Sequence[tuple[str, str, str, str]], scope: Sequence[str]) -> DataFrame:
+    """Violations of all references: one pass over each child and one over each parent.
+
+    A child row gives one (rule, key) per non-null reference, counted per key before
+    anything moves, so a hot key is one row; parents give their keys once per rule."""
+    kids, parents = [], []
+    for child in dict.fromkeys(r[0] for r in rules):
+        refs = [F.struct(F.lit(i).alias("rule_no"), *[_c(c).alias(c) for c in scope], _c(col).cast("string").alias("k"))
+                for i, (ch, col, _, _) in enumerate(rules) if ch == child]
+        kids.append(tables[child].select(F.inline(F.array(*refs))).where(_c("k").isNotNull()))
+    for parent in dict.fromkeys(r[2] for r in rules):
+        keys = [F.struct(F.lit(i).alias("rule_no"), *[_c(c).alias(c) for c in scope], _c(pcol).cast("string").alias("k"))
+                for i, (_, _, pa, pcol) in enumerate(rules) if pa == parent]
+        parents.append(tables[parent].select(F.inline(F.array(*keys))))
+    by = ["rule_no", *scope, "k"]
+    per_key = _union(kids).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    bad = per_key.join(_union(parents).distinct(), by, "left_anti").groupBy("rule_no").agg(F.sum("n").alias("n"))
+    names = F.array(*[F.struct(F.lit(i).alias("rule_no"), F.lit(f"{ch}.{col}->{pa}").alias("rule"))
+                      for i, (ch, col, pa, _) in enumerate(rules)])
+    one = tables[rules[0][0]].sparkSession.range(1)
+    return (one.select(F.inline(names)).join(bad, "rule_no", "left")
+            .select("rule", F.coalesce("n", F.lit(0)).cast("long").alias("n_violations")))
+
+
+def dq_fk(std: dict[str, DataFrame], dw: dict[str, DataFrame]) -> DataFrame:  # Q5
+    return _orphans(std, FOREIGN_KEYS, [SYS]).unionByName(_orphans(dw, DW_FOREIGN_KEYS, []))
 
 
 def dq_order(std: dict[str, DataFrame], stg_a_reserva: DataFrame) -> DataFrame:  # Q6
+    # C declares strict orders: equal times are violations there
+    same = lambda a, b: (_c(SYS) == SYS_C) & (_c(a) == _c(b))
     return _union([
         rule_counts(std["std_locacao"], {
-            "std_locacao.devolucao_antes_retirada": _c("dt_devolucao_real") < _c("dt_retirada")}),
+            "std_locacao.devolucao_antes_retirada":
+                (_c("dt_devolucao_real") < _c("dt_retirada")) | same("dt_devolucao_real", "dt_retirada"),
+            f"{SYS_B}.locacao.devolucao_sem_retirada":
+                (_c(SYS) == SYS_B) & _c("dt_devolucao_real").isNotNull() & _c("dt_retirada").isNull()}),
         rule_counts(std["std_reserva"], {
             "std_reserva.retirada_antes_reserva": _c("dt_retirada_prevista") < _c("dt_reserva"),
-            "std_reserva.devolucao_antes_retirada": _c("dt_devolucao_prevista") < _c("dt_retirada_prevista")}),
+            "std_reserva.devolucao_antes_retirada":
+                (_c("dt_devolucao_prevista") < _c("dt_retirada_prevista"))
+                | same("dt_devolucao_prevista", "dt_retirada_prevista")}),
         rule_counts(std["std_movimentacao"], {
             "std_movimentacao.chegada_antes_saida": _c("dt_chegada_destino") < _c("dt_saida_origem")}),
         rule_counts(stg_a_reserva, {
-            "bay_level.reserva.limite_antes_retirada": _c("dt_limite_retirada") < _c("dt_retirada_prevista")}),
+            "bay_level.reserva.limite_antes_retirada": _c("dt_limite_retirada") <= _c("dt_retirada_prevista")}),
     ])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetdw.functions.numeric import avg_round
-from fleetdw.operators.lookup import checked_broadcast
+from fleetdw.operators.lookup import checked_broadcast, left_join_known
 from fleetdw.schemas import AS_OF, NOT_INFORMED, SENTINEL_KEY
 
 # Status spellings the reference treats as cancelled (R3) and as
@@ -99,7 +99,9 @@ def reservation_demand(dw: dict[str, DataFrame], counts: dict[str, int] | None =
                  _c("dt_ref").alias("dt_ret"))
     t_dev = _dim(dw, counts, "dim_tempo", _c("sk_tempo").alias("sk_tempo_devolucao_prevista"),
                  _c("dt_ref").alias("dt_dev"))
-    f = fr.where(status_ok).join(t_ret, "sk_tempo_retirada_prevista").where(_c("dt_ret") > today)
+    # the key is yyyymmdd, so the date condition holds on the fact itself and prunes its scan
+    f = fr.where(status_ok & (_c("sk_tempo_retirada_prevista") > int(f"{as_of:%Y%m%d}")))
+    f = f.join(t_ret, "sk_tempo_retirada_prevista").where(_c("dt_ret") > today)
     f = f.join(t_dev, "sk_tempo_devolucao_prevista", "left")
     c = _dim(dw, counts, "dim_cliente", _c("sk_cliente"), _c("cidade_origem"), _c("tipo_cliente"))
     g = _dim(dw, counts, "dim_grupo", _c("sk_grupo"), _c("nome_grupo"), _c("mecanizacao"))
@@ -132,7 +134,7 @@ def top_groups(dw: dict[str, DataFrame], counts: dict[str, int] | None = None,
     # D1: requested vehicles come from the rental's reservation, matched on (source, id)
     res = dw["fato_reserva"].select("id_sistema_origem", "id_reserva_origem",
                                     _c("qt_veiculos_solicitados").alias("qt_res"))
-    f = f.join(res, ["id_sistema_origem", "id_reserva_origem"], "left")
+    f = left_join_known(f, res, ["id_sistema_origem", "id_reserva_origem"], "id_reserva_origem")
     # aggregate on the surrogate keys first: the customer dimension (too large to
     # broadcast at scale) then meets one row per (group, customer, source)
     pre = f.groupBy("sk_grupo", "sk_cliente", "id_sistema_origem").agg(

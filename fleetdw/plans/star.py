@@ -16,7 +16,6 @@ new version folder per table and switching to it.
 from __future__ import annotations
 
 import os
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -40,13 +39,13 @@ FACT_SK = {"fato_locacao": "sk_locacao", "fato_reserva": "sk_reserva",
 
 
 @dataclass
-class Warehouse:
+class StarStore:
     spark: SparkSession
     root: str
     counts: dict[str, int] = field(default_factory=dict)
     # table -> folder of its current version (update mode writes new versions)
     versions: dict[str, str] = field(default_factory=dict)
-    # rows added to each warehouse table by the last load (0 everywhere on a re-run)
+    # rows added to each star store table by the last load (0 everywhere on a re-run)
     inserted: dict[str, int] = field(default_factory=dict)
     # read frames, reused across queries (one file listing / footer read per table);
     # dropped whenever the table is written again
@@ -56,21 +55,20 @@ class Warehouse:
         return "/".join([self.root, *parts])
 
     def table_path(self, name: str) -> str:
-        layer = "std" if name.startswith("std_") else "dw"
-        return self.versions.get(name, self.path(layer, name))
+        """The folder of a table's current version. Update mode writes ``name@<number>``
+        and a folder counts once its job has committed, so any process that opens the
+        same root finds the newest one."""
+        if name.startswith("std_"):
+            return self.path("std", name)
+        if name not in self.versions:
+            found = committed(self.spark, self.path("dw", f"{name}@*"))
+            self.versions[name] = max(found, key=_number) if found else self.path("dw", name)
+        return self.versions[name]
 
     def exists(self, *parts: str) -> bool:
+        """Has a job committed this table? Failing file systems raise."""
         p = self.table_path(parts[-1]) if parts[0] == "dw" and len(parts) == 2 else self.path(*parts)
-        if "://" in p and not p.startswith("file:"):
-            try:
-                self.spark.read.parquet(p).limit(0).collect()
-                return True
-            except Exception:  # noqa: BLE001 - missing path
-                return False
-        local = p[5:] if p.startswith("file:") else p
-        if os.path.isfile(os.path.join(local, "_SUCCESS")):  # job-commit marker: O(1)
-            return True
-        return os.path.isdir(local) and any(f.endswith(".parquet") for _, _, fs in os.walk(local) for f in fs)
+        return bool(committed(self.spark, p))
 
     def table(self, name: str) -> DataFrame:
         df = self._frames.get(name)
@@ -84,14 +82,21 @@ class Warehouse:
         how many rows the write added (``inserted``, per table, last load)."""
         self._frames.pop(name, None)
         if not name.startswith("std_"):
-            before = self.counts.get(name, 0)
+            before = self.counts.get(name, 0)  # :func:`load` reads it before it writes
             self.counts[name] = _count(self.spark, self.table_path(name))
             self.inserted[name] = self.counts[name] - before
 
     def new_version(self, name: str) -> str:
-        """A fresh folder for the next version of ``name`` (write new, then switch)."""
-        base = self.versions.get(name, self.path("dw", name)).split("@")[0]
-        return f"{base}@{uuid.uuid4().hex[:12]}"
+        """A folder for the next version of ``name`` (write new, then switch)."""
+        return self.path("dw", f"{name}@{_number(self.table_path(name)) + 1:06d}")
+
+    def switch(self, name: str, path: str) -> None:
+        """The committed folder ``path`` is the current version from now on. The one before
+        stays for readers that have it open; what is older goes."""
+        self.versions[name] = path
+        for old in [self.path("dw", name), *committed(self.spark, self.path("dw", f"{name}@*"))]:
+            if _number(old) < _number(path) - 1 and committed(self.spark, old):
+                hadoop_path(self.spark, old)[0].delete(hadoop_path(self.spark, old)[1], True)
 
     def tables(self) -> Lazy:
         names = ["dim_tempo", *DIM_ORDER, *FACT_SK]
@@ -104,6 +109,23 @@ class Warehouse:
         return FX.Dims({n: self.table(n) for n in DIM_ORDER}, self.counts)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Spark itself resolves ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def committed(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching ``pattern`` that hold a job-commit marker."""
+    fs, p = hadoop_path(spark, f"{pattern}/_SUCCESS")
+    return [str(f.getPath().getParent().toString()) for f in fs.globStatus(p) or []]
+
+
+def _number(path: str) -> int:
+    tail = path.rstrip("/").rpartition("@")[2]
+    return int(tail) if tail.isdigit() else 0
+
+
 def _count(spark: SparkSession, path: str) -> int:
     return int(spark.read.parquet(path).count())  # parquet footers only
 
@@ -117,7 +139,7 @@ def _in_parallel(tasks: dict[str, callable], workers: int = 8) -> None:
             f.result()
 
 
-def stage_std(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
+def stage_std(spark: SparkSession, sf_dir: str, wh: StarStore) -> None:
     """Extract + transform of the driver tables, written once to ``std/``."""
     stage_sources(Shapes(spark, sf_dir).all_sources(), wh)
 
@@ -128,7 +150,7 @@ STAGING_KEYS = {"patio": "id_patio_origem", "cliente": "id_cliente_origem", "vei
                 "movimentacao": "id_movimentacao_origem"}
 
 
-def persist_staging(stg: dict[str, dict[str, DataFrame]], wh: Warehouse) -> dict[str, Lazy]:
+def persist_staging(stg: dict[str, dict[str, DataFrame]], wh: StarStore) -> dict[str, Lazy]:
     """Insert-ignore every extract into its raw staging table ``stg/<letter>_<entity>``.
 
     This is the reference's staging layer: a row, once staged, is never refreshed
@@ -153,7 +175,7 @@ def persist_staging(stg: dict[str, dict[str, DataFrame]], wh: Warehouse) -> dict
             for p in stg}
 
 
-def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: Warehouse,
+def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: StarStore,
                   persist_staging_tables: bool = False) -> None:
     """Extract + transform of four source shapes, written to ``std/`` (drop and rebuild).
 
@@ -175,7 +197,7 @@ DIM_SOURCE = {"dim_patio": "std_patio", "dim_cliente": "std_cliente", "dim_grupo
               "dim_veiculo": "std_veiculo"}
 
 
-def _key_partitions(wh: Warehouse, name: str) -> int:
+def _key_partitions(wh: StarStore, name: str) -> int:
     """Range partitions for numbering ``name``: sized from its standard table's row
     count (Parquet footers), at most the session's shuffle partitions."""
     rows = _count(wh.spark, wh.table_path(DIM_SOURCE[name]))
@@ -183,7 +205,7 @@ def _key_partitions(wh: Warehouse, name: str) -> int:
     return max(1, min(cap, -(-rows // ROWS_PER_KEY_PARTITION)))
 
 
-def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
+def _append_dim(wh: StarStore, name: str, new_rows: DataFrame) -> None:
     spark = wh.spark
     sk = D.SK_COLUMN[name]
     path = wh.table_path(name)
@@ -197,7 +219,7 @@ def _append_dim(wh: Warehouse, name: str, new_rows: DataFrame) -> None:
     wh.written(name)
 
 
-def _refresh_dim(wh: Warehouse, name: str, std: dict[str, DataFrame]) -> None:
+def _refresh_dim(wh: StarStore, name: str, std: dict[str, DataFrame]) -> None:
     """Update mode (SCD type 1): attributes of known keys are replaced, their
     surrogate keys kept; unknown keys get new keys after the current maximum."""
     spark = wh.spark
@@ -213,11 +235,11 @@ def _refresh_dim(wh: Warehouse, name: str, std: dict[str, DataFrame]) -> None:
                                                  num_partitions=_key_partitions(wh, name)))
     path = wh.new_version(name)
     out.write.mode("overwrite").parquet(path)
-    wh.versions[name] = path
+    wh.switch(name, path)
     wh.written(name)
 
 
-def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
+def load(spark: SparkSession, wh: StarStore, mode: str = "ignore") -> StarStore:
     """Dimension then fact loads from ``std/`` into ``dw/``.
 
     ``mode="ignore"`` is ON CONFLICT DO NOTHING (append new keys only);
@@ -228,6 +250,8 @@ def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
     if mode not in ("ignore", "update"):
         raise ValueError(mode)
     std = wh.std()
+    for name in ("dim_tempo", *DIM_ORDER, *FACT_SK):  # what is there before, for ``inserted``
+        wh.counts[name] = _count(spark, wh.table_path(name)) if wh.exists("dw", name) else 0
 
     def tempo() -> None:
         path = wh.table_path("dim_tempo")
@@ -268,7 +292,7 @@ def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
                 F.coalesce(F.col("__old"), fresh).alias(sk), *existing.drop(sk).columns)
             path = wh.new_version(name)
             out.write.mode("overwrite").partitionBy("id_sistema_origem").parquet(path)
-            wh.versions[name] = path
+            wh.switch(name, path)
         else:
             # a known batch size lets the conflict check probe the fact map-side
             batch_rows = _count(spark, wh.table_path(src)) if existing is not None else None
@@ -280,29 +304,29 @@ def load(spark: SparkSession, wh: Warehouse, mode: str = "ignore") -> Warehouse:
     return wh
 
 
-def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
-    wh = Warehouse(spark, root or fresh_scratch(spark, "warehouse"))
+def build_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> StarStore:
+    wh = StarStore(spark, root or fresh_scratch(spark, "star"))
     stage_std(spark, sf_dir, wh)
     return load(spark, wh)
 
 
 def build_from_sources(spark: SparkSession, sources: dict[str, dict[str, DataFrame]],
-                       root: str | None = None, persist_staging_tables: bool = False) -> Warehouse:
+                       root: str | None = None, persist_staging_tables: bool = False) -> StarStore:
     """Full ETL from already-shaped source tables (``sources[letter][table]``)."""
-    wh = Warehouse(spark, root or fresh_scratch(spark, "warehouse"))
+    wh = StarStore(spark, root or fresh_scratch(spark, "star"))
     stage_sources(sources, wh, persist_staging_tables)
     return load(spark, wh)
 
 
-_CACHE: dict[tuple[int, str], Warehouse] = {}
+_CACHE: dict[tuple[int, str], StarStore] = {}
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
+def store_for(spark: SparkSession, sf_dir: str) -> StarStore:
     """Build once per (session, input folder); reports then read the written tables."""
     key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
     wh = _CACHE.get(key)
     # ids can be reused after a session is stopped: only trust a build of this very session
     if wh is None or wh.spark is not spark or not wh.exists("dw", "fato_locacao"):
-        wh = build_warehouse(spark, sf_dir)
+        wh = build_store(spark, sf_dir)
         _CACHE[key] = wh
     return wh

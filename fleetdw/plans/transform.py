@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetdw.functions.dates import whole_days
 from fleetdw.functions.text import normalise_gearbox, null_of
+from fleetdw.operators.lookup import left_join_known
 from fleetdw.schemas import MONEY, STD_COLUMNS, SYS_A, SYS_B, SYS_C, SYS_D
 
 LETTER_SYS = {"A": SYS_A, "B": SYS_B, "C": SYS_C, "D": SYS_D}
@@ -88,9 +89,11 @@ def std_locacao(stg) -> DataFrame:  # T6
         v = stg[p]["veiculo"].select("id_veiculo_origem", "nome_grupo").alias("v")
         j = l.join(v, _c("v.id_veiculo_origem") == _c("l.id_veiculo_origem"))
         if p in ("B", "C"):
-            r = stg[p]["reserva"].select("id_reserva_origem", "dt_devolucao_prevista").alias("r")
-            j = j.join(r, _c("r.id_reserva_origem") == _c("l.id_reserva_origem"), "left")
-            planned = _c("r.dt_devolucao_prevista")
+            # walk-ins have no reservation: they are not one hot NULL key
+            r = stg[p]["reserva"].select("id_reserva_origem", "dt_devolucao_prevista")
+            rental = left_join_known(stg[p]["locacao"], r, ["id_reserva_origem"], "id_reserva_origem").alias("l")
+            j = rental.join(v, _c("v.id_veiculo_origem") == _c("l.id_veiculo_origem"))
+            planned = _c("l.dt_devolucao_prevista")
         else:
             planned = null_of("timestamp_ntz")
         if p in ("A", "C"):

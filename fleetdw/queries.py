@@ -1,8 +1,8 @@
 """Registry of runnable queries: name -> fn(spark, sf_dir) -> DataFrame.
 
 ETL-stage queries (``ext_*``) run lazily on the source shapes; everything from
-``std_*`` on reads the warehouse built once per (session, input folder) by
-:func:`fleetdw.plans.warehouse.warehouse_for` - the daily ETL writes the star
+``std_*`` on reads the star store built once per (session, input folder) by
+:func:`fleetdw.plans.star.store_for` - the daily ETL writes the star
 schema, reports read it.
 """
 
@@ -24,18 +24,13 @@ from fleetdw.plans import reports as R
 from fleetdw.plans import source_views as V
 from fleetdw.plans.facts import discards
 from fleetdw.plans.transform import TRANSFORMS
-from fleetdw.plans.warehouse import DIM_ORDER, warehouse_for
+from fleetdw.plans.star import DIM_ORDER, store_for
 from fleetdw.sources.adapters import Shapes
 from fleetdw.sources.extract import ENTITIES, EXTRACTS, a_reserva
 from fleetdw.sources.tpch import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The five yard names pivoted by the wide Markov matrix (M2).
-MATRIX_YARDS = ["Supplier#000000000", "Supplier#000000001", "Supplier#000000002",
-                "Supplier#000000003", "Supplier#000000004"]
-
-
 _SHAPES: dict[tuple[int, str], Shapes] = {}
 
 
@@ -49,7 +44,7 @@ def _shapes(spark, sf_dir) -> Shapes:
 
 
 def _wh(spark, sf_dir):
-    wh = warehouse_for(spark, sf_dir)
+    wh = store_for(spark, sf_dir)
     return wh, wh.tables()
 
 
@@ -66,8 +61,8 @@ def markov_counts(spark, sf_dir):
 
 def markov_matrix(spark, sf_dir):
     wh, dw = _wh(spark, sf_dir)
-    return M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"], MATRIX_YARDS,
-                               wh.counts.get("dim_patio"))
+    names = [r[0] for r in M.yard_columns(dw["dim_patio"]).collect()]  # the result's columns (M4)
+    return M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"], names, wh.counts.get("dim_patio"))
 
 
 def markov_columns(spark, sf_dir):
@@ -86,23 +81,23 @@ def _extract_query(letter: str, entity: str) -> Query:
 
 def _std_query(name: str) -> Query:
     def q(spark, sf_dir):
-        return warehouse_for(spark, sf_dir).table(name)
+        return store_for(spark, sf_dir).table(name)
     q.__name__ = name
     return q
 
 
 # ------------------------------------------------------------------ load
 def dim_tempo(spark, sf_dir):
-    return warehouse_for(spark, sf_dir).table("dim_tempo")
+    return store_for(spark, sf_dir).table("dim_tempo")
 
 
 def date_bounds(spark, sf_dir):
-    return D.date_bounds(warehouse_for(spark, sf_dir).std())
+    return D.date_bounds(store_for(spark, sf_dir).std())
 
 
 def _dim_query(name: str) -> Query:
     def q(spark, sf_dir):
-        return warehouse_for(spark, sf_dir).table(name).select(*D.DIM_COLUMNS[name])
+        return store_for(spark, sf_dir).table(name).select(*D.DIM_COLUMNS[name])
     q.__name__ = name
     return q
 
@@ -175,11 +170,12 @@ def insert_ignore_dupes(spark, sf_dir):
 
 def upsert_latest(spark, sf_dir):
     batch, target = _li_batch_target(spark, sf_dir)
-    return upsert(target, batch, LI_KEYS, LI_TIE)
+    # of the target's even order keys, every second one is not in the batch and must stay
+    return upsert(target, batch.where(F.col("l_orderkey") % 4 != 2), LI_KEYS, LI_TIE)
 
 
 def surrogate_keys(spark, sf_dir):
-    std = warehouse_for(spark, sf_dir).table("std_locacao").select("id_sistema_origem", "id_locacao_origem")
+    std = store_for(spark, sf_dir).table("std_locacao").select("id_sistema_origem", "id_locacao_origem")
     return assign_surrogate_key(std, ["id_sistema_origem", "id_locacao_origem"], "sk_locacao")
 
 
@@ -219,46 +215,48 @@ def _view(fn) -> Query:
 
 # ------------------------------------------------------------------ data quality
 def dq_not_null(spark, sf_dir):
-    return Q.dq_not_null(warehouse_for(spark, sf_dir).std())
+    wh, dw = _wh(spark, sf_dir)
+    return Q.dq_not_null(wh.std(), dw)
 
 
 def dq_domain(spark, sf_dir):
-    wh = warehouse_for(spark, sf_dir)
+    wh = store_for(spark, sf_dir)
     return Q.dq_domain(wh.std(), wh.table("dim_tempo"), _shapes(spark, sf_dir).all_sources())
 
 
 def dq_unique(spark, sf_dir):
-    wh = warehouse_for(spark, sf_dir)
-    return Q.dq_unique(wh.std(), wh.table("dim_tempo"))
+    wh, dw = _wh(spark, sf_dir)
+    return Q.dq_unique(wh.std(), dw, _shapes(spark, sf_dir).all_sources())
 
 
 def dq_one_open(spark, sf_dir):
-    return Q.dq_one_open(warehouse_for(spark, sf_dir).std(), _shapes(spark, sf_dir).source_c())
+    return Q.dq_one_open(store_for(spark, sf_dir).std(), _shapes(spark, sf_dir).source_c())
 
 
 def dq_fk(spark, sf_dir):
-    return Q.dq_fk(warehouse_for(spark, sf_dir).std())
+    wh, dw = _wh(spark, sf_dir)
+    return Q.dq_fk(wh.std(), dw)
 
 
 def dq_order(spark, sf_dir):
-    return Q.dq_order(warehouse_for(spark, sf_dir).std(), a_reserva(_shapes(spark, sf_dir).source_a()))
+    return Q.dq_order(store_for(spark, sf_dir).std(), a_reserva(_shapes(spark, sf_dir).source_a()))
 
 
 def dq_xor(spark, sf_dir):
-    return Q.dq_xor(_shapes(spark, sf_dir).source_a(), warehouse_for(spark, sf_dir).std())
+    return Q.dq_xor(_shapes(spark, sf_dir).source_a(), store_for(spark, sf_dir).std())
 
 
 def dq_time(spark, sf_dir):
-    return Q.dq_time(warehouse_for(spark, sf_dir).std())
+    return Q.dq_time(store_for(spark, sf_dir).std())
 
 
 def dq_discards(spark, sf_dir):
-    wh = warehouse_for(spark, sf_dir)
+    wh = store_for(spark, sf_dir)
     return discards(wh.std(), wh.dims())
 
 
 def dq_width(spark, sf_dir):
-    return Q.dq_width(warehouse_for(spark, sf_dir).std())
+    return Q.dq_width(store_for(spark, sf_dir).std())
 
 
 def registry() -> dict[str, Query]:

@@ -29,7 +29,7 @@ NOT_INFORMED = "(não informado)"
 
 MONEY = T.DecimalType(10, 2)
 
-# Declared column widths of the warehouse (VARCHAR(n)), checked by dq_width.
+# Declared column widths of the star store (VARCHAR(n)), checked by dq_width.
 DW_WIDTHS = {
     "dim_patio": {"nome_patio": 100, "cidade": 100, "localizacao": 100},
     "dim_cliente": {"nome_cliente": 255, "cidade_origem": 100, "estado_origem": 2},
@@ -60,7 +60,7 @@ STD_COLUMNS = {
                          "motivo", "id_sistema_origem"],
 }
 
-# Natural keys of the warehouse tables (insert-ignore conflict targets).
+# Natural keys of the star store tables (insert-ignore conflict targets).
 NATURAL_KEYS = {
     "dim_tempo": ["sk_tempo"],
     "dim_patio": ["id_sistema_origem", "id_patio_origem"],

@@ -3,8 +3,8 @@ shared folder used for checkpoints and written intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,22 +37,19 @@ _PRIVATE_DIRS: dict[int, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    It is read from the session. Only when it is unset (local tests) is a private
-    temporary folder created, once per SparkContext, and registered as the
-    checkpoint directory, so later checkpoints and written tables land in one
-    place that every executor can read.
+    It is read from the session. Only on a ``local`` master, where driver and
+    executors are one process, may it be unset: then a temporary folder is
+    created, once per SparkContext. Elsewhere each machine would write to its own
+    disk, so a missing setting is an error.
     """
     conf = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getConf().get(_CKPT_KEY, None)
     if not conf:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"{_CKPT_KEY} must name a folder that driver and executors share")
         key = id(spark.sparkContext)
         conf = _PRIVATE_DIRS.get(key)
         if conf is None:
-            conf = tempfile.mkdtemp(prefix="fleetdw-ckpt-")
-            _PRIVATE_DIRS[key] = conf
-            try:
-                spark.conf.set(_CKPT_KEY, conf)
-            except Exception:  # noqa: BLE001 - some deployments refuse runtime core confs
-                pass
+            conf = _PRIVATE_DIRS[key] = tempfile.mkdtemp(prefix="fleetdw-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf)
     return conf.rstrip("/")
@@ -63,27 +60,25 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_scratch(spark: SparkSession, name: str) -> str:
-    """A new, never-reused folder below the shared dir (write-new-then-switch)."""
-    base = shared_dir(spark)
-    if base.startswith("file:") or "://" not in base:
-        local = base[5:] if base.startswith("file:") else base
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
-    import uuid
+    """A new, never-reused folder name below the shared dir (write-new-then-switch)."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+#: More partitions cost the driver more in shuffle bookkeeping than smaller ones save.
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings sized for a run over ``input_bytes`` of source data.
 
     Shuffle partitions are sized so each holds about ``target_partition_bytes``
-    before AQE coalescing (never fewer than 2 per core). The file split and AQE's
+    before AQE coalescing (never fewer than 2 per core, nor more than
+    ``MAX_SHUFFLE_PARTITIONS``: partitions then grow with the input, and spill). The file split and AQE's
     advisory size use the same target, so a task's input fits in executor memory
     and spills stay rare. Skewed partitions (a key holding a third of the rows)
-    are split by AQE. Apply with ``spark.conf.set`` before building the warehouse.
+    are split by AQE. Apply with ``spark.conf.set`` before building the star store.
     """
-    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetdw.sources.lazy import Lazy
 
@@ -81,15 +82,20 @@ SOURCE_SCHEMAS = {
 }
 
 
+def declared(df: DataFrame, letter: str, table: str) -> DataFrame:
+    """The declared columns of a source table, in their declared types."""
+    fields = [f.split(" ", 1) for f in SOURCE_SCHEMAS[letter][table].split(", ")]
+    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields])
+
+
 def parquet_sources(spark: SparkSession, root: str) -> dict[str, Lazy]:
     """Sources laid out as ``{root}/{A|B|C|D}/{table}`` Parquet folders.
 
-    Only the declared columns are selected (pruned at the scan); their types come
-    from the files, since the extracts cast every id to text anyway.
+    Only the declared columns are selected (pruned at the scan), in their declared
+    types: a zoned timestamp in a file becomes the zone-free one of the schema.
     """
     def reader(letter: str, table: str) -> Callable[[], DataFrame]:
-        cols = [f.split()[0] for f in SOURCE_SCHEMAS[letter][table].split(", ")]
-        return lambda: spark.read.parquet(f"{root.rstrip('/')}/{letter}/{table}").select(*cols)
+        return lambda: declared(spark.read.parquet(f"{root.rstrip('/')}/{letter}/{table}"), letter, table)
 
     return {p: Lazy({t: reader(p, t) for t in tables}) for p, tables in SOURCE_SCHEMAS.items()}
 
@@ -109,7 +115,7 @@ def jdbc_sources(spark: SparkSession, url: str, schemas: dict[str, str], propert
         def read() -> DataFrame:
             cols = ", ".join(f.split()[0] for f in SOURCE_SCHEMAS[letter][table].split(", "))
             query = f"(SELECT {cols} FROM {schemas[letter]}.{table}) AS t"
-            opts = dict(properties)
+            opts = {"preferTimestampNTZ": "true", **properties}  # zone-free, as the schema declares
             if (letter, table) in partitioning:
                 col, lo, hi, n = partitioning[(letter, table)]
                 return spark.read.jdbc(url, query, column=col, lowerBound=lo, upperBound=hi,

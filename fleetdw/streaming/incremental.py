@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetdw.operators.surrogate import assign_unique_key
 from fleetdw.plans import facts as FX
-from fleetdw.plans.warehouse import FACT_SK, Warehouse
+from fleetdw.plans.star import FACT_SK, StarStore
 
 FACT_SOURCES = {
     "fato_locacao": ("std_locacao", FX.fato_locacao_rows),
@@ -24,7 +24,7 @@ FACT_SOURCES = {
 }
 
 
-def load_batch(wh: Warehouse, fact: str, batch: DataFrame) -> None:
+def load_batch(wh: StarStore, fact: str, batch: DataFrame) -> None:
     """Insert-ignore one batch of standard rows into ``fact``."""
     _, build = FACT_SOURCES[fact]
     existing = wh.table(fact) if wh.exists("dw", fact) else None
@@ -38,7 +38,7 @@ def load_batch(wh: Warehouse, fact: str, batch: DataFrame) -> None:
     wh.written(fact)
 
 
-def start_fact_stream(wh: Warehouse, fact: str, landing_dir: str, checkpoint_dir: str,
+def start_fact_stream(wh: StarStore, fact: str, landing_dir: str, checkpoint_dir: str,
                       available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream Parquet files of ``std_*`` rows from ``landing_dir`` into ``fact``.
 

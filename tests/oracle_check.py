@@ -85,10 +85,11 @@ def main(argv):
     from fleetdw.session import build_session
 
     import __spark_entry__ as entry
+    from fleetdw.checks.oracle_queries import oracle_sql
 
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
-    qs, sqls = entry.queries(), entry.oracle_sql()
+    qs, sqls = entry.queries(), entry.oracle_sql() | oracle_sql(sf_dir)
     con = duck(sf_dir)
     bad = 0
     for name in names or list(qs):

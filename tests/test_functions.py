@@ -59,14 +59,26 @@ def test_exact_rounding(spark):
 def test_scale_conf_sizes_partitions_from_input():
     from fleetdw.session import scale_conf
 
-    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "409600"
+    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "20000"  # bounded
+    assert scale_conf(2**40, 8)["spark.sql.shuffle.partitions"] == "4096"
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"  # floor: two per core
     assert scale_conf(1 << 30, 1, target_partition_bytes=128 << 20)["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
 
 
-def test_calendar_span_guard(spark):
-    import pytest
+def test_calendar_of_a_long_span(spark):
+    """An outlier date costs its rows, nothing else."""
+    bounds = spark.createDataFrame([(dt.date(1800, 3, 1), dt.date(2100, 1, 2))], "dt_ini date, dt_fim date")
+    got = calendar(bounds).agg(F.count("*"), F.countDistinct("dt_ref"), F.min("dt_ref"), F.max("dt_ref")).first()
+    days = (dt.date(2100, 1, 2) - dt.date(1800, 3, 1)).days + 1
+    assert tuple(got) == (days, days, dt.date(1800, 3, 1), dt.date(2100, 1, 2))
+    one = spark.createDataFrame([(dt.date(2024, 5, 5), dt.date(2024, 5, 5))], "dt_ini date, dt_fim date")
+    assert [r.sk_tempo for r in calendar(one).collect()] == [20240505]
 
-    bounds = spark.createDataFrame([(dt.date(1800, 1, 1), dt.date(2100, 1, 1))], "dt_ini date, dt_fim date")
-    with pytest.raises(Exception, match="MAX_CALENDAR_DAYS"):
-        calendar(bounds).count()
+
+def test_rounding_below_zero(spark):
+    """ROUND goes half away from zero on both sides of it."""
+    df = spark.createDataFrame([(-26, 1), (-175, 1), (-25, 1), (25, 1), (-24, 1), (-1, 3)], "s long, c long")
+    got = [r[0] for r in df.select(avg_round(F.col("s"), F.col("c"), 1, in_scale=2)).collect()]
+    assert got == [Decimal(x) for x in ("-0.3", "-1.8", "-0.3", "0.3", "-0.2", "0.0")]
+    pct = [r[0] for r in df.select(pct2(F.col("s"), F.col("c") * 800)).collect()]
+    assert pct[0] == Decimal("-3.25") and pct[5] == Decimal("-0.04")

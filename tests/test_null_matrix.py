@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from fleetdw.plans.warehouse import warehouse_for
+from fleetdw.plans.star import store_for
 from fleetdw.schemas import SYS_A, SYS_B, SYS_C, SYS_D
 
 SF = "/root/testdata/sf0.001"
@@ -30,7 +30,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 @pytest.mark.parametrize("table", sorted(NULL_MATRIX))
 def test_null_matrix(spark, table):
-    df = warehouse_for(spark, SF).table(table)
+    df = store_for(spark, SF).table(table)
     cols = NULL_MATRIX[table]
     agg = df.groupBy("id_sistema_origem").agg(
         *[F.count(F.col(c)).alias(c) for c in cols], F.count(F.lit(1)).alias("__n")).collect()

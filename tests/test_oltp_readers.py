@@ -32,3 +32,17 @@ def test_jdbc_reader_projects_declared_columns_and_partitions_big_tables():
     assert (call["column"], call["lower"], call["upper"], call["n"]) == ("id_locacao", 0, 10_000_000, 64)
     src["A"]["patio"]
     assert spark.read.calls[-1]["column"] is None and "FROM src_a.patio" in spark.read.calls[-1]["table"]
+
+
+def test_timestamps_arrive_zone_free(spark, tmp_path):
+    from fleetdw.sources.oltp import parquet_sources
+
+    stub = _Spark()
+    jdbc_sources(stub, "jdbc:postgresql://db/oltp", dict.fromkeys("ABCD", "x"), {"user": "etl"})["A"]["locacao"]
+    assert stub.read.calls[-1]["props"] == {"preferTimestampNTZ": "true", "user": "etl"}
+    zoned = spark.sql("""SELECT '1' AS idmovimentacao, timestamp '2024-01-01 10:00:00' AS dtchegada, current_timestamp() AS dtretirada,
+                                1 AS idveiculo, 2 AS idvagaorigem, 3 AS idvagadestino, 'x' AS more""")
+    zoned.write.parquet(str(tmp_path / "A" / "movimentacao"))
+    got = parquet_sources(spark, str(tmp_path))["A"]["movimentacao"]
+    assert dict(got.dtypes)["dtchegada"] == "timestamp_ntz" and dict(got.dtypes)["idveiculo"] == "bigint"
+    assert "more" not in got.columns

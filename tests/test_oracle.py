@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from fleetdw.checks.oracle_queries import oracle_sql
+from fleetdw.queries import registry
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -17,8 +19,8 @@ def con():
     return duck(SF)
 
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle_sql(SF) if os.path.isdir(SF) else {}
 
 
 def test_every_query_has_an_oracle():

@@ -12,7 +12,7 @@ from fleetdw.plans import quality as Q
 from fleetdw.plans import reports as R
 from fleetdw.plans import source_views as V
 from fleetdw.plans.facts import discards
-from fleetdw.plans.warehouse import build_from_sources, load
+from fleetdw.plans.star import build_from_sources, load
 from fleetdw.schemas import NOT_INFORMED, SYS_A, SYS_B, SYS_C, SYS_D
 from fleetdw.sources.extract import extract_all
 
@@ -186,7 +186,7 @@ def test_quality_rules(spark, wh):
     xor = {r.rule: r.n_violations for r in Q.dq_xor(sources(spark)["A"], std).collect()}
     assert xor == {"bay_level.centrocusto.pf_xor_pj": 0, "charge_total.movimentacao.origem_igual_destino": 0,
                    "quoted_total.movimentacao.origem_igual_destino": 1}
-    uniq = {r.rule: r.n_violations for r in Q.dq_unique(std, wh.table("dim_tempo")).collect()}
+    uniq = {r.rule: r.n_violations for r in Q.dq_unique(std, wh.tables(), sources(spark)).collect()}
     assert uniq["std_veiculo.placa"] == 1 and uniq["std_grupo.pk"] == 2
 
 
@@ -201,7 +201,7 @@ def test_reload_inserts_nothing(spark, wh):
 def test_update_mode_refreshes_returned_rental(spark):
     from fixtures import ROWS, SCHEMAS, t
 
-    from fleetdw.plans.warehouse import stage_sources
+    from fleetdw.plans.star import StarStore, stage_sources
 
     wh_ignore = build_from_sources(spark, sources(spark))
     wh_update = build_from_sources(spark, sources(spark))
@@ -223,6 +223,11 @@ def test_update_mode_refreshes_returned_rental(spark):
     assert c1_update[0].sk_locacao == sk_before["C1"]
     assert wh_update.table("fato_locacao").count() == len(sk_before)
     assert sorted(r.sk_patio for r in wh_update.table("dim_patio").collect()) == list(range(1, 9))
+    # versions are found on disk: an object of another process reads the update and adds nothing
+    other = StarStore(spark, wh_update.root)
+    assert other.table("fato_locacao").where("id_locacao_origem = 'C1'").first().status == "CONCLUIDA"
+    load(spark, other)
+    assert set(other.inserted.values()) == {0}
 
 
 def test_parquet_source_layout_round_trip(spark, dw):
@@ -244,7 +249,7 @@ def test_persisted_staging_never_refreshes(spark):
     open even under mode="update"; re-staging is idempotent."""
     from fixtures import ROWS, SCHEMAS, t
 
-    from fleetdw.plans.warehouse import stage_sources
+    from fleetdw.plans.star import stage_sources
 
     wh = build_from_sources(spark, sources(spark), persist_staging_tables=True)
     n_stg = spark.read.parquet(wh.path("stg", "c_locacao")).count()
@@ -261,22 +266,26 @@ def test_persisted_staging_never_refreshes(spark):
     assert len(c1) == 1 and c1[0].status == "EM_ANDAMENTO"
 
 
-def test_markov_matrix_dynamic_columns_and_limit(dw, monkeypatch):
-    wide = M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"])
+def test_markov_matrix_has_the_listed_columns(dw):
     names = [r.nome_patio for r in M.yard_columns(dw["dim_patio"]).collect()]
+    wide = M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"], names)
     assert wide.columns == ["patio_origem", *names, "total_saidas_origem"]
     row = [r for r in wide.collect() if r.patio_origem == "Yard X" and r.total_saidas_origem == 3][0]
     assert row["A-Sul"] == Decimal("66.67") and row["B-Leste"] is None
-    monkeypatch.setattr(M, "MATRIX_MAX_COLUMNS", 3)
-    with pytest.raises(ValueError):
-        M.transition_matrix(dw["fato_movimentacao_patio"], dw["dim_patio"])
+
+
+def test_failing_file_system_is_not_an_absent_table(spark):
+    from fleetdw.plans.star import StarStore
+
+    with pytest.raises(Exception, match="nosuchfs"):
+        StarStore(spark, "nosuchfs://somewhere/root").exists("dw", "dim_patio")
 
 
 def test_new_dimension_member_gets_next_key(spark):
     """L0 on a later load: existing keys unchanged, a new yard gets max + 1."""
     from fixtures import ROWS, SCHEMAS
 
-    from fleetdw.plans.warehouse import stage_sources
+    from fleetdw.plans.star import stage_sources
 
     wh = build_from_sources(spark, sources(spark))
     before = {(r.id_sistema_origem, r.id_patio_origem): r.sk_patio for r in wh.table("dim_patio").collect()}

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from fleetdw.plans.warehouse import build_from_sources
+from fleetdw.plans.star import build_from_sources
 from fleetdw.session import fresh_scratch
 from fleetdw.streaming import start_fact_stream
 

@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-HEAD = '# Physical plans\n\n`explain("formatted")` of the headline operators on the written warehouse at sf0.01\n(PySpark 4.1.2, AQE on, 16 shuffle partitions; regenerate with any session, the shapes\ndo not depend on scale except where a dimension crosses the broadcast bound).\n\nWhat to look for, per plan:\n\n* **Fact load (L9 + L1).** One scan of `std_locacao` with the mandatory-key\n  `IsNotNull` filters pushed into Parquet. The five dimension lookups are\n  broadcast hash joins (each broadcast only after the row count recorded at\n  write time is ≤ 1M). The insert-ignore dedup is a partial aggregation, one\n  exchange on the natural key, then the final aggregation. The conflict check\n  against the existing fact reads only `id_locacao_origem` from it. There is no\n  union, and the lookups are not repeated for NULL keys.\n* **markov_long (M3).** Map-side partial `HashAggregate` on (origin, destination),\n  then an exchange of pre-aggregated pairs. The per-origin total is a window over\n  that small aggregate, so a hot origin yard cannot concentrate raw movement\n  rows in one task. Yard names join last, broadcast. The scan reads two bigint\n  columns.\n* **top_groups (R4).** Fact scan pruned to 6 columns; the reservation join (D1).\n  Then a partial + final aggregation on (group, customer, source) surrogate keys,\n  so the customer dimension, a shuffle join at scale, meets aggregated rows.\n  Then the report aggregation on the 7 keys. `RANK` runs on aggregated rows.\n* **open_rentals (R2).** `IsNull(sk_tempo_devolucao)` is pushed into the fact\n  scan, so only open rentals flow into the joins.\n* **reservation_demand (R3).** `dt_ref > as_of` is pushed into the `dim_tempo`\n  scan, and the inner join with it prunes the reservations before the remaining\n  lookups.\n* **fleet_by_group (R1).** The fact is reduced to its (vehicle, group) pairs\n  (two bigint columns) before any dimension is touched.\n* **insert_ignore_new (L1 on lineitem).** One aggregation per side and one\n  anti join.\n* **dq_fk (Q5).** Child foreign keys are aggregated per (source, key) before the\n  anti join, so a parent referenced by a third of all rows is one row at the\n  join.\n\n'
+HEAD = '# Physical plans\n\n`explain("formatted")` of the headline operators on the written star store at sf0.01\n(PySpark 4.1.2, AQE on, 16 shuffle partitions; regenerate with any session, the shapes\ndo not depend on scale except where a dimension crosses the broadcast bound).\n\nWhat to look for, per plan:\n\n* **Fact load (L9 + L1).** One scan of `std_locacao` with the mandatory-key\n  `IsNotNull` filters pushed into Parquet. The five dimension lookups are\n  broadcast hash joins (each broadcast only after the row count recorded at\n  write time is ≤ 1M). The insert-ignore dedup is a partial aggregation, one\n  exchange on the natural key, then the final aggregation. The conflict check\n  against the existing fact reads only `id_locacao_origem` from it. There is no\n  union, and the lookups are not repeated for NULL keys.\n* **markov_long (M3).** Map-side partial `HashAggregate` on (origin, destination),\n  then an exchange of pre-aggregated pairs. The per-origin total is a window over\n  that small aggregate, so a hot origin yard cannot concentrate raw movement\n  rows in one task. Yard names join last, broadcast. The scan reads two bigint\n  columns.\n* **top_groups (R4).** Fact scan pruned to 6 columns; the reservation join (D1).\n  Then a partial + final aggregation on (group, customer, source) surrogate keys,\n  so the customer dimension, a shuffle join at scale, meets aggregated rows.\n  Then the report aggregation on the 7 keys. `RANK` runs on aggregated rows.\n* **open_rentals (R2).** `IsNull(sk_tempo_devolucao)` is pushed into the fact\n  scan, so only open rentals flow into the joins.\n* **reservation_demand (R3).** `dt_ref > as_of` is pushed into the `dim_tempo`\n  scan, and the inner join with it prunes the reservations before the remaining\n  lookups.\n* **fleet_by_group (R1).** The fact is reduced to its (vehicle, group) pairs\n  (two bigint columns) before any dimension is touched.\n* **insert_ignore_new (L1 on lineitem).** One aggregation per side and one\n  anti join.\n* **dq_fk (Q5).** Child foreign keys are aggregated per (source, key) before the\n  anti join, so a parent referenced by a third of all rows is one row at the\n  join.\n\n'
 
 HEADLINE = ["markov_long", "top_groups", "open_rentals", "reservation_demand", "fleet_by_group", "insert_ignore_new",
             "dq_fk"]
@@ -37,13 +37,13 @@ def section(title: str, df) -> str:
 
 def main(sf: str, target: str) -> None:
     from fleetdw.plans import facts as FX
-    from fleetdw.plans.warehouse import warehouse_for
+    from fleetdw.plans.star import store_for
     from fleetdw.queries import registry
     from fleetdw.session import build_session
 
     spark = build_session("local[8]", 16)
     spark.sparkContext.setLogLevel("ERROR")
-    wh = warehouse_for(spark, sf)
+    wh = store_for(spark, sf)
     q = registry()
     parts = [section("fato_locacao load (L9 + L1)",
                      FX.fato_locacao_rows(wh.table("std_locacao"), wh.dims(), wh.table("fato_locacao")))]
