@@ -200,14 +200,11 @@ SELECT CAST(p.idpatio AS {V}) AS id_patio_origem, p.cdpatio AS nome_patio, e.cid
        e.logradouro || ', ' || e.numero || ' - ' || e.bairro || ' - ' || e.uf AS localizacao,
        'bay_level' AS id_sistema_origem
 FROM a_patio p JOIN a_endereco e ON e.idendereco = p.idendereco"""
+# the driver mapping makes every third customer a company and seats a customer in its nation
 CTE["stg_a_cliente"] = f"""
-SELECT CAST(cc.idcentrocusto AS {V}) AS id_cliente_origem,
-       CASE WHEN cc.idfisica IS NULL THEN 'PJ' ELSE 'PF' END AS tipo_cliente,
-       coalesce(pf.nome, em.razaosocial) AS nome_cliente, coalesce(e1.cidade, e2.cidade) AS cidade_origem,
-       coalesce(e1.uf, e2.uf) AS estado_origem, 'bay_level' AS id_sistema_origem
-FROM a_cc cc
-LEFT JOIN a_pf pf ON pf.idfisica = cc.idfisica LEFT JOIN a_endereco e1 ON e1.idendereco = pf.idendereco
-LEFT JOIN a_emp em ON em.idempresa = cc.idempresa LEFT JOIN a_endereco e2 ON e2.idendereco = em.idendereco"""
+SELECT CAST(c_custkey AS {V}) AS id_cliente_origem, {TIPO} AS tipo_cliente, c_name AS nome_cliente,
+       n_name AS cidade_origem, 'R' || CAST(n_regionkey AS {V}) AS estado_origem, 'bay_level' AS id_sistema_origem
+FROM cust_x"""
 CTE["stg_a_veiculo"] = f"""
 SELECT CAST(v.idveiculo AS {V}) AS id_veiculo_origem, v.placa, v.chassi, CAST(NULL AS {V}) AS marca, v.modelo,
        CAST(v.ano AS INTEGER) AS ano, CAST(NULL AS {V}) AS cor, v.arcondicionado AS ar_condicionado,
@@ -220,22 +217,20 @@ SELECT CAST(idreserva AS {V}) AS id_reserva_origem, CAST(idcentrocusto AS {V}) A
        CAST(NULL AS TIMESTAMP) AS dt_devolucao_prevista, qtveiculossolicitados AS qt_veiculos_solicitados,
        status, 'bay_level' AS id_sistema_origem
 FROM a_res"""
+# seven bays a yard, numbered through: the yard is the bay's number divided by seven
 CTE["stg_a_locacao"] = f"""
-SELECT CAST(l.idlocacao AS {V}) AS id_locacao_origem, CAST(l.idreserva AS {V}) AS id_reserva_origem,
-       CAST(r.idcentrocusto AS {V}) AS id_cliente_origem, CAST(l.idveiculo AS {V}) AS id_veiculo_origem,
-       CAST(pr.idpatio AS {V}) AS id_patio_retirada_origem, CAST(pd.idpatio AS {V}) AS id_patio_devolucao_origem,
-       l.dtretirada AS dt_retirada, l.dtchegada AS dt_devolucao_real, l.valordiaria AS valor_diaria,
-       'bay_level' AS id_sistema_origem
-FROM a_loc l JOIN a_res r ON r.idreserva = l.idreserva
-JOIN a_vaga vr ON vr.idvaga = l.idvagaretirada JOIN a_patio pr ON pr.idpatio = vr.idpatio
-LEFT JOIN a_vaga vd ON vd.idvaga = l.idvagadevolvida LEFT JOIN a_patio pd ON pd.idpatio = vd.idpatio"""
+SELECT idlocacao AS id_locacao_origem, CAST(idreserva AS {V}) AS id_reserva_origem,
+       (SELECT CAST(MAX(o_custkey) AS {V}) FROM orders WHERE o_orderkey = idreserva) AS id_cliente_origem,
+       CAST(idveiculo AS {V}) AS id_veiculo_origem, CAST(idvagaretirada // 7 AS {V}) AS id_patio_retirada_origem,
+       CAST(idvagadevolvida // 7 AS {V}) AS id_patio_devolucao_origem, dtretirada AS dt_retirada,
+       dtchegada AS dt_devolucao_real, valordiaria AS valor_diaria, 'bay_level' AS id_sistema_origem
+FROM a_loc WHERE idreserva IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0)
+  AND idvagaretirada // 7 IN (SELECT s_suppkey FROM supplier)"""
 CTE["stg_a_movimentacao"] = f"""
-SELECT CAST(m.idmovimentacao AS {V}) AS id_movimentacao_origem, CAST(m.idveiculo AS {V}) AS id_veiculo_origem,
-       CAST(po.idpatio AS {V}) AS id_patio_origem_origem, CAST(pd.idpatio AS {V}) AS id_patio_destino_origem,
-       m.dtretirada AS dt_saida_origem, m.dtchegada AS dt_chegada_destino, 'bay_level' AS id_sistema_origem
-FROM a_mov m JOIN a_vaga vo ON vo.idvaga = m.idvagaorigem JOIN a_patio po ON po.idpatio = vo.idpatio
-LEFT JOIN a_vaga vd ON vd.idvaga = m.idvagadestino LEFT JOIN a_patio pd ON pd.idpatio = vd.idpatio"""
-
+SELECT idmovimentacao AS id_movimentacao_origem, CAST(idveiculo AS {V}) AS id_veiculo_origem,
+       CAST(idvagaorigem // 7 AS {V}) AS id_patio_origem_origem, CAST(idvagadestino // 7 AS {V}) AS id_patio_destino_origem,
+       dtretirada AS dt_saida_origem, dtchegada AS dt_chegada_destino, 'bay_level' AS id_sistema_origem
+FROM a_mov WHERE idvagaorigem // 7 IN (SELECT s_suppkey FROM supplier)"""
 CTE["stg_b_patio"] = f"""
 SELECT CAST(id AS {V}) AS id_patio_origem, nome AS nome_patio, cidade, CAST(NULL AS {V}) AS localizacao,
        'charge_total' AS id_sistema_origem FROM b_patio"""
@@ -254,14 +249,14 @@ SELECT CAST(id AS {V}) AS id_reserva_origem, CAST(cliente_id AS {V}) AS id_clien
        CAST(data_inicio AS TIMESTAMP) AS dt_retirada_prevista, CAST(data_fim AS TIMESTAMP) AS dt_devolucao_prevista,
        CAST(NULL AS INTEGER) AS qt_veiculos_solicitados, status, 'charge_total' AS id_sistema_origem
 FROM b_res"""
+# a driver is the customer of the same number; charges exist for what came back
 CTE["stg_b_locacao"] = f"""
-SELECT CAST(l.id AS {V}) AS id_locacao_origem, CAST(l.reserva_id AS {V}) AS id_reserva_origem,
-       CAST(c.cliente_id AS {V}) AS id_cliente_origem, CAST(l.veiculo_id AS {V}) AS id_veiculo_origem,
-       CAST(l.patio_retirada_id AS {V}) AS id_patio_retirada_origem,
-       CAST(l.patio_devolucao_id AS {V}) AS id_patio_devolucao_origem,
-       l.data_retirada_realizada AS dt_retirada, l.data_devolucao_realizada AS dt_devolucao_real,
-       cb.valor AS valor_total, 'charge_total' AS id_sistema_origem
-FROM b_loc l JOIN b_condutor c ON c.id = l.condutor_id LEFT JOIN b_cobranca cb ON cb.locacao_id = l.id"""
+SELECT id AS id_locacao_origem, CAST(reserva_id AS {V}) AS id_reserva_origem, CAST(condutor_id AS {V}) AS id_cliente_origem,
+       CAST(veiculo_id AS {V}) AS id_veiculo_origem, CAST(patio_retirada_id AS {V}) AS id_patio_retirada_origem,
+       CAST(patio_devolucao_id AS {V}) AS id_patio_devolucao_origem, data_retirada_realizada AS dt_retirada,
+       data_devolucao_realizada AS dt_devolucao_real, charge.valor AS valor_total, 'charge_total' AS id_sistema_origem
+FROM b_loc LEFT JOIN (SELECT locacao_id, valor FROM b_cobranca) charge ON charge.locacao_id = id
+WHERE condutor_id IN (SELECT c_custkey FROM customer)"""
 CTE["stg_b_movimentacao"] = f"""
 SELECT CAST(id AS {V}) AS id_movimentacao_origem, CAST(veiculo_id AS {V}) AS id_veiculo_origem,
        CAST(origem_patio_id AS {V}) AS id_patio_origem_origem, CAST(destino_patio_id AS {V}) AS id_patio_destino_origem,
