@@ -26,6 +26,27 @@ FINAL["markov_columns"] = "SELECT DISTINCT nome_patio FROM dim_patio_o"
 for _p in "abcd":
     for _e in ("patio", "cliente", "veiculo", "reserva", "locacao", "movimentacao"):
         FINAL[f"ext_{_p}_{_e}"] = f"SELECT * FROM stg_{_p}_{_e}"
+# staging: every row twice, the second copy loses; keys may repeat within a source too
+_STAGED = {
+    "patio": ["nome_patio", "cidade", "localizacao"],
+    "cliente": ["tipo_cliente", "nome_cliente", "cidade_origem", "estado_origem"],
+    "veiculo": ["placa", "chassi", "marca", "modelo", "ano", "cor", "ar_condicionado", "nome_grupo", "mecanizacao"],
+    "reserva": ["id_cliente_origem", "id_grupo_origem", "id_patio_retirada_origem", "dt_reserva", "dt_retirada_prevista",
+                "dt_devolucao_prevista", "qt_veiculos_solicitados", "status"],
+    "locacao": ["id_reserva_origem", "id_cliente_origem", "id_veiculo_origem", "id_patio_retirada_origem",
+                "id_patio_devolucao_origem", "dt_retirada", "dt_devolucao_real"],
+    "movimentacao": ["id_veiculo_origem", "id_patio_origem_origem", "id_patio_destino_origem", "dt_saida_origem",
+                     "dt_chegada_destino"],
+}
+for _e, _cols in _STAGED.items():
+    _key = f"id_{_e}_origem"
+    _all = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ["id_sistema_origem", _key, *_cols])
+    _rows = " UNION ALL ".join(f"SELECT {_all} FROM stg_{p}_{_e}" for p in "abcd")
+    _tie = ", ".join(f"{c} ASC NULLS LAST" for c in _cols)
+    FINAL[f"stg_{_e}"] = (
+        f"SELECT id_sistema_origem, {_key}, {', '.join(_cols)}, 1 AS lote FROM (SELECT *, "
+        f"CASE WHEN {_key} IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY id_sistema_origem, {_key} ORDER BY {_tie}) END AS k "
+        f"FROM ({_rows})) WHERE k = 1")
 for _t in ("patio", "cliente", "grupo", "veiculo", "reserva", "locacao", "movimentacao"):
     FINAL[f"std_{_t}"] = f"SELECT * FROM std_{_t}"
 

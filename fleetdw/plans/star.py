@@ -130,7 +130,7 @@ def _count(spark: SparkSession, path: str) -> int:
     return int(spark.read.parquet(path).count())  # parquet footers only
 
 
-def _in_parallel(tasks: dict[str, callable], workers: int = 8) -> None:
+def _in_parallel(tasks: dict[str, callable], workers: int = 16) -> None:
     """Independent Spark jobs submitted from driver threads, so small stages
     overlap instead of queueing behind each other."""
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
@@ -140,8 +140,8 @@ def _in_parallel(tasks: dict[str, callable], workers: int = 8) -> None:
 
 
 def stage_std(spark: SparkSession, sf_dir: str, wh: StarStore) -> None:
-    """Extract + transform of the driver tables, written once to ``std/``."""
-    stage_sources(Shapes(spark, sf_dir).all_sources(), wh)
+    """Extract + transform of the driver tables: raw staging, then ``std/``."""
+    stage_sources(Shapes(spark, sf_dir).all_sources(), wh, persist_staging_tables=True)
 
 
 # Primary key of each raw staging table (the extracts' ON CONFLICT target).
@@ -311,7 +311,7 @@ def build_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> St
 
 
 def build_from_sources(spark: SparkSession, sources: dict[str, dict[str, DataFrame]],
-                       root: str | None = None, persist_staging_tables: bool = False) -> StarStore:
+                       root: str | None = None, persist_staging_tables: bool = True) -> StarStore:
     """Full ETL from already-shaped source tables (``sources[letter][table]``)."""
     wh = StarStore(spark, root or fresh_scratch(spark, "star"))
     stage_sources(sources, wh, persist_staging_tables)

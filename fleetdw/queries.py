@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from fleetdw.plans import reports as R
 from fleetdw.plans import source_views as V
 from fleetdw.plans.facts import discards
 from fleetdw.plans.transform import TRANSFORMS
-from fleetdw.plans.star import DIM_ORDER, store_for
+from fleetdw.plans.star import DIM_ORDER, STAGING_KEYS, store_for
 from fleetdw.sources.adapters import Shapes
 from fleetdw.sources.extract import ENTITIES, EXTRACTS, a_reserva
 from fleetdw.sources.tpch import Tables
@@ -146,6 +147,23 @@ def _fact_query(name: str) -> Query:
     return q
 
 
+def _staging_query(entity: str) -> Query:
+    """Insert-ignore of an entity's extracts on the staging key, from a batch that holds every
+    row twice: the second time with a changed tag, which loses the tie-break."""
+    def q(spark, sf_dir):
+        src = _shapes(spark, sf_dir).all_sources()
+        frames = [EXTRACTS[p][entity](src[p]) for p in "ABCD"]
+        both = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
+        rows = reduce(lambda a, b: a.unionByName(b), [f.select(*[F.col(c).cast("string").alias(c) for c in both])
+                                                      for f in frames])
+        rows = rows.withColumn("lote", F.lit(1)).unionByName(rows.withColumn("lote", F.lit(2)))
+        key = STAGING_KEYS[entity]
+        tie = ["lote", *(c for c in both if c not in (key, "id_sistema_origem"))]
+        return insert_ignore(None, rows, ["id_sistema_origem", key], tie)
+    q.__name__ = f"stg_{entity}"
+    return q
+
+
 # ------------------------------------------------------------------ insert-ignore / keys on lineitem
 LI_KEYS = ["l_orderkey", "l_linenumber"]
 LI_TIE = ["l_partkey", "l_suppkey", "l_shipdate"]
@@ -267,6 +285,8 @@ def registry() -> dict[str, Query]:
     for letter in "ABCD":
         for entity in ENTITIES:
             q[f"ext_{letter.lower()}_{entity}"] = _extract_query(letter, entity)
+    for entity in ENTITIES:
+        q[f"stg_{entity}"] = _staging_query(entity)
     for name in TRANSFORMS:
         q[name] = _std_query(name)
     q["dim_tempo"] = dim_tempo
