@@ -33,7 +33,6 @@ empty table gives no shard and an empty result; other columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -52,11 +51,17 @@ SHARD_IDS = 1 << 20
 LEAST = 48
 SHARE = 4
 INDEX_STEP = 256
-MEMO_CHARS = 10_000_000
+MEMO_CHARS = 16_000_000
 MAGIC = b"RPR1"
 _SPACES = ("", "\t", "\r", "\n")
 _LONG_SPACE = ("  ", "\t ", "\r ", "\n ")
-_ODD_SPACE = re.compile(r"[^\S \t\r\n]|[\x1c-\x1f]")
+#: White space besides blank, tab and line ends, and what Python takes for it.
+_ODD = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200b)))
+
+
+def odd_space(text: str) -> bool:
+    """Must this text be encoded whole?"""
+    return any(c in text for c in (_ODD[:6] if text.isascii() else _ODD)) or any(x in text for x in _LONG_SPACE)
 
 
 class Encoder:
@@ -100,12 +105,16 @@ class Encoder:
         if self.held > MEMO_CHARS:
             self.memo, self.older, self.held = {}, self.memo, 0
         memo, older = self.memo, self.older
-        cut = [[t] if _ODD_SPACE.search(t) or any(x in t for x in _LONG_SPACE) else t.split(" ") for t in texts]
+        cut = [[t] if odd_space(t) else t.split(" ") for t in texts]
         heads = self._library([ps[0] for ps in cut])
-        fresh = set().union(*(ps[1:] for ps in cut)) - memo.keys()
-        for p in fresh & older.keys():
+        rests = [ps[1:] for ps in cut]
+        found = [list(map(memo.get, ps)) for ps in rests]
+        fresh = {p for ps, fs in zip(rests, found, strict=True) if None in fs
+                 for p, f in zip(ps, fs, strict=True) if f is None}
+        again = fresh & older.keys()
+        for p in again:
             memo[p] = older[p]
-        fresh -= memo.keys()
+        fresh -= again
         # white space alone, or at the end, would run on into the next part
         alone = [p for p in fresh if p[-1:] in _SPACES]
         memo.update(zip(alone, self._library([" " + p for p in alone]), strict=True))
@@ -113,7 +122,8 @@ class Encoder:
         if fresh:
             self._learn(fresh)
         self.held += sum(map(len, fresh)) + 12 * len(fresh)
-        return [head + b"".join([memo[p] for p in ps[1:]]) for head, ps in zip(heads, cut, strict=True)]
+        return [head + b"".join([memo[p] if f is None else f for p, f in zip(ps, fs, strict=True)])
+                for head, ps, fs in zip(heads, rests, found, strict=True)]
 
 
 # ------------------------------------------------------------------ Re-Pair
@@ -137,8 +147,9 @@ def _frequent(seq: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
 
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(distinct ids, rules, expansion lengths of the rules, symbols)."""
-    alphabet, seq = np.unique(ids, return_inverse=True)
-    seq = seq.astype(np.int32)
+    used = np.bincount(ids) > 0 if len(ids) else np.zeros(0, bool)
+    alphabet = np.flatnonzero(used)
+    seq = (np.cumsum(used, dtype=np.int32) - 1)[ids]
     rules: list[tuple[int, int]] = []
     while len(seq) > 1:
         symbols = len(alphabet) + len(rules)
