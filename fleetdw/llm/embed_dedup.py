@@ -34,12 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetdw.llm.common import join_by_key, materialise, ship_package
+from fleetdw.llm.common import join_by_key, materialise, ship_package, shuffle_partitions
 from fleetdw.llm.components import connected_components
 
 KEY_BITS, TABLES = 16, 32
 SIGMAS = 6.0
 BLOCK = 1024
+SMALL = 32
 SEED = 11
 
 
@@ -78,16 +79,21 @@ def turns_of(d: int) -> np.ndarray:
     return rotations(d, -(-KEY_BITS * TABLES // d))
 
 
+def undecided(seen: np.ndarray, factor: np.ndarray, d: int, threshold: float) -> np.ndarray:
+    """Neither the estimate with its margin nor the sure bound is below the threshold."""
+    rest = np.sqrt(np.maximum(0, 1 - factor ** 2))
+    margin = SIGMAS * rest / (factor * np.sqrt(max(1, d - 1)))
+    sure = seen * factor + np.sqrt(np.maximum(0, 1 - seen ** 2)) * rest
+    return (seen / factor + margin >= threshold) | (sure >= threshold - 1e-9)
+
+
 def open_pairs(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float) -> np.ndarray:
     """Pairs that the codes of ``a`` cannot dismiss: a boolean matrix."""
     d = a.shape[1]
     code = np.where(a @ turn.T >= 0, 1.0, -1.0) / np.sqrt(d)
     factor = np.einsum("ij,ij->i", code, a @ turn.T)[:, None]
     seen = code @ (b @ turn.T).T
-    rest = np.sqrt(np.maximum(0, 1 - factor ** 2))
-    margin = SIGMAS * rest / (factor * np.sqrt(max(1, d - 1)))
-    sure = seen * factor + np.sqrt(np.maximum(0, 1 - seen ** 2)) * rest
-    return (seen / factor + margin >= threshold) | (sure >= threshold - 1e-9)
+    return undecided(seen, factor, d, threshold)
 
 
 def forest(links: np.ndarray) -> np.ndarray:
@@ -102,35 +108,90 @@ def forest(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(threshold: float):
+def _large(units, rep, n, chunk, i: int, j: int, table: int, threshold: float) -> pd.DataFrame:
     """Compares the members of one bucket, or of two blocks of it."""
+    turns = turns_of(units.shape[1])
+    left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+    sig = signatures(units, turns)
+    links = np.zeros((len(rep), len(rep)), bool)
+    for k in range(0, len(left), 128):
+        rows = left[k:k + 128]
+        maybe = open_pairs(units[rows], units[right], turns[0], threshold)
+        maybe &= rep[rows][:, None] != rep[right][None, :]
+        at = np.flatnonzero(maybe.any(axis=0))
+        if not len(at):
+            continue
+        exact = (units[rows] @ units[right[at]].T >= threshold) & maybe[:, at]
+        x, y = np.nonzero(exact)
+        x, y = rows[x], right[at][y]
+        first = (sig[x] == sig[y]).argmax(axis=1) == table
+        links[x[first], y[first]] = True
+    links |= links.T
+    label = forest(links)
+    linked = np.flatnonzero(links.any(axis=1))
+    return pd.DataFrame({"rep": rep[linked], "root": rep[label[linked]], "links": (links[linked] @ n).astype(np.int64)})
+
+
+def _small(units, rep, n, table, starts, sizes, threshold: float) -> pd.DataFrame:
+    """Compares the members of many small buckets at once, pair by pair."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for size in np.unique(sizes):
+        at = starts[sizes == size][:, None]
+        x, y = np.triu_indices(size, 1)
+        a.append((at + x).ravel())
+        b.append((at + y).ravel())
+    a, b = np.concatenate(a), np.concatenate(b)
+    turns, d = turns_of(units.shape[1]), units.shape[1]
+    turned = units @ turns[0].T
+    code = np.where(turned >= 0, 1.0, -1.0) / np.sqrt(d)
+    factor = np.einsum("ij,ij->i", code, turned)[a]
+    seen = np.einsum("ij,ij->i", code[a], turned[b])
+    maybe = undecided(seen, factor, d, threshold)
+    a, b = a[maybe], b[maybe]
+    linked = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
+    a, b = a[linked], b[linked]
+    if len(a):
+        used, at = np.unique(np.r_[a, b], return_inverse=True)
+        sig = signatures(units[used], turns)[at].reshape(2, -1, TABLES)
+        first = (sig[0] == sig[1]).argmax(axis=1) == table[a]
+        a, b = a[first], b[first]
+    low = np.minimum(rep[a], rep[b])
+    return pd.DataFrame({"rep": np.r_[rep[a], rep[b]], "root": np.r_[low, low], "links": np.r_[n[b], n[a]].astype(np.int64)})
+
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rep", kind="stable").reset_index(drop=True)
-        table, i, j = int(pdf["t"].iloc[0]), int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        units = unit(np.stack(pdf["vec"].to_numpy()))
-        turns = turns_of(units.shape[1])
-        rep, n = pdf["rep"].to_numpy(), pdf["n"].to_numpy()
-        chunk = pdf["chunk"].to_numpy()
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        sig = signatures(units, turns)
-        links = np.zeros((len(pdf), len(pdf)), bool)
-        for k in range(0, len(left), 128):
-            rows = left[k:k + 128]
-            maybe = open_pairs(units[rows], units[right], turns[0], threshold)
-            maybe &= rep[rows][:, None] != rep[right][None, :]
-            at = np.flatnonzero(maybe.any(axis=0))
-            if not len(at):
+def _compare(threshold: float):
+    """Compares the buckets of sorted rows; a bucket may go on in the next batch."""
+    by = ["label", "d", "t", "key", "i", "j"]
+
+    def whole(pdf: pd.DataFrame) -> list[pd.DataFrame]:
+        out = []
+        for _, part in pdf.groupby("d", sort=False):
+            part = part.reset_index(drop=True)
+            units = unit(np.stack(part["vec"].to_numpy()))
+            rep, n, table = (part[c].to_numpy() for c in ("rep", "n", "t"))
+            keys = np.column_stack([pd.factorize(part["label"])[0], *(part[c] for c in by[1:])]).astype(np.int64)
+            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+            sizes = np.diff(np.r_[starts, len(part)])
+            little = (sizes <= SMALL) & (keys[starts, 4] == keys[starts, 5])
+            out.append(_small(units, rep, n, table, starts[little], sizes[little], threshold))
+            chunk = part["chunk"].to_numpy()
+            for lo, size in zip(starts[~little], sizes[~little], strict=True):
+                at = slice(lo, lo + size)
+                out.append(_large(units[at], rep[at], n[at], chunk[at], keys[lo, 4], keys[lo, 5], int(table[lo]), threshold))
+        return out
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if not len(pdf):
                 continue
-            exact = (units[rows] @ units[right[at]].T >= threshold) & maybe[:, at]
-            x, y = np.nonzero(exact)
-            x, y = rows[x], right[at][y]
-            first = (sig[x] == sig[y]).argmax(axis=1) == table
-            links[x[first], y[first]] = True
-        links |= links.T
-        label = forest(links)
-        linked = np.flatnonzero(links.any(axis=1))
-        return pd.DataFrame({"rep": rep[linked], "root": rep[label[linked]], "links": (links[linked] @ n).astype(np.int64)})
+            last = (pdf[by] == pdf[by].iloc[-1]).all(axis=1).to_numpy()
+            open_from = len(pdf) - int(np.argmin(last[::-1])) if not last.all() else 0
+            held = pdf.iloc[open_from:]
+            yield from whole(pdf.iloc[:open_from]) if open_from else []
+        if held is not None and len(held):
+            yield from whole(held)
 
     return run
 
@@ -166,9 +227,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
               .withColumn("chunk", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
               .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
-    found = materialise(member.select(*bucket, "i", "j", "chunk", "rep", "n", "vec")
-                        .groupBy(*bucket, "i", "j")
-                        .applyInPandas(_compare(threshold), "rep long, root long, links long"), "embed-links")
+    order = [*bucket, "i", "j"]
+    dealt = (member.select(*order, "chunk", "rep", "n", "vec")
+             .repartition(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order, "rep"))
+    found = materialise(dealt.mapInPandas(_compare(threshold), "rep long, root long, links long"), "embed-links")
     roots = connected_components(found, "rep", "root").select(F.col("node").alias("rep"), "root")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     keyed = materialise(reps.join(links, "rep", "left").join(roots, "rep", "left").select(
