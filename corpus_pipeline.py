@@ -25,13 +25,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id
-    (of rows that repeat it, the smallest of all columns)."""
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    return (docs.join(keep, "doc_id", "left_semi")
-            .groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("r"))
-            .select(*[F.col("doc_id") if c == "doc_id" else F.col(f"r.{c}") for c in docs.columns]))
+    (of rows that repeat it, the smallest of all columns). Groups are components of texts,
+    not ids: documents without an id are grouped by their texts, the last to be chosen, and
+    unrelated texts under one id each stay."""
+    return simhash.representatives(docs, shingle=3, max_bits=3)
 
 
 def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fleetdw.llm.common import join_by_key, materialise, ship_package
 from fleetdw.llm.components import connected_components
@@ -74,6 +75,20 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     return src.mapInArrow(run, "doc_id long, fp long")
 
 
+def with_fingerprints(df: DataFrame, text_col: str, shingle: int, name: str) -> DataFrame:
+    """``df`` with the fingerprint's bits as a signed long in a further column ``name``."""
+    ship_package(df.sparkSession)
+    at = df.columns.index(text_col)
+    schema = StructType([*df.schema.fields, StructField(name, LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps)], names=[*b.schema.names, name])
+
+    return df.mapInArrow(run, schema)
+
+
 def unary_counts(fp: Column) -> Column:
     """The 32 bit counts of two-bit segments, each in unary."""
     some = fp.bitwiseOR(F.shiftrightunsigned(fp, 1)).bitwiseAND(F.lit(LOW))
@@ -129,17 +144,40 @@ def links(points: DataFrame, max_bits: int) -> DataFrame:
             .select("a", "b"))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``df``."""
-    docs = materialise(fingerprints(df, id_col, text_col, shingle), "simhash")
+def groups(docs: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, n, low, root, component_id) per distinct fingerprint of ``docs`` (doc_id, fp), written
+    to the shared folder: its rows, their smallest id, the smallest fingerprint of its component
+    (never null, so it names components whose ids are all null too) and the component's smallest id."""
     points = materialise(docs.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")),
                          "simhash-points")
     roots = connected_components(links(points, max_bits))
     linked = points.join(roots.withColumnRenamed("node", "fp"), "fp")
     lowest = linked.groupBy("root").agg(F.min("low").alias("root_low"))
-    moved = linked.join(lowest, "root").select("fp", "root_low")  # only fingerprints on a link
-    named = materialise(points.join(moved, "fp", "left").select(
-        "fp", "n", F.coalesce("root_low", "low").alias("component_id")), "simhash-named")
+    moved = linked.join(lowest, "root").select("fp", "root", "root_low")  # only fingerprints on a link
+    return materialise(points.join(moved, "fp", "left").select(
+        "fp", "n", "low", F.coalesce("root", "fp").alias("root"), F.coalesce("root_low", "low").alias("component_id")),
+        "simhash-named")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``df``."""
+    docs = materialise(fingerprints(df, id_col, text_col, shingle), "simhash")
+    named = groups(docs, max_bits).select("fp", "n", "component_id")
     every = join_by_key(docs, named, ["fp"], "n")
     return every.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row of ``df`` for each component: that with the smallest id, of several the
+    smallest of all columns. Components are told apart by fingerprint, not by id, so rows
+    without an id and unrelated texts under one id are kept like any other."""
+    rows = materialise(with_fingerprints(df, text_col, shingle, "__fp"), "simhash-rows")
+    named = groups(rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col("__fp").alias("fp")), max_bits)
+    # the fingerprints that hold their component's smallest id: mostly one a component
+    first = named.where(F.col("low").eqNullSafe(F.col("component_id"))).select("fp", "low", "root")
+    rest = [c for c in df.columns if c != id_col]
+    held = rows.join(first, (F.col("__fp") == F.col("fp")) & F.col(id_col).cast("long").eqNullSafe(F.col("low")))
+    return (held.groupBy("root").agg(F.min(F.struct(id_col, *rest)).alias("__r"))
+            .select(*[F.col(f"__r.{c}").alias(c) for c in df.columns]))

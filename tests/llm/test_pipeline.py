@@ -20,6 +20,26 @@ def test_one_document_of_each_group_stays(spark, sf_dir, documents):
     assert ids == {r["component_id"] for r in simhash.near_duplicates(documents).collect()}
 
 
+def test_one_row_of_each_component_stays_whatever_the_ids(spark, odd_docs):
+    def text(k):
+        return " ".join(f"w{k}x{i * k % 97}" for i in range(60))
+
+    made = spark.createDataFrame([
+        (1, text(1), "en"), (2, text(2), "en"), (2, text(1), "en"), (2, text(3), "de"), (2, text(3), "en"),
+        (None, text(4), "en"), (None, text(5), "en"), (None, text(5), "de"), (None, text(2), None), (None, None, "en"), (9, "", "en"),
+    ], "doc_id long, text string, lang string")
+    got = {tuple(r) for r in P.near_dedup(spark, made, "").collect()}
+    assert got == {(1, text(1), "en"), (2, text(2), "en"), (2, text(3), "de"), (None, text(4), "en"),
+                   (None, text(5), "de"), (9, "", "en")}
+    out = P.near_dedup(spark, odd_docs, "")
+    assert out.schema.simpleString() == odd_docs.schema.simpleString()
+    roots = {simhash.fingerprint(r["text"], 3) for r in odd_docs.collect()}  # no two are within three bits
+    assert all((a ^ b).bit_count() > 3 for a in roots for b in roots if a < b)
+    kept = out.collect()
+    assert len(kept) == len(roots) and {simhash.fingerprint(r["text"], 3) for r in kept} == roots
+    assert {(r["doc_id"], r["text"]) for r in kept} >= {(None, "no id"), (4, "another text with the same id"), (0, None), (3, "a"), (7, "same")}
+
+
 def test_empty_documents(spark, sf_dir, documents):
     docs = documents.where("1 = 0")
     for _, stage in P.STAGES:
