@@ -6,15 +6,20 @@ functions.
    card-like digit groups. They overlap freely.
 2. A base match that passes its kind's check is a base span and always stays.
 3. *Boosted trees* score every candidate from its format (digits, separators)
-   and context (neighbouring characters, words before it). They are learnt from
-   all candidates: positive is what is, or overlaps, a base span of its kind; the
-   checks themselves (digit sums, ranges) are no features. The features take few
+   and context (neighbouring characters, words before it), both read from its
+   *base form* (signs that are spelled out as signs, dots and slashes between card
+   digits as blanks), so they do not tell the generators apart. They are learnt from
+   all candidates: positive is what is, or overlaps, a base span of its kind, and
+   what a loose generator found alone if its base form is an address, passes the
+   digit sum or reads like a telephone number (``_strong``); digit sums are no
+   features. The features take few
    values, so the candidates aggregate to at most ``MAX_CELLS`` distinct rows
    (the product of the features' ranges, whatever the size of the input), and
    only those counts reach the driver.
 4. A *calibrated threshold* per kind selects the redactions: the lowest score
    at or above which at least ``PRECISION`` of the candidates are positive. Other
-   candidates that reach it and touch no base span are added to the spans.
+   candidates that reach it, touch no base span of their kind and lie in none of
+   another kind are added to the spans.
 
 Positions are code points, end exclusive. A match's position is the length of all
 that the pattern's split puts before it, summed over the match rows (a window per
@@ -60,6 +65,11 @@ LOOSE = {
 NEEDS = {("email", True): "@", ("phone", True): "+", ("email", False): "at"}
 GENERATORS = [(k, True, BASE[k]) for k in KINDS] + [(k, False, LOOSE[k]) for k in KINDS if k in LOOSE]
 
+#: A base address that ends in letters, as real ones do.
+ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
+#: A trunk zero or three, three and four digits.
+NUMBER = r"^0|^[0-9]{3}[^0-9]{1,2}[0-9]{3}[^0-9][0-9]{4}$"
+
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 IP_OK = rf"^{BYTE}(?:\.{BYTE}){{3}}$"
 
@@ -92,8 +102,10 @@ def _rows(gen: int) -> Column:
     return F.when(F.size(f"m{gen}") > 0, F.transform(f"m{gen}", lambda m, i: F.struct(
         F.lit(gen).alias("gen"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), i.alias("i"),
         F.length(F.get(gap, i)).alias("gap"), m.alias("m"),
-        F.right(F.get(gap, i), F.lit(CONTEXT)).alias("before"),
-        F.left(F.get(gap, i + 1), F.lit(1)).alias("after"))))
+        F.right(F.concat(F.coalesce(F.right(F.get(f"m{gen}", i - 1), F.lit(2)), F.lit("")), F.get(gap, i)),
+                F.lit(CONTEXT)).alias("before"),
+        F.left(F.concat(F.get(gap, i + 1), F.coalesce(F.left(F.get(f"m{gen}", i + 1), F.lit(2)), F.lit(""))),
+               F.lit(2)).alias("after"))))
 
 
 def _digits(m: Column) -> Column:
@@ -119,14 +131,39 @@ def _passes(kind: Column, m: Column) -> Column:
             .otherwise(n.between(9, 15)))
 
 
+def _base_form(kind: Column, m: Column) -> Column:
+    """What a loose match would be if it were written as a base match."""
+    at = F.regexp_replace(m, r"\x20?[(\[{]at[)\]}]\x20?", "@")
+    return (F.when(kind == "email", F.regexp_replace(at, r"\x20?[(\[{]dot[)\]}]\x20?|\x20\.\x20", "."))
+            .when(kind == "card", F.translate(m, "./", "  ")).otherwise(m))
+
+
+def _goes_on(left: bool) -> Column:
+    """Digits go on beyond the match, behind a separator that it holds too."""
+    side, rx = ("before", r"[0-9][\x20./-]$") if left else ("after", r"^[\x20./-][0-9]")
+    sep = F.right(side, F.lit(1)) if left else F.left(side, F.lit(1))
+    return F.col(side).rlike(rx) & F.col("m").contains(sep)
+
+
+def _strong(kind: Column, m: Column, form: Column) -> Column:
+    """A loose match with evidence of its own: an address, a digit sum, a number's shape or
+    the words before it; numbers that are part of something longer have none."""
+    apart = (~F.col("before").rlike(r"[\p{L}\p{N}_]$") & ~F.col("after").rlike(r"^(?!x[0-9])[\p{L}\p{N}_]")
+             & (m.contains("(") | ~(_goes_on(True) | _goes_on(False))))
+    number = m.contains("(") | m.rlike(NUMBER) | F.col("before").rlike(WORDS[3])
+    return (F.when(kind == "email", form.rlike(ADDRESS))
+            .when(kind == "card", apart & _passes(kind, form))
+            .otherwise(apart & number & _passes(kind, form)))
+
+
 def _char_class(c: Column) -> Column:
     return (F.when(c == "", 0).when(c.rlike(r"^\s"), 0).when(c.rlike(r"^\p{L}"), 1)
             .when(c.rlike("^[0-9]"), 2).otherwise(3))
 
 
 def _features() -> dict[str, Column]:
-    m, n = F.col("m"), F.length(_digits(F.col("m")))
-    seps = F.length(F.regexp_replace("m", "[A-Za-z0-9]", ""))
+    m, n = F.col("form"), F.length(_digits(F.col("form")))
+    seps = F.length(F.regexp_replace(F.regexp_replace(m, r"^\+", ""), "[A-Za-z0-9]", ""))
     marks = F.lit(0)
     for bit, mark in ((1, " "), (2, "-"), (4, "."), (8, "(")):
         marks = marks + F.when(m.contains(mark), bit).otherwise(0)
@@ -141,14 +178,16 @@ def _features() -> dict[str, Column]:
         "f_kind": F.when(F.col("kind") == "email", 0).when(F.col("kind") == "ip", 1)
         .when(F.col("kind") == "card", 2).otherwise(3),
         "f_digits": digits.otherwise(len(bounds) + 1), "f_seps": F.least(seps, F.lit(4)), "f_marks": marks,
-        "f_left": _char_class(F.right("before", F.lit(1))), "f_right": _char_class(F.col("after")),
+        "f_left": F.when(_goes_on(True), 2).otherwise(_char_class(F.right("before", F.lit(1)))),
+        "f_right": F.when(_goes_on(False), 2).otherwise(_char_class(F.col("after"))),
         "f_words": words,
     }
 
 
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per candidate (one with null ``kind`` for a text without): row, doc_id,
-    text_hash, kind, base, start, end, features, positive. Written to the shared folder."""
+    text_hash, kind, base, start, end, features, positive, free (may be added). Written to
+    the shared folder."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     every_gen = range(len(GENERATORS))
@@ -162,17 +201,27 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     one = every.select("row", "doc_id", "text_hash", F.inline_outer("found"))
     here = W.partitionBy("row", "gen").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
     size = F.length("m")
-    placed = (one.withColumn("end", F.sum(F.col("gap") + size).over(here))
+    placed = (one.repartition("row")  # serves all three windows
+              .withColumn("end", F.sum(F.col("gap") + size).over(here))
               .withColumn("start", F.col("end") - size)
+              .withColumn("form", F.when(F.col("base"), F.col("m")).otherwise(_base_form(F.col("kind"), F.col("m"))))
+              .withColumn("strong", ~F.col("base") & _strong(F.col("kind"), F.col("m"), F.col("form")))
               .withColumn("base", F.col("base") & _passes(F.col("kind"), F.col("m"))))
-    kind = W.partitionBy("row", "kind").orderBy("start", F.col("base").desc(), "end", "gen")
+    order = ("start", F.col("base").desc(), "end", "gen")
+    kind, any_kind = W.partitionBy("row", "kind").orderBy(*order), W.partitionBy("row").orderBy(*order)
     past, rest = (kind.rowsBetween(W.unboundedPreceding, W.currentRow),
                   kind.rowsBetween(W.currentRow, W.unboundedFollowing))
-    touches = ((F.max(F.when(F.col("base"), F.col("end"))).over(past) > F.col("start"))
+    base_end = F.when(F.col("base"), F.col("end"))
+    touches = ((F.max(base_end).over(past) > F.col("start"))
                | (F.min(F.when(F.col("base"), F.col("start"))).over(rest) < F.col("end")))
-    out = placed.select("row", "doc_id", "text_hash", "kind", F.coalesce("base", F.lit(False)).alias("base"),
-                        "start", "end", *[c.alias(n) for n, c in _features().items()],
-                        (F.col("base") | F.coalesce(touches, F.lit(False))).alias("positive"))
+    inside = F.max(base_end).over(any_kind.rowsBetween(W.unboundedPreceding, W.currentRow)) >= F.col("end")
+    twin = (F.lag("start").over(kind) == F.col("start")) & (F.lag("end").over(kind) == F.col("end"))
+    flags = placed.select("*", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in
+                                 (("touches", touches), ("inside", inside), ("twin", twin))])
+    out = flags.select("row", "doc_id", "text_hash", "kind", F.coalesce("base", F.lit(False)).alias("base"),
+                       "start", "end", *[c.alias(n) for n, c in _features().items()],
+                       (F.col("base") | F.col("touches") | (F.col("strong") & ~F.col("inside"))).alias("positive"),
+                       (~F.col("touches") & ~F.col("inside") & ~F.col("twin")).alias("free"))
     return materialise(out, "pii-candidates")
 
 
@@ -266,7 +315,7 @@ def scored(found: DataFrame) -> DataFrame:
     odds_df = found.withColumn("odds", odds)
     return (odds_df.withColumn("score", 1 / (1 + F.exp(-F.col("odds"))))
             .withColumn("chosen", F.col("kind").isNotNull() & (
-                F.col("base") | (~F.col("positive") & (F.col("odds") >= least)))))
+                F.col("base") | (F.col("free") & (F.col("odds") >= least)))))
 
 
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

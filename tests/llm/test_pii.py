@@ -54,6 +54,25 @@ def test_boosting_adds_what_looks_like_base_spans(spark):
     assert all(got[i]["n_card"] == 1 and got[i]["n_added"] == 0 for i in range(120))
 
 
+def test_loose_candidates_are_added_on_their_own_evidence(spark):
+    cards = ["4111.1111.1111.1111", "5500/0000/0000/0004"]
+    rows = [(i, f"write to jane{i} (at) example (dot) org today") for i in range(100)]
+    rows += [(100 + i, f"pay with {cards[i % 2]} today") for i in range(100)]
+    rows += [(200 + i, f"reach us (603) 555-{8000 + i} today") for i in range(100)]
+    rows += [(300 + i, f"reach us 603-555-{8000 + i}.") for i in range(100)]
+    rows += [(400 + i, f"a@b.co, +1 (603) 555-{8000 + i}, 4111 1111 1111 1111 or 152.143.123.131 here") for i in range(100)]
+    rows += [(600 + i, f"in {1900 + i} {1901 + i} {1902 + i} we meet (at) noon. Then 300.143.123.13{i % 10} left") for i in range(100)]
+    got = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(100):
+        assert got[i]["spans"] == f"email:9:{36 + len(str(i))}" and got[i]["n_added"] == 1
+        assert got[100 + i]["spans"] == "card:9:28"
+        assert got[200 + i]["spans"] == "phone:9:23" and got[300 + i]["spans"] == "phone:9:21"
+        assert got[400 + i]["n_added"] == 0 and got[400 + i]["n_card"] == got[400 + i]["n_ip"] == 1
+        assert "phone" not in got[600 + i]["spans"] and "email" not in got[600 + i]["spans"]
+    text = pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id in (0, 100, 200)").collect()
+    assert {r["text"] for r in text} == {"write to [EMAIL] today", "pay with [CARD] today", "reach us [PHONE] today"}
+
+
 def test_redaction(spark, odd_docs):
     rows = [(1, "mail a@b.co or 1.2.3.4!", "x"), (2, "nothing here", "y"), (2, "+1 (555) 010-2030", "z"), (None, None, None), (None, "é a@b.co", None)]
     got = pii.redact(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
