@@ -49,3 +49,18 @@ def test_token_efficiency_finds_random_strings_and_spares_known_ones(spark):
     assert got[0]["spans"] == "random:4:28" and got[0]["found"][0]["text"] == KEY
     assert got[1]["n_random"] == 0 and got[1]["n_assign"] == 1
     assert all(got[i + 2]["n_random"] == 0 for i in range(len(spared)))
+
+
+def test_ordinary_text_beside_a_random_string_does_not_hide_it(spark):
+    letters, short = "qXvZkRwTjLpGbHnYcMdF", "kX9vQ2mZr7TbL0"
+    found = [f"SESSION_SIGNING_VALUE={KEY}", f"example/download/reports/{KEY}", f"md5_backup/archive/{KEY}", f"etag=abc/{KEY}",
+             f"internationalizationdownloadreports{KEY}", letters, short, f"123e4567-e89b-12d3-a456-426614174000/{KEY}"]
+    spared = ["example/download/reports/2024-01-01T00-00-00/final", "d41d8cd98f00b204e9800998ecf8427e/readme_first_of_all",
+              "getElementsByClassName", "integrity=sha384-oqVuAfXRKap7fdgcCY5uykM6+R9GqQ8K/uxy9rx7HNQlGYl1kPzQho1wx4JwY8wC",
+              "example/123e4567-e89b-12d3-a456-426614174000/report", "internationalization", f"my_token={KEY}"]
+    rows = [(i, f"see {t} there") for i, t in enumerate(found + spared)]
+    got = {r["doc_id"]: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string"))}
+    for i, t in enumerate(found):
+        hits = [f["text"] for f in got[i]["found"] if f["kind"] == "random"]
+        assert len(hits) == 1 and hits[0].endswith(t[-14:]), t
+    assert not [t for i, t in enumerate(spared) if got[len(found) + i]["n_random"]]
