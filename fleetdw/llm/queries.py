@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetdw.llm import ann, bpe, embed_dedup, mixing, pii, secret_scan, sharding, simhash, token_files, toxicity
+from fleetdw.llm import (ann, bpe, embed_dedup, line_dedup, merkle, mixing, periodic, pii, secret_scan, sharding, simhash,
+                         token_files, toxicity)
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -63,7 +64,21 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op11_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common(_read(spark, sf_dir, "documents"), least=10, shortest=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.scan(_read(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_toxicity_bigru, op2_token_files_repair, op3_sharding_extendible, op4_embedding_near_dedup,
                                     op5_secret_scan, op6_mixing_flow, op7_nearest_neighbours,
-                                    op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode)}
+                                    op8_pii_boosting, op9_simhash_near_dedup, op10_bpe_encode_decode, op11_line_dedup_runs,
+                                    op12_merkle_witnesses, op13_periodic_runs)}
