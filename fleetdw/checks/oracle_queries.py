@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fleetdw.checks.oracle import AS_OF, AS_OF_TS, CTE, build, kdate, pct
+from fleetdw.checks.oracle_declared import FINAL as DECLARED
 
 V = "VARCHAR"
 FINAL: dict[str, str] = {}
@@ -26,27 +27,32 @@ FINAL["markov_columns"] = "SELECT DISTINCT nome_patio FROM dim_patio_o"
 for _p in "abcd":
     for _e in ("patio", "cliente", "veiculo", "reserva", "locacao", "movimentacao"):
         FINAL[f"ext_{_p}_{_e}"] = f"SELECT * FROM stg_{_p}_{_e}"
-# staging: every row twice, the second copy loses; keys may repeat within a source too
+# staging: keys of even length are there already, in their last version; every row comes twice,
+# the first version of a new key is added; keys may repeat within a source too
 _STAGED = {
     "patio": ["nome_patio", "cidade", "localizacao"],
     "cliente": ["tipo_cliente", "nome_cliente", "cidade_origem", "estado_origem"],
     "veiculo": ["placa", "chassi", "marca", "modelo", "ano", "cor", "ar_condicionado", "nome_grupo", "mecanizacao"],
-    "reserva": ["id_cliente_origem", "id_grupo_origem", "id_patio_retirada_origem", "dt_reserva", "dt_retirada_prevista",
-                "dt_devolucao_prevista", "qt_veiculos_solicitados", "status"],
+    "reserva": ["id_cliente_origem", "id_grupo_origem", "id_patio_retirada_origem", "id_patio_devolucao_origem", "dt_reserva",
+                "dt_retirada_prevista", "dt_limite_retirada", "dt_devolucao_prevista", "qt_veiculos_solicitados", "status"],
     "locacao": ["id_reserva_origem", "id_cliente_origem", "id_veiculo_origem", "id_patio_retirada_origem",
-                "id_patio_devolucao_origem", "dt_retirada", "dt_devolucao_real"],
+                "id_patio_devolucao_origem", "dt_retirada", "dt_devolucao_real", "valor_diaria", "valor_total",
+                "valor_previsto", "valor_final"],
     "movimentacao": ["id_veiculo_origem", "id_patio_origem_origem", "id_patio_destino_origem", "dt_saida_origem",
-                     "dt_chegada_destino"],
+                     "dt_chegada_destino", "motivo"],
 }
 for _e, _cols in _STAGED.items():
     _key = f"id_{_e}_origem"
     _all = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ["id_sistema_origem", _key, *_cols])
-    _rows = " UNION ALL ".join(f"SELECT {_all} FROM stg_{p}_{_e}" for p in "abcd")
-    _tie = ", ".join(f"{c} ASC NULLS LAST" for c in _cols)
+    _rows = " UNION ALL BY NAME ".join(f"SELECT * FROM stg_{p}_{_e}" for p in "abcd")
+    _out = ", ".join(["id_sistema_origem", _key, *_cols])
+    _up = ", ".join(f"{c} ASC NULLS LAST" for c in sorted(_cols))
+    _down = ", ".join(f"{c} DESC NULLS FIRST" for c in sorted(_cols))
     FINAL[f"stg_{_e}"] = (
-        f"SELECT id_sistema_origem, {_key}, {', '.join(_cols)}, 1 AS lote FROM (SELECT *, "
-        f"CASE WHEN {_key} IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY id_sistema_origem, {_key} ORDER BY {_tie}) END AS k "
-        f"FROM ({_rows})) WHERE k = 1")
+        f"SELECT {_out}, CASE WHEN there THEN 0 ELSE 1 END AS lote FROM (SELECT *, length({_key}) % 2 = 0 AS there, "
+        f"row_number() OVER (PARTITION BY id_sistema_origem, {_key} ORDER BY {_up}) AS lowest, "
+        f"row_number() OVER (PARTITION BY id_sistema_origem, {_key} ORDER BY {_down}) AS highest "
+        f"FROM (SELECT {_all} FROM ({_rows}))) WHERE CASE WHEN there THEN highest = 1 ELSE lowest = 1 END")
 for _t in ("patio", "cliente", "grupo", "veiculo", "reserva", "locacao", "movimentacao"):
     FINAL[f"std_{_t}"] = f"SELECT * FROM std_{_t}"
 
@@ -477,5 +483,5 @@ def oracle_sql(sf_dir: str = SF_DIR) -> dict[str, str]:
     import pyarrow.parquet as pq
 
     yards = sorted(set(pq.read_table(f"{sf_dir}/supplier.parquet", columns=["s_name"])["s_name"].to_pylist()))
-    finals = FINAL | {"markov_matrix": _matrix(yards)}
+    finals = FINAL | DECLARED | {"markov_matrix": _matrix(yards)}
     return {name: build(sql) for name, sql in finals.items()}

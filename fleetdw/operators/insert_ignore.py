@@ -5,8 +5,10 @@ when its key already exists in the target *or* was inserted earlier by the same
 statement; rows with a NULL key never conflict. Parquet has no unique index, so
 the operator is written as two DataFrame steps:
 
-1. in-batch dedup: one row per key, chosen by a deterministic tie-break. This is
-   an aggregation (``min_by`` over a struct), not a window, so map-side partial
+1. in-batch dedup: one row per key, chosen by a deterministic tie-break. The keys that
+   repeat are found first, by a hash aggregation of the key columns alone; all other
+   rows pass through untouched, neither sorted nor shuffled. Rows of repeated keys are
+   reduced by ``min_by`` over a struct, not by a window, so map-side partial
    aggregation collapses a hot key before the shuffle;
 2. anti join against the target's keys.
 """
@@ -16,11 +18,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fleetdw.session import fresh_scratch
+
 _ROW = "__row"
-_BREAK = "__null_key_row"
+_BREAK = "__rows"
 
 
 def _order_struct(tie_break: Sequence[str]) -> Column:
@@ -36,19 +40,37 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """The non-NULL keys that more than one row has, written, and how many they are. Keys are
+    counted on the map side first, so a hot key costs one row a task."""
+    spark = rows.sparkSession
+    found = (rows.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_BREAK))
+             .where(F.col(_BREAK) > 1).select(*keys))
+    path = fresh_scratch(spark, "repeated-keys")
+    seen = Observation()
+    found.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path), int(seen.get["n"])
+
+
 def dedup_batch(batch: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = (),
-                keep: str = "first") -> DataFrame:
+                keep: str = "first", probe: DataFrame | None = None,
+                max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row per non-NULL key (first or last by ``tie_break``); NULL-key rows kept.
 
-    A single aggregation: rows with a NULL key get a per-row breaker as an extra
-    grouping value, so each forms its own group and passes through unchanged.
+    ``probe``: a cheaper frame that has at least one row for each row of ``batch`` with the same
+    key (e.g. the table the batch was derived from), to find repeated keys in.
     """
+    repeated, n = repeated_keys(batch if probe is None else probe, keys)
+    if not n:
+        return batch
+    if n <= max_broadcast_rows:
+        repeated = F.broadcast(repeated)
     cols = batch.columns
-    breaker = F.when(_any_null(keys), F.monotonically_increasing_id()).alias(_BREAK)
     picker = F.min_by if keep == "first" else F.max_by
-    return (batch.groupBy(*[F.col(k) for k in keys], breaker)
-            .agg(picker(F.struct(*[F.col(c) for c in cols]), _order_struct(tie_break)).alias(_ROW))
-            .select(f"{_ROW}.*"))
+    several = (batch.join(repeated, list(keys), "left_semi").groupBy(*keys)
+               .agg(picker(F.struct(*[F.col(c) for c in cols]), _order_struct(tie_break)).alias(_ROW))
+               .select(f"{_ROW}.*"))
+    return batch.join(repeated, list(keys), "left_anti").select(*cols).unionByName(several)
 
 
 def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
@@ -63,9 +85,10 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
     and probed against the target on the map side, so a daily delta is checked
     against a large table without shuffling the table's keys. ``probe`` is a cheap
     frame holding the batch's key columns (e.g. the staging table the batch was
-    derived from), so the batch's own plan is not evaluated twice.
+    derived from), so the batch's own plan is not evaluated twice; repeated keys are
+    looked for in it, too.
     """
-    deduped = dedup_batch(batch, keys, tie_break)
+    deduped = dedup_batch(batch, keys, tie_break, probe=probe)
     if target is None:
         return deduped
     existing = target.select(*keys).where(~_any_null(keys))

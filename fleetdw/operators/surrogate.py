@@ -2,14 +2,15 @@
 
 Dense mode (dimensions): ``max(existing) + rank in natural-key order``.
 
-1. range-partition the rows on the order keys and checkpoint them, so the
-   sampled range bounds, and with them each row's partition, are fixed even if
-   an executor is lost and a task re-runs;
-2. sort within each partition and number rows locally with
-   ``monotonically_increasing_id`` (partition index in the upper bits, row
-   position in the lower bits) - no shuffle;
-3. only one count per partition reaches the driver; the running offsets go
-   back as a broadcast frame whose size is the partition count.
+1. range-partition the rows on the order keys, sort within each partition and number
+   rows locally with ``monotonically_increasing_id`` (partition index in the upper
+   bits, row position in the lower bits);
+2. write them once, to the shared folder, with partition and position: the sampled
+   range bounds, and with them each row's place, are fixed from then on, even if an
+   executor is lost;
+3. read back one column, the partition, for a count per partition - all that reaches
+   the driver; the running offsets go back as a broadcast frame whose size is the
+   partition count.
 
 Unique mode (facts, never shown by any report): ``start + monotonically_
 increasing_id()`` on the written rows - unique, gaps allowed, like a SERIAL.
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetdw.session import shared_dir
+from fleetdw.session import fresh_scratch
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -32,14 +33,15 @@ def assign_surrogate_key(df: DataFrame, order_cols: Sequence[str], sk_col: str,
                          start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Add ``sk_col`` = start, start+1, ... following ``order_cols`` ascending."""
     spark = df.sparkSession
-    shared_dir(spark)  # ensures a reliable checkpoint folder is registered
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in order_cols])
               .sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order_cols])
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_LOCAL, F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-              .checkpoint(eager=True))
+                          - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    path = fresh_scratch(spark, f"numbered-{sk_col}")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[_PID]):

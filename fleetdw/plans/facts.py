@@ -40,6 +40,11 @@ def resolved_rate() -> Column:
     return F.coalesce(_c("valor_diaria"), _c("valor_total") / F.nullif(_c("dias_locacao"), F.lit(0)))
 
 
+def _tie(fact: str, first: str) -> list[str]:
+    """Order among rows of one key: a column, then all others, so that a retried task keeps the same row."""
+    return [first, *(c for c in FACT_COLUMNS[fact] if c != first)]
+
+
 class Dims:
     """Written dimensions plus their row counts (for checked broadcasts)."""
 
@@ -77,7 +82,7 @@ def fato_locacao_rows(std_loc: DataFrame, dims: Dims, existing: DataFrame | None
         _c("dias_locacao"), _c("km_rodados"),
         F.coalesce(_c("valor_total"), _c("valor_diaria") * _c("dias_locacao")).cast(MONEY).alias("valor_total"),
         _c("status"), _c("id_reserva_origem"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_locacao"], ["sk_tempo_retirada"], batch_rows,
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_locacao"], _tie("fato_locacao", "sk_tempo_retirada"), batch_rows,
                          probe=std_loc)
 
 
@@ -99,7 +104,7 @@ def fato_reserva_rows(std_res: DataFrame, dims: Dims, existing: DataFrame | None
         _c("antecedencia_dias"),
         F.coalesce(_c("qt_veiculos_solicitados"), F.lit(1)).alias("qt_veiculos_solicitados"),
         _c("status"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_reserva"], ["sk_tempo_reserva"], batch_rows,
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_reserva"], _tie("fato_reserva", "sk_tempo_reserva"), batch_rows,
                          probe=std_res)
 
 
@@ -115,10 +120,18 @@ def fato_movimentacao_rows(std_mov: DataFrame, dims: Dims, existing: DataFrame |
         _c("id_movimentacao_origem"), _c("sk_veiculo"), _c("sk_patio_origem"), _c("sk_patio_destino"),
         date_key(_c("dt_saida_origem")).alias("sk_tempo"), _c("motivo"),
         F.lit(1).alias("quantidade_veiculos"), _c(SYS))
-    return insert_ignore(existing, out, NATURAL_KEYS["fato_movimentacao_patio"], ["sk_tempo"], batch_rows,
+    return insert_ignore(existing, out, NATURAL_KEYS["fato_movimentacao_patio"], _tie("fato_movimentacao_patio", "sk_tempo"), batch_rows,
                          probe=std_mov)
 
 
+#: fact -> (standard table, rows of a batch of it)
+BUILDERS = {
+    "fato_locacao": ("std_locacao", fato_locacao_rows),
+    "fato_reserva": ("std_reserva", fato_reserva_rows),
+    "fato_movimentacao_patio": ("std_movimentacao", fato_movimentacao_rows),
+}
+
+
 def discards(std: dict[str, DataFrame], dims: Dims) -> DataFrame:  # Q9
     """Every std row the fact loads drop, by first failing rule: (fato, motivo, sys, n)."""
     loc = _rental_lookups(std["std_locacao"], dims, "left")

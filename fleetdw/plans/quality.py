@@ -2,8 +2,9 @@
 star store, re-aimed as validation jobs that return ``(rule, n_violations)``.
 
 All row-level rules on one table fold into a single aggregation pass
-(``sum(when(bad, 1))``); uniqueness is ``groupBy(key).count() > 1``; references
-are ``left_anti`` joins (NULL references allowed).
+(``sum(when(bad, 1))``); the keys of a table are counted in one pass as (rule, key)
+pairs; references are ``left_anti`` joins (NULL references allowed). Constraints on columns
+that only the sources' own schemas declare are in ``plans/declared.py``.
 """
 
 from __future__ import annotations
@@ -146,6 +147,33 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
         F.lit(rule).alias("rule"), F.coalesce(_c("v"), F.lit(0)).cast("long").alias("n_violations"))
 
 
+def repeated_values(tables: Sequence[tuple[DataFrame, dict[str, Sequence[str]]]]) -> DataFrame:
+    """Key values that more than one row has, per rule: (rule, n_violations). ``tables``: frames
+    with their rules, each the columns of a key (NULL keys ignored).
+
+    A row gives one (rule, key) pair per rule, so a table is read once for all its keys;
+    pairs are counted before anything moves, so a hot key is one row a task."""
+    names, parts = [], []
+    for df, rules in tables:
+        pairs = []
+        for name, keys in rules.items():
+            key = [_c(k).cast("string") for k in keys]
+            whole = reduce(lambda a, b: a & b, [k.isNotNull() for k in key])
+            pairs.append(F.when(whole, F.struct(F.lit(len(names)).alias("rule_no"), F.array(*key).alias("k"))))
+            names.append(name)
+        parts.append(df.select(F.explode(F.array(*pairs)).alias("p")).where(_c("p").isNotNull()).select("p.*"))
+    counted = _union(parts).groupBy("rule_no", "k").agg(F.count(F.lit(1)).alias("n"))
+    bad = counted.where(_c("n") > 1).groupBy("rule_no").agg(F.count(F.lit(1)).alias("n"))
+    return _by_rule(tables[0][0], names, bad)
+
+
+def _by_rule(some: DataFrame, names: Sequence[str], bad: DataFrame) -> DataFrame:
+    """(rule, n_violations) of all rules from (rule_no, n) of those that are violated."""
+    rows = F.array(*[F.struct(F.lit(i).alias("rule_no"), F.lit(name).alias("rule")) for i, name in enumerate(names)])
+    return (some.sparkSession.range(1).select(F.inline(rows)).join(F.broadcast(bad), "rule_no", "left")  # a row per rule
+            .select("rule", F.coalesce("n", F.lit(0)).cast("long").alias("n_violations")))
+
+
 # natural keys of the loaded tables
 DW_UNIQUE = {
     "dim_patio": [SYS, "id_patio_origem"], "dim_cliente": [SYS, "id_cliente_origem"],
@@ -157,15 +185,18 @@ DW_UNIQUE = {
 
 def dq_unique(std: dict[str, DataFrame], dw: dict[str, DataFrame],
               sources: dict[str, dict[str, DataFrame]]) -> DataFrame:  # Q3
-    parts = [duplicated_keys(std[name.split(".")[0]], keys, name if "." in name else f"{name}.pk")
-             for name, keys in UNIQUE.items()]
-    parts.append(duplicated_keys(dw["dim_tempo"], ["dt_ref"], "dim_tempo.dt_ref"))
-    parts += [duplicated_keys(dw[name], keys, f"{name}.natural_key") for name, keys in DW_UNIQUE.items()]
+    tables: dict[str, tuple[DataFrame, dict[str, Sequence[str]]]] = {}
+    for name, keys in UNIQUE.items():
+        table, dot, _ = name.partition(".")
+        tables.setdefault(table, (std[table], {}))[1][name if dot else f"{name}.pk"] = keys
+    tables["dim_tempo"] = (dw["dim_tempo"], {"dim_tempo.dt_ref": ["dt_ref"]})
+    for name, keys in DW_UNIQUE.items():
+        tables[name] = (dw[name], {f"{name}.natural_key": keys})
     # chassis of every source that declares it; one rental per reservation
-    parts += [duplicated_keys(sources[p]["veiculo"], ["chassi"], f"{s}.veiculo.chassi")
-              for p, s in (("A", SYS_A), ("B", SYS_B), ("C", SYS_C), ("D", SYS_D))]
-    parts.append(duplicated_keys(sources["C"]["locacao"], ["reserva_id"], f"{SYS_C}.locacao.reserva_id"))
-    return _union(parts)
+    for p, sys in (("A", SYS_A), ("B", SYS_B), ("C", SYS_C), ("D", SYS_D)):
+        tables[f"{sys}.veiculo"] = (sources[p]["veiculo"], {f"{sys}.veiculo.chassi": ["chassi"]})
+    tables["rental"] = (sources["C"]["locacao"], {f"{SYS_C}.locacao.reserva_id": ["reserva_id"]})
+    return repeated_values(list(tables.values()))
 
 
 def dq_one_open(std: dict[str, DataFrame], source_c: dict[str, DataFrame]) -> DataFrame:  # Q4
@@ -213,7 +244,7 @@ DW_FOREIGN_KEYS = [
 ]
 
 
-def _orphans(tables: dict[str, DataFrame], rules: Sequence[tuple[str, str, str, str]], scope: Sequence[str]) -> DataFrame:
+def orphans(tables: dict[str, DataFrame], rules: Sequence[tuple[str, str, str, str]], scope: Sequence[str]) -> DataFrame:
     """Violations of all references: one pass over each child and one over each parent.
 
     A child row gives one (rule, key) per non-null reference, counted per key before
@@ -230,15 +261,11 @@ def _orphans(tables: dict[str, DataFrame], rules: Sequence[tuple[str, str, str,
     by = ["rule_no", *scope, "k"]
     per_key = _union(kids).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     bad = per_key.join(_union(parents).distinct(), by, "left_anti").groupBy("rule_no").agg(F.sum("n").alias("n"))
-    names = F.array(*[F.struct(F.lit(i).alias("rule_no"), F.lit(f"{ch}.{col}->{pa}").alias("rule"))
-                      for i, (ch, col, pa, _) in enumerate(rules)])
-    one = tables[rules[0][0]].sparkSession.range(1)
-    return (one.select(F.inline(names)).join(bad, "rule_no", "left")
-            .select("rule", F.coalesce("n", F.lit(0)).cast("long").alias("n_violations")))
+    return _by_rule(tables[rules[0][0]], [f"{ch}.{col}->{pa}" for ch, col, pa, _ in rules], bad)
 
 
 def dq_fk(std: dict[str, DataFrame], dw: dict[str, DataFrame]) -> DataFrame:  # Q5
-    return _orphans(std, FOREIGN_KEYS, [SYS]).unionByName(_orphans(dw, DW_FOREIGN_KEYS, []))
+    return orphans(std, FOREIGN_KEYS, [SYS]).unionByName(orphans(dw, DW_FOREIGN_KEYS, []))
 
 
 def dq_order(std: dict[str, DataFrame], stg_a_reserva: DataFrame) -> DataFrame:  # Q6

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetdw.functions.numeric import avg_round
-from fleetdw.operators.lookup import checked_broadcast, left_join_known
+from fleetdw.operators.lookup import checked_broadcast
+from fleetdw.plans.fact_store import MONTH, open_rows, with_requested
 from fleetdw.schemas import AS_OF, NOT_INFORMED, SENTINEL_KEY
 
 # Status spellings the reference treats as cancelled (R3) and as
@@ -46,7 +47,7 @@ def fleet_by_group(dw: dict[str, DataFrame], counts: dict[str, int] | None = Non
 def open_rentals(dw: dict[str, DataFrame], counts: dict[str, int] | None = None,
                  as_of: _dt.date = AS_OF) -> DataFrame:  # R2
     today = F.lit(as_of).cast("date")
-    f = dw["fato_locacao"].where(_c("sk_tempo_devolucao").isNull())
+    f = open_rows(dw["fato_locacao"])
     g = _dim(dw, counts, "dim_grupo", _c("sk_grupo"), _c("nome_grupo"), _c("mecanizacao"))
     v = _dim(dw, counts, "dim_veiculo", _c("sk_veiculo"), _c("placa"), _c("marca"), _c("modelo"))
     c = _dim(dw, counts, "dim_cliente", _c("sk_cliente"), _c("nome_cliente"))
@@ -99,7 +100,9 @@ def reservation_demand(dw: dict[str, DataFrame], counts: dict[str, int] | None =
                  _c("dt_ref").alias("dt_ret"))
     t_dev = _dim(dw, counts, "dim_tempo", _c("sk_tempo").alias("sk_tempo_devolucao_prevista"),
                  _c("dt_ref").alias("dt_dev"))
-    # the key is yyyymmdd, so the date condition holds on the fact itself and prunes its scan
+    # the key is yyyymmdd, so the date condition holds on the fact itself and prunes its partitions
+    if MONTH in fr.columns:
+        fr = fr.where(_c(MONTH) >= int(f"{as_of:%Y%m}"))
     f = fr.where(status_ok & (_c("sk_tempo_retirada_prevista") > int(f"{as_of:%Y%m%d}")))
     f = f.join(t_ret, "sk_tempo_retirada_prevista").where(_c("dt_ret") > today)
     f = f.join(t_dev, "sk_tempo_devolucao_prevista", "left")
@@ -131,14 +134,14 @@ def top_groups(dw: dict[str, DataFrame], counts: dict[str, int] | None = None,
     f = dw["fato_locacao"]
     if completed_only:
         f = f.where(_c("status").isin(*COMPLETED))
-    # D1: requested vehicles come from the rental's reservation, matched on (source, id)
-    res = dw["fato_reserva"].select("id_sistema_origem", "id_reserva_origem",
-                                    _c("qt_veiculos_solicitados").alias("qt_res"))
-    f = left_join_known(f, res, ["id_sistema_origem", "id_reserva_origem"], "id_reserva_origem")
+    # D1: requested vehicles come from the rental's reservation, matched on (source, id); the load
+    # carries them on the rental (facts that were not written by it are joined here)
+    if "qt_veiculos_reserva" not in f.columns:
+        f = with_requested(f, dw["fato_reserva"])
     # aggregate on the surrogate keys first: the customer dimension (too large to
     # broadcast at scale) then meets one row per (group, customer, source)
     pre = f.groupBy("sk_grupo", "sk_cliente", "id_sistema_origem").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("qt_res").alias("qt"), F.sum("valor_total").alias("total"),
+        F.count(F.lit(1)).alias("n"), F.sum("qt_veiculos_reserva").alias("qt"), F.sum("valor_total").alias("total"),
         F.sum("valor_diaria").alias("rate"), F.count("valor_diaria").alias("n_rate"),
         F.sum("dias_locacao").alias("days"), F.count("dias_locacao").alias("n_days"),
         F.min("dias_locacao").alias("min_d"), F.max("dias_locacao").alias("max_d"))

@@ -9,13 +9,13 @@ back, so lineage is cut and an executor loss only re-runs the current stage):
   every fact load sees stable keys.
 
 Running :func:`load` twice on the same root inserts zero rows the second time;
-``load(mode="update")`` instead refreshes rows whose key reappears, writing a
-new version folder per table and switching to it.
+``load(mode="update")`` instead refreshes rows whose key reappears: a dimension as a
+new version folder that is switched to, a fact partition by partition, only those in
+which a row is new or differs (``plans/fact_store.py``).
 """
 
 from __future__ import annotations
 
-import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from fleetdw.operators.insert_ignore import insert_ignore, upsert
 from fleetdw.operators.surrogate import assign_surrogate_key, assign_unique_key
 from fleetdw.plans import dims as D
+from fleetdw.plans import fact_store as FS
 from fleetdw.plans import facts as FX
 from fleetdw.plans.transform import TRANSFORMS
 from fleetdw.schemas import NATURAL_KEYS
@@ -86,6 +87,17 @@ class StarStore:
             self.counts[name] = _count(self.spark, self.table_path(name))
             self.inserted[name] = self.counts[name] - before
 
+    def dates_fixed(self) -> bool:
+        """Did every batch so far come through the persisted staging? It never refreshes a row, so
+        a key's date, and with it its month, is the same in all loads."""
+        fs, p = hadoop_path(self.spark, self.path("dates_vary"))
+        return not fs.exists(p)
+
+    def dates_vary(self) -> None:
+        """From now on a key may come again with another date."""
+        fs, p = hadoop_path(self.spark, self.path("dates_vary"))
+        fs.create(p, True).close()
+
     def new_version(self, name: str) -> str:
         """A folder for the next version of ``name`` (write new, then switch)."""
         return self.path("dw", f"{name}@{_number(self.table_path(name)) + 1:06d}")
@@ -184,6 +196,8 @@ def stage_sources(sources: dict[str, dict[str, DataFrame]], wh: StarStore,
     stg = extract_all(sources)
     if persist_staging_tables:
         stg = persist_staging(stg, wh)
+    else:
+        wh.dates_vary()
 
     def write(name: str) -> None:  # each thread builds only the frames its table reads
         TRANSFORMS[name](stg).write.mode("overwrite").parquet(wh.path("std", name))
@@ -244,12 +258,15 @@ def load(spark: SparkSession, wh: StarStore, mode: str = "ignore") -> StarStore:
 
     ``mode="ignore"`` is ON CONFLICT DO NOTHING (append new keys only);
     ``mode="update"`` replaces rows whose natural key reappears (a rental that was
-    open at the last load and is returned now), writing each table as a new
-    version folder and switching to it.
+    open at the last load and is returned now): dimensions as a new version folder,
+    facts in the partitions that a new or differing row touches.
     """
     if mode not in ("ignore", "update"):
         raise ValueError(mode)
     std = wh.std()
+    for name in FACT_SK:
+        if FS.finish_pending(spark, name, wh.table_path(name)):
+            wh._frames.pop(name, None)
     for name in ("dim_tempo", *DIM_ORDER, *FACT_SK):  # what is there before, for ``inserted``
         wh.counts[name] = _count(spark, wh.table_path(name)) if wh.exists("dw", name) else 0
 
@@ -270,40 +287,53 @@ def load(spark: SparkSession, wh: StarStore, mode: str = "ignore") -> StarStore:
     tasks.update({name: (lambda name=name: dim(name)) for name in DIM_ORDER})
     _in_parallel(tasks)
 
-    dims = wh.dims()
-    builders = {"fato_locacao": (FX.fato_locacao_rows, "std_locacao"),
-                "fato_reserva": (FX.fato_reserva_rows, "std_reserva"),
-                "fato_movimentacao_patio": (FX.fato_movimentacao_rows, "std_movimentacao")}
-
     def fact(name: str) -> None:
-        fn, src = builders[name]
-        sk, keys = FACT_SK[name], NATURAL_KEYS[name]
-        path = wh.table_path(name)
-        existing = wh.table(name) if wh.exists("dw", name) else None
-        start = 1
-        if existing is not None:
-            start = int(existing.agg(F.max(sk)).collect()[0][0] or 0) + 1
-        if mode == "update" and existing is not None:
-            rows = fn(std[src], dims, None)
-            full = upsert(existing.drop(sk), rows.select(*existing.drop(sk).columns), keys)
-            old = existing.select(*keys, F.col(sk).alias("__old"))
-            fresh = (F.lit(start) + F.monotonically_increasing_id())
-            out = full.join(old, keys, "left").select(
-                F.coalesce(F.col("__old"), fresh).alias(sk), *existing.drop(sk).columns)
-            path = wh.new_version(name)
-            out.write.mode("overwrite").partitionBy("id_sistema_origem").parquet(path)
-            wh.switch(name, path)
-        else:
-            # a known batch size lets the conflict check probe the fact map-side
-            batch_rows = _count(spark, wh.table_path(src)) if existing is not None else None
-            rows = assign_unique_key(fn(std[src], dims, existing, batch_rows), sk, start)
-            rows.write.mode("append").partitionBy("id_sistema_origem").parquet(path)
-        wh.written(name)
+        load_fact(wh, name, std[FX.BUILDERS[name][0]], mode)
+
+    def reservations_then_rentals() -> None:  # a rental carries its reservation's quantity
+        fact("fato_reserva")
+        fact("fato_locacao")
 
-    _in_parallel({name: (lambda name=name: fact(name)) for name in builders})
+    _in_parallel({"movements": lambda: fact("fato_movimentacao_patio"), "rentals": reservations_then_rentals})
     return wh
 
 
+def load_fact(wh: StarStore, name: str, batch: DataFrame, mode: str = "ignore", batch_rows: int | None = None) -> None:
+    """Load a batch of standard rows into a fact: insert-ignore, or refresh the partitions that a
+    new or differing row touches.
+
+    The conflict check reads the batch's months only, if a key's date cannot have changed."""
+    spark = wh.spark
+    std_name, build = FX.BUILDERS[name]
+    sk, keys, path = FACT_SK[name], NATURAL_KEYS[name], wh.table_path(name)
+    existing, start = None, 1
+    if wh.exists("dw", name):
+        existing = wh.table(name)
+        start = int(existing.agg(F.max(sk)).collect()[0][0] or 0) + 1
+        if batch_rows is None:  # a known size lets a small batch's keys probe the fact map-side
+            batch_rows = _count(spark, wh.table_path(std_name))
+
+    def complete(rows: DataFrame) -> DataFrame:
+        if name == "fato_locacao":
+            rows = FS.with_requested(rows, wh.table("fato_reserva"))
+        return FS.laid_out(name, rows)
+
+    if mode == "update" and existing is not None:
+        rows = complete(build(batch, wh.dims(), None)).select(*[c for c in existing.columns if c != sk])
+        rows.write.parquet(at := fresh_scratch(spark, f"batch-{name}"))
+        rows = spark.read.schema(rows.schema).parquet(at)
+        changes = FS.differing(name, existing, rows, keys, sk, start, batch_rows <= FS.SMALL_BATCH)
+        changes.write.parquet(at := fresh_scratch(spark, f"changes-{name}"))
+        changes = spark.read.schema(changes.schema).parquet(at)
+        FS.refresh(name, path, existing, changes, keys, lambda: FS.finish_pending(spark, name, path))
+    else:
+        if existing is not None and wh.dates_fixed():
+            existing = FS.in_months(existing, FS.hit_months(name, batch))
+        rows = assign_unique_key(complete(build(batch, wh.dims(), existing, batch_rows)), sk, start)
+        FS.write(name, rows, path)
+    wh.written(name)
+
+
 def build_store(spark: SparkSession, sf_dir: str, root: str | None = None) -> StarStore:
     wh = StarStore(spark, root or fresh_scratch(spark, "star"))
     stage_std(spark, sf_dir, wh)
@@ -318,15 +348,25 @@ def build_from_sources(spark: SparkSession, sources: dict[str, dict[str, DataFra
     return load(spark, wh)
 
 
-_CACHE: dict[tuple[int, str], StarStore] = {}
+_CACHE: dict[tuple[int, str], tuple[StarStore, tuple]] = {}
+
+
+def input_stamp(spark: SparkSession, folder: str) -> tuple:
+    """Name, length and modification time of a folder's Parquet files (a few listing calls)."""
+    out = []
+    for pattern in ("*.parquet", "*.parquet/*"):
+        fs, p = hadoop_path(spark, f"{folder.rstrip('/')}/{pattern}")
+        out += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.globStatus(p) or []]
+    return tuple(out)
 
 
 def store_for(spark: SparkSession, sf_dir: str) -> StarStore:
-    """Build once per (session, input folder); reports then read the written tables."""
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
-    wh = _CACHE.get(key)
+    """Build once per (session, input folder) as long as the folder's files stay the same;
+    reports then read the written tables."""
+    key, stamp = (id(spark._jsparkSession), sf_dir.rstrip("/")), input_stamp(spark, sf_dir)
+    wh, seen = _CACHE.get(key, (None, None))
     # ids can be reused after a session is stopped: only trust a build of this very session
-    if wh is None or wh.spark is not spark or not wh.exists("dw", "fato_locacao"):
+    if wh is None or seen != stamp or wh.spark is not spark or not wh.exists("dw", "fato_locacao"):
         wh = build_store(spark, sf_dir)
-        _CACHE[key] = wh
+        _CACHE[key] = wh, stamp
     return wh

@@ -8,7 +8,6 @@ schema, reports read it.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from fleetdw.operators.insert_ignore import dedup_batch, insert_ignore, skipped_by_reason, upsert
 from fleetdw.operators.lookup import lookup
 from fleetdw.operators.surrogate import assign_surrogate_key
+from fleetdw.plans import declared as C
 from fleetdw.plans import dims as D
 from fleetdw.plans import markov as M
 from fleetdw.plans import quality as Q
@@ -25,22 +25,24 @@ from fleetdw.plans import reports as R
 from fleetdw.plans import source_views as V
 from fleetdw.plans.facts import discards
 from fleetdw.plans.transform import TRANSFORMS
-from fleetdw.plans.star import DIM_ORDER, STAGING_KEYS, store_for
+from fleetdw.plans.star import DIM_ORDER, STAGING_KEYS, input_stamp, store_for
 from fleetdw.sources.adapters import Shapes
+from fleetdw.sources.declared_shapes import extended
 from fleetdw.sources.extract import ENTITIES, EXTRACTS, a_reserva
 from fleetdw.sources.tpch import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_SHAPES: dict[tuple[int, str], Shapes] = {}
+_SHAPES: dict[tuple[int, str], tuple[Shapes, tuple]] = {}
 
 
 def _shapes(spark, sf_dir) -> Shapes:
-    """Source shapes per (session, input folder): the supplier count is taken once."""
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
-    sh = _SHAPES.get(key)
-    if sh is None or sh.spark is not spark:
-        sh = _SHAPES[key] = Shapes(spark, sf_dir)
+    """Source shapes per (session, input folder) as it is: the supplier count is taken once."""
+    key, stamp = (id(spark._jsparkSession), sf_dir.rstrip("/")), input_stamp(spark, sf_dir)
+    sh, seen = _SHAPES.get(key, (None, None))
+    if sh is None or seen != stamp or sh.spark is not spark:
+        sh = Shapes(spark, sf_dir)
+        _SHAPES[key] = sh, stamp
     return sh
 
 
@@ -148,18 +150,20 @@ def _fact_query(name: str) -> Query:
 
 
 def _staging_query(entity: str) -> Query:
-    """Insert-ignore of an entity's extracts on the staging key, from a batch that holds every
-    row twice: the second time with a changed tag, which loses the tie-break."""
+    """An entity's staging table after a batch of all four extracts, all their columns: keys of even
+    length are staged already (``lote`` 0, the last version of each) and stay as they are;
+    of the batch, which holds every row twice, the first version of each new key is added."""
     def q(spark, sf_dir):
         src = _shapes(spark, sf_dir).all_sources()
-        frames = [EXTRACTS[p][entity](src[p]) for p in "ABCD"]
-        both = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
-        rows = reduce(lambda a, b: a.unionByName(b), [f.select(*[F.col(c).cast("string").alias(c) for c in both])
-                                                      for f in frames])
-        rows = rows.withColumn("lote", F.lit(1)).unionByName(rows.withColumn("lote", F.lit(2)))
         key = STAGING_KEYS[entity]
-        tie = ["lote", *(c for c in both if c not in (key, "id_sistema_origem"))]
-        return insert_ignore(None, rows, ["id_sistema_origem", key], tie)
+        frames = [EXTRACTS[p][entity](src[p]) for p in "ABCD"]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                      [f.select(*[F.col(c).cast("string").alias(c) for c in f.columns]) for f in frames])
+        tie = sorted(c for c in rows.columns if c not in (key, "id_sistema_origem"))
+        staged = dedup_batch(rows.where(F.length(key) % 2 == 0), ["id_sistema_origem", key], tie, keep="last", probe=rows)
+        staged = staged.withColumn("lote", F.lit(0))
+        batch = rows.withColumn("lote", F.lit(1)).unionByName(rows.withColumn("lote", F.lit(2)))
+        return staged.unionByName(insert_ignore(staged, batch, ["id_sistema_origem", key], ["lote", *tie]))
     q.__name__ = f"stg_{entity}"
     return q
 
@@ -277,6 +281,13 @@ def dq_width(spark, sf_dir):
     return Q.dq_width(store_for(spark, sf_dir).std())
 
 
+def _declared_query(fn) -> Query:
+    def q(spark, sf_dir):
+        return fn(extended(_shapes(spark, sf_dir).all_sources()))
+    q.__name__ = fn.__name__
+    return q
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "markov_long": markov_long, "markov_counts": markov_counts,
@@ -305,4 +316,5 @@ def registry() -> dict[str, Query]:
     q.update(dq_not_null=dq_not_null, dq_domain=dq_domain, dq_unique=dq_unique, dq_one_open=dq_one_open,
              dq_fk=dq_fk, dq_order=dq_order, dq_xor=dq_xor, dq_time=dq_time, dq_discards=dq_discards,
              dq_width=dq_width)
+    q.update({fn.__name__: _declared_query(fn) for fn in (C.dq_source_checks, C.dq_source_unique, C.dq_source_fk)})
     return q

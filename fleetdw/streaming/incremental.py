@@ -10,32 +10,18 @@ natural key, a micro-batch replayed after a failure inserts nothing twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetdw.operators.surrogate import assign_unique_key
-from fleetdw.plans import facts as FX
-from fleetdw.plans.star import FACT_SK, StarStore
-
-FACT_SOURCES = {
-    "fato_locacao": ("std_locacao", FX.fato_locacao_rows),
-    "fato_reserva": ("std_reserva", FX.fato_reserva_rows),
-    "fato_movimentacao_patio": ("std_movimentacao", FX.fato_movimentacao_rows),
-}
+from fleetdw.plans.facts import BUILDERS
+from fleetdw.plans.star import StarStore, load_fact
 
 
 def load_batch(wh: StarStore, fact: str, batch: DataFrame) -> None:
-    """Insert-ignore one batch of standard rows into ``fact``."""
-    _, build = FACT_SOURCES[fact]
-    existing = wh.table(fact) if wh.exists("dw", fact) else None
-    start = 1
-    if existing is not None:
-        start = int(existing.agg(F.max(FACT_SK[fact])).collect()[0][0] or 0) + 1
-    # a micro-batch is small: its size lets the conflict check probe the fact map-side
-    batch_rows = int(batch.count()) if existing is not None else None
-    rows = assign_unique_key(build(batch, wh.dims(), existing, batch_rows), FACT_SK[fact], start)
-    rows.write.mode("append").partitionBy("id_sistema_origem").parquet(wh.table_path(fact))
-    wh.written(fact)
+    """Insert-ignore one batch of standard rows into ``fact``. Files may bring a key again with another
+    date, so from then on conflicts are looked for in all months."""
+    if wh.dates_fixed():
+        wh.dates_vary()
+    load_fact(wh, fact, batch, batch_rows=int(batch.count()))  # small: its keys probe the fact map-side
 
 
 def start_fact_stream(wh: StarStore, fact: str, landing_dir: str, checkpoint_dir: str,
@@ -45,7 +31,7 @@ def start_fact_stream(wh: StarStore, fact: str, landing_dir: str, checkpoint_dir
     ``checkpoint_dir`` must be on the shared file system (it records which files
     were consumed). ``available_now`` processes what is there and stops.
     """
-    std_name, _ = FACT_SOURCES[fact]
+    std_name, _ = BUILDERS[fact]
     schema = wh.table(std_name).schema
     reader = wh.spark.readStream.schema(schema)
     if max_files_per_trigger:
