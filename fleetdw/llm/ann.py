@@ -10,12 +10,15 @@ reach of curves:
    every curve. The merged, reranked windows give each query a first answer.
 2. *Widening.* On vectors without clusters a fixed window is no bound for recall, so the
    windows go on along the first curve as far as they may hold something better: the
-   rows in curve order form groups of about ``GROUP``, each cut into blocks with a centre
-   c and a radius r; a block is read if q.c + |q| r reaches the query's k-th score so far.
+   rows in curve order form groups of about ``GROUP`` with a centre c and a radius r. A
+   query visits a group if q.c + |q| r reaches its k-th score so far; that is decided on a
+   table of one row a group, before any row of a group moves, and a group is copied once per
+   ``QUERIES`` queries that visit it. In a group the same test leaves out blocks of ``BLOCK`` rows.
    Nothing that belongs to the answer can lie in another block, so recall is 1; what the
-   curves save is the blocks left out. Queries and groups meet in blocks of bounded size.
-3. Scores are taken on the original vectors in double precision, always summed in the same
-   way, so that copies tie; ties go to the smaller id.
+   curves save is what is left out.
+3. Scores are taken on the original vectors in double precision, always summed from the first
+   component to the last, so that copies tie; ties go to the smaller id. Until then scores that
+   differ by less than ``SLACK`` of the largest product possible count as equal.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components, or of
 another length than the query, and rows without id take no part, neither as queries nor as
@@ -39,9 +42,9 @@ from fleetdw.llm.common import materialise, ship_package
 from fleetdw.llm.embed_dedup import usable
 
 CURVES, DIMS, BITS, WINDOW = 4, 7, 9, 64
-GROUP, BLOCK, QUERIES, STRIP = 4096, 256, 2048, 256
+GROUP, BLOCK, QUERIES, STRIP, CENTRES = 4096, 256, 2048, 256, 2048
 SEED = 5
-EPS = 1e-9  # scores nearer than that are compared by the canonical sum only
+SLACK = 1e-12  # well above the rounding of a sum of products, relative to |q| and the largest norm
 
 
 @lru_cache(maxsize=64)
@@ -86,16 +89,26 @@ def keys(vecs: np.ndarray, largest: float, curve: int) -> np.ndarray:
     return hilbert(np.minimum((p * (1 << BITS)).astype(np.int64), (1 << BITS) - 1), BITS)
 
 
+def score(vecs: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, summed from the first component to the last."""
+    return np.cumsum(vecs * query, axis=1)[:, -1]
+
+
+def slack(queries: np.ndarray, largest: float) -> np.ndarray:
+    """Per query: differences of scores up to this may be rounding."""
+    return SLACK * (1 + queries.shape[1] / 1000) * np.sqrt((queries * queries).sum(axis=1)) * largest
+
+
 def best(scores: np.ndarray, queries: np.ndarray, vecs: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int,
-         floor: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+         floor: np.ndarray, largest: float) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """Per query row: its ``k`` best candidates at or above ``floor``, canonically scored."""
-    out = []
+    out, margin = [], 2 * slack(queries, largest)
     for row in range(len(scores)):
         s = np.where(ids == own[row], -np.inf, scores[row])
-        cut = max(floor[row], np.partition(s, -k)[-k] if len(s) > k else -np.inf) - EPS
+        cut = max(floor[row], np.partition(s, -k)[-k] if len(s) > k else -np.inf) - margin[row]
         at = np.flatnonzero((s >= cut) & (s > -np.inf))
         if len(at):
-            exact = (vecs[at] * queries[row]).sum(axis=1)
+            exact = score(vecs[at], queries[row])
             order = np.lexsort((ids[at], -exact))[:k]
             out.append((row, ids[at][order], exact[order]))
     return out
@@ -109,7 +122,7 @@ def _frame(found: list) -> pd.DataFrame:
     return pd.DataFrame({"query_id": q, "vec_id": v, "score": s})
 
 
-def _windows(k: int):
+def _windows(k: int, largest: float):
     """Sorted rows of some curves in, the best of every query's window out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,14 +141,50 @@ def _windows(k: int):
                     if not seg["fresh"].iloc[lo:hi].any():
                         continue
                     for _, v, s in best((vecs[lo:hi] @ vecs[i])[None], vecs[i:i + 1], vecs[lo:hi], ids[i:i + 1],
-                                        ids[lo:hi], k, np.array([-np.inf])):
+                                        ids[lo:hi], k, np.array([-np.inf]), largest):
                         found.append((np.full(len(v), ids[i]), v, s))
             yield _frame(found)
 
     return run
 
 
-def _widen(k: int):
+def ball(vecs: np.ndarray) -> tuple[np.ndarray, float]:
+    """A centre and a radius that hold all rows."""
+    c = vecs.mean(axis=0)
+    return c, float(np.sqrt(((vecs - c) ** 2).sum(axis=1).max()))
+
+
+def _centre(rows: pd.DataFrame) -> pd.DataFrame:
+    """One group's centre and radius."""
+    c, r = ball(np.stack(rows["vec"].to_numpy()).astype(np.float64))
+    return pd.DataFrame({"group": [rows["group"].iloc[0]], "d": [rows["d"].iloc[0]], "centre": [c], "radius": [r]})
+
+
+def _visits(largest: float):
+    """Queries with their scores so far, and the centres of groups: who visits which."""
+
+    def run(queries: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(queries) and len(groups):
+            centre, radius = np.stack(groups["centre"].to_numpy()), groups["radius"].to_numpy()
+            q_all, floor = np.stack(queries["vec"].to_numpy()).astype(np.float64), queries["floor"].to_numpy()
+            ids, names = queries["vec_id"].to_numpy(), groups["group"].to_numpy()
+            for lo in range(0, len(q_all), STRIP):
+                x, y = np.nonzero(reached(q_all[lo:lo + STRIP], floor[lo:lo + STRIP], centre, radius, largest))
+                found.append((ids[lo + x], names[y]))
+        ids, names = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        return pd.DataFrame({"vec_id": ids, "group": names.astype(np.int32)})
+
+    return run
+
+
+def reached(q: np.ndarray, floor: np.ndarray, centre: np.ndarray, radius: np.ndarray, largest: float) -> np.ndarray:
+    """Which balls may hold a row that scores at least ``floor`` (queries by balls)."""
+    reach = q @ centre.T + np.sqrt((q * q).sum(axis=1))[:, None] * radius
+    return reach >= (floor - 4 * slack(q, largest))[:, None]
+
+
+def _widen(k: int, largest: float):
     """Queries with their scores so far, and a group of rows in curve order."""
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
@@ -143,21 +192,18 @@ def _widen(k: int):
         if len(queries) and len(rows):
             rows = rows.sort_values(["key", "vec_id"], kind="stable")
             vecs, ids = np.stack(rows["vec"].to_numpy()).astype(np.float64), rows["vec_id"].to_numpy()
-            starts = range(0, len(vecs), BLOCK)
-            centre = np.stack([vecs[a:a + BLOCK].mean(axis=0) for a in starts])
-            radius = np.array([np.sqrt(((vecs[a:a + BLOCK] - c) ** 2).sum(axis=1).max())
-                               for a, c in zip(starts, centre, strict=True)])
+            balls = [ball(vecs[a:a + BLOCK]) for a in range(0, len(vecs), BLOCK)]
+            centre, radius = np.stack([c for c, _ in balls]), np.array([r for _, r in balls])
             q_all, own = np.stack(queries["vec"].to_numpy()).astype(np.float64), queries["vec_id"].to_numpy()
             floor = queries["floor"].to_numpy()
             for lo in range(0, len(q_all), STRIP):
                 q, f = q_all[lo:lo + STRIP], floor[lo:lo + STRIP]
-                reach = q @ centre.T + np.sqrt((q * q).sum(axis=1))[:, None] * radius
-                blocks = np.flatnonzero((reach >= f[:, None] - EPS).any(axis=0))
+                blocks = np.flatnonzero(reached(q, f, centre, radius, largest).any(axis=0))
                 if not len(blocks):
                     continue
                 at = np.concatenate([np.arange(b * BLOCK, min(len(vecs), (b + 1) * BLOCK)) for b in blocks])
                 near, near_ids = vecs[at], ids[at]
-                for row, v, s in best(q @ near.T, q, near, own[lo:lo + STRIP], near_ids, k, f):
+                for row, v, s in best(q @ near.T, q, near, own[lo:lo + STRIP], near_ids, k, f, largest):
                     found.append((np.full(len(v), own[lo + row]), v, s))
         return _frame(found)
 
@@ -193,7 +239,7 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     order = ["d", "curve", "key", "vec_id"]
     parts = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = (placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-             .mapInPandas(_windows(k), "query_id long, vec_id long, score double"))
+             .mapInPandas(_windows(k, largest or 1.0), "query_id long, vec_id long, score double"))
     first = materialise(_top(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k), "curve-windows")
     if not widen:
         return first.select("query_id", "rank", "vec_id", "score")
@@ -201,15 +247,34 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
                                            .otherwise(float("-inf")).alias("floor"))
     base = placed.where("curve = 0")
     # one query per id: rows that repeat an id would ask twice
-    asked = (base.where("is_query").groupBy("vec_id").agg(F.min("vec").alias("vec"), F.first("d").alias("d"))
-             .join(floors, F.col("vec_id") == F.col("query_id"), "left")
-             .select("vec_id", "vec", "d", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
-                     F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk"),
-                     F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")))
+    asked = materialise(
+        base.where("is_query").groupBy("vec_id").agg(F.min("vec").alias("vec"), F.first("d").alias("d"))
+        .join(floors, F.col("vec_id") == F.col("query_id"), "left")
+        .select("vec_id", "vec", "d", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
+                F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk")), "curve-queries")
     grouped = materialise(base.repartitionByRange(groups, "d", "key", "vec_id").select(
         "vec_id", "vec", "key", "d", F.pmod(F.spark_partition_id(), F.lit(groups)).alias("group")), "curve-groups")
-    against = grouped.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    visits = materialise(visited(asked, grouped, chunks, groups, largest or 1.0), "curve-visits")
     by = ["chunk", "group", "d"]
-    more = asked.groupBy(*by).cogroup(against.groupBy(*by)).applyInPandas(
-        _widen(k), "query_id long, vec_id long, score double")
+    coming = visits.join(asked, "vec_id")
+    # renamed: both sides of the cogroup come from ``coming``
+    pairs = coming.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+    against = grouped.join(pairs, (F.col("group") == F.col("_group")) & (F.col("d") == F.col("_d"))).select(
+        F.col("_chunk").alias("chunk"), "group", "d", "vec_id", "vec", "key")
+    more = coming.groupBy(*by).cogroup(against.groupBy(*by)).applyInPandas(
+        _widen(k, largest or 1.0), "query_id long, vec_id long, score double")
     return _top(more, k).select("query_id", "rank", "vec_id", "score")
+
+
+def visited(asked: DataFrame, grouped: DataFrame, chunks: int, groups: int, largest: float) -> DataFrame:
+    """(vec_id, group): the groups whose ball a query's score so far does not exclude. Queries and
+    centres meet in blocks: a query is copied once per ``CENTRES`` groups, a centre once per
+    ``QUERIES`` queries."""
+    strips = -(-groups // CENTRES)
+    centres = materialise(grouped.groupBy("group", "d").applyInPandas(
+        _centre, "group int, d int, centre array<double>, radius double"), "curve-centres")
+    left = asked.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+    right = (centres.withColumn("strip", F.pmod("group", F.lit(strips)))
+             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
+    by = ["chunk", "strip", "d"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(_visits(largest), "vec_id long, group int")

@@ -11,13 +11,15 @@ functions.
    digits as blanks), so they do not tell the generators apart. They are learnt from
    all candidates: positive is what is, or overlaps, a base span of its kind, and
    what a loose generator found alone if its base form is an address, passes the
-   digit sum or reads like a telephone number (``_strong``); digit sums are no
-   features. The features take few
+   digit sum or reads like a telephone number (``_strong``). Whether the base form passes its
+   kind's check (digit sum, ranges, number of digits) is a feature, so a number that fails is no
+   card because it looks like one. The features take few
    values, so the candidates aggregate to at most ``MAX_CELLS`` distinct rows
    (the product of the features' ranges, whatever the size of the input), and
    only those counts reach the driver.
 4. A *calibrated threshold* per kind selects the redactions: the lowest score
-   at or above which at least ``PRECISION`` of the candidates are positive. Other
+   at or above which at least ``PRECISION`` of the candidates are positive, counted on
+   the half of the texts (by hash) that the trees have not seen. Other
    candidates that reach it, touch no base span of their kind and lie in none of
    another kind are added to the spans.
 
@@ -81,7 +83,7 @@ WORDS = {  # context words, by what they announce
     4: r"(?i)(?:\bip|host|server|addr)\W{0,3}$",
 }
 #: Feature -> number of values it takes.
-FEATURES = {"f_kind": 4, "f_digits": 9, "f_seps": 5, "f_marks": 16, "f_left": 4, "f_right": 4, "f_words": 5}
+FEATURES = {"f_kind": 4, "f_digits": 9, "f_seps": 5, "f_marks": 16, "f_left": 4, "f_right": 4, "f_words": 5, "f_valid": 2}
 MAX_CELLS = math.prod(FEATURES.values())
 PRECISION = 0.5
 ROUNDS, RATE, DEPTH, LEAST = 40, 0.4, 3, 1
@@ -181,6 +183,7 @@ def _features() -> dict[str, Column]:
         "f_left": F.when(_goes_on(True), 2).otherwise(_char_class(F.right("before", F.lit(1)))),
         "f_right": F.when(_goes_on(False), 2).otherwise(_char_class(F.col("after"))),
         "f_words": words,
+        "f_valid": F.coalesce(_passes(F.col("kind"), m), F.lit(False)).cast("int"),
     }
 
 
@@ -266,7 +269,8 @@ def _value(tree, x: dict) -> float:
 
 def learn(cells: list[dict]) -> tuple[list, dict[int, float]]:
     """Boosted trees on counted cells (x: features, n: candidates, p: positives), and the
-    calibrated threshold of each kind (log-odds)."""
+    threshold of each kind (log-odds), calibrated on other candidates (held: their number, held_p:
+    positives). A kind without any of these has no threshold, so nothing of it is added."""
     for c in cells:
         c["s"] = 0.0
     trees = []
@@ -284,11 +288,11 @@ def learn(cells: list[dict]) -> tuple[list, dict[int, float]]:
         by_score = defaultdict(lambda: [0, 0])
         for c in cells:
             if c["x"]["f_kind"] == kind:
-                by_score[round(c["s"], 9)][0] += c["n"]
-                by_score[round(c["s"], 9)][1] += c["p"]
+                by_score[round(c["s"], 9)][0] += c["held"]
+                by_score[round(c["s"], 9)][1] += c["held_p"]
         for s in sorted(by_score, reverse=True):
             n, p = n + by_score[s][0], p + by_score[s][1]
-            if p >= PRECISION * n and by_score[s][1] >= PRECISION * by_score[s][0]:
+            if by_score[s][0] and p >= PRECISION * n and by_score[s][1] >= PRECISION * by_score[s][0]:
                 cuts[kind] = s - 1e-6
     return trees, cuts
 
@@ -301,9 +305,11 @@ def _column(tree) -> Column:
 
 def scored(found: DataFrame) -> DataFrame:
     """``found`` of :func:`candidates` with ``score`` (0 to 1) and ``chosen``."""
+    held, yes = F.pmod(F.xxhash64("text_hash"), F.lit(2)) == 1, F.col("positive")
+    counts = {"n": ~held, "p": ~held & yes, "held": held, "held_p": held & yes}
     rows = (found.where(F.col("kind").isNotNull()).groupBy(*FEATURES)
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("positive").cast("long")).alias("p")).collect())
-    cells = sorted(({"x": {f: r[f] for f in FEATURES}, "n": r["n"], "p": r["p"]} for r in rows),
+            .agg(*[F.count_if(c).alias(name) for name, c in counts.items()]).collect())
+    cells = sorted(({"x": {f: r[f] for f in FEATURES}, **{name: r[name] for name in counts}} for r in rows),
                    key=lambda c: sorted(c["x"].items()))
     trees, cuts = learn(cells) if cells else ([], {})
     odds = F.lit(0.0)

@@ -75,18 +75,20 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     return src.mapInArrow(run, "doc_id long, fp long")
 
 
-def with_fingerprints(df: DataFrame, text_col: str, shingle: int, name: str) -> DataFrame:
-    """``df`` with the fingerprint's bits as a signed long in a further column ``name``."""
+def with_fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(row, doc_id, fp): every row of ``df`` as one struct, so that its columns may have any
+    names, its id and its fingerprint's bits as a signed long."""
     ship_package(df.sparkSession)
-    at = df.columns.index(text_col)
-    schema = StructType([*df.schema.fields, StructField(name, LongType())])
+    src = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                    F.col(text_col).cast("string").alias("text"))
+    schema = StructType([*src.schema.fields[:2], StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps)], names=[*b.schema.names, name])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema)
 
 
 def unary_counts(fp: Column) -> Column:
@@ -173,11 +175,10 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row of ``df`` for each component: that with the smallest id, of several the
     smallest of all columns. Components are told apart by fingerprint, not by id, so rows
     without an id and unrelated texts under one id are kept like any other."""
-    rows = materialise(with_fingerprints(df, text_col, shingle, "__fp"), "simhash-rows")
-    named = groups(rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col("__fp").alias("fp")), max_bits)
+    rows = materialise(with_fingerprints(df, id_col, text_col, shingle), "simhash-rows")
+    named = groups(rows.select("doc_id", "fp"), max_bits)
     # the fingerprints that hold their component's smallest id: mostly one a component
     first = named.where(F.col("low").eqNullSafe(F.col("component_id"))).select("fp", "low", "root")
-    rest = [c for c in df.columns if c != id_col]
-    held = rows.join(first, (F.col("__fp") == F.col("fp")) & F.col(id_col).cast("long").eqNullSafe(F.col("low")))
-    return (held.groupBy("root").agg(F.min(F.struct(id_col, *rest)).alias("__r"))
-            .select(*[F.col(f"__r.{c}").alias(c) for c in df.columns]))
+    held = rows.join(first, (rows["fp"] == first["fp"]) & F.col("doc_id").eqNullSafe(F.col("low"))).select("row", "root")
+    ordered = F.struct(*[F.col("row")[c] for c in (id_col, *(c for c in df.columns if c != id_col))])
+    return held.groupBy("root").agg(F.min_by("row", ordered).alias("row")).select("row.*")

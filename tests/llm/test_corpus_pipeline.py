@@ -40,6 +40,18 @@ def test_one_row_of_each_component_stays_whatever_the_ids(spark, odd_docs):
     assert {(r["doc_id"], r["text"]) for r in kept} >= {(None, "no id"), (4, "another text with the same id"), (0, None), (3, "a"), (7, "same")}
 
 
+def test_clashing_columns_in_every_stage(spark, sf_dir, documents):
+    some = documents.limit(40)
+    names = ["root", "low", "fp", "__fp", "row", "n", "component_id", "hits", "pattern", "size", "copies", "__id", "__hits", "score"]
+    docs = some.select("*", *[some["lang"].alias(c) for c in names])
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        assert all(r["root"] == r["lang"] == r["__fp"] for r in out.collect()), name
+    assert {r["doc_id"] for r in P.near_dedup(spark, docs, sf_dir).collect()} == {
+        r["doc_id"] for r in P.near_dedup(spark, some, sf_dir).collect()}
+
+
 def test_empty_documents(spark, sf_dir, documents):
     docs = documents.where("1 = 0")
     for _, stage in P.STAGES:

@@ -64,3 +64,22 @@ def test_ordinary_text_beside_a_random_string_does_not_hide_it(spark):
         hits = [f["text"] for f in got[i]["found"] if f["kind"] == "random"]
         assert len(hits) == 1 and hits[0].endswith(t[-14:]), t
     assert not [t for i, t in enumerate(spared) if got[len(found) + i]["n_random"]]
+
+
+def test_many_base_spans_in_one_run_take_linear_time():
+    import time
+
+    tokens = S.Tokens(PATH, P.PATTERN)
+    text = ("0123456789abcdef01234567" + "g") * 40000  # 1 MB, one run, 40,000 spans
+    base = S.base_spans(text)
+    assert len(base) == 40000
+    begin = time.time()
+    assert S.random_spans(text, base, tokens, S.MAX_RATIO) == []
+    assert time.time() - begin < 1
+    # spans in several pieces of one run, against the walk to the nearest separators
+    part = "0123456789abcdef01234567"
+    text = f"{part}xyz/{KEY}/{part}=abc_{part}"
+    run = S.RUN.search(text)
+    assert run.span() == (0, len(text))
+    spans = S.random_spans(text, S.base_spans(text), tokens, S.MAX_RATIO)
+    assert [text[a:z] for a, _, z in spans] == [f"/{KEY}/"]
