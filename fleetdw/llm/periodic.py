@@ -234,17 +234,28 @@ def runs(df: DataFrame, id_col: str = "doc_id", text_col: str | Column = "text",
     return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, runs {RUNS}, collapsed string")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also where a function inside uses it per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def repeating(text: Column, doc_id: Column) -> Column:
     """``text``; of every tenth document (by the CRC-32 of its id) the words from some position
     on repeat with a period that fits three to ten times."""
     h = F.crc32(doc_id.cast("string"))
     g = F.floor(h / 10).cast("long")
+
+    def altered(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        whole = _let(F.struct(words.alias("w"), a.alias("a"), p.alias("p")), lambda s: F.array_join(F.concat(
+            F.slice(s["w"], F.lit(1), s["a"]),
+            F.transform(F.sequence(s["a"], F.size(s["w"]) - 1), lambda i: F.get(s["w"], s["a"] + (i - s["a"]) % s["p"]))), " "))
+        return F.when(n > 0, whole).otherwise(text)
+
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    n = F.size(words)
-    a = (g % n).cast("int")
-    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % p))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(words, 1, a), tail), " ")).otherwise(text)
+    return F.when((h % 10 == 0) & text.isNotNull(), _let(words, altered)).otherwise(text)
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
