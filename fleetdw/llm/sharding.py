@@ -14,6 +14,8 @@ Documents are never cut: one larger than the limit ends alone in a bucket, marke
 ``oversized``. Rows of the same id and text cannot be told apart by any bits; they fill
 *pages* of their bucket, each within the limit.
 
+:func:`directory` gives the buckets as a table, :func:`place` looks documents up in it.
+
 Cases: a null text has no bytes, a null id is the key ``null``; empty texts take no room and
 never split a bucket; an empty table gives an empty result; other columns are not read.
 """
@@ -96,3 +98,32 @@ def assign(df: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col:
         rows = part.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("n", "i")
         pages = pages.unionByName(rows)
     return pages
+
+
+def directory(assigned: DataFrame) -> DataFrame:
+    """The buckets of :func:`assign`: depth, prefix, doc_id (of buckets deeper than the id's bits, which
+    hold one id), shard_bytes, shard_docs and global_depth, the deepest of all."""
+    one_id = F.when(F.col("depth") > HASH_BITS, F.col("doc_id")).alias("doc_id")
+    buckets = assigned.select("depth", "prefix", one_id, "shard_bytes", "shard_docs").distinct()
+    deepest = assigned.agg(F.max("depth").alias("global_depth"))
+    return buckets.join(F.broadcast(deepest))  # one row
+
+
+def place(df: DataFrame, buckets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id and the depth and prefix of its bucket in a written :func:`directory`; both null where
+    no bucket's prefix is the document's (nothing hashed there yet)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    doc = F.col(id_col).cast("long")
+    rows = df.select(F.monotonically_increasing_id().alias("row"), doc.alias("doc_id"),
+                     hash60(F.coalesce(doc.cast("string"), F.lit("null"))).alias("h1"), hash60(text).alias("h2"))
+    rows = materialise(rows, "shard-place")
+    depths = sorted(r[0] for r in buckets.select("depth").distinct().collect())  # no more than there are bits
+    bits = lambda h, n: F.shiftright(h, HASH_BITS - n) if n else F.lit(0).cast("long")
+    keys = [F.struct(F.lit(n).alias("depth"), (bits("h1", n) if n <= HASH_BITS else bits("h2", n - HASH_BITS)).alias("prefix"),
+                     (F.col("doc_id") if n > HASH_BITS else F.lit(None).cast("long")).alias("one_id")) for n in depths]
+    if not keys:
+        return rows.select("doc_id", F.lit(None).cast("int").alias("depth"), F.lit(None).cast("long").alias("prefix"))
+    known = buckets.select(F.col("depth").alias("k"), F.col("prefix").alias("p"), F.col("doc_id").alias("d"))
+    met = rows.select("row", F.inline(F.array(*keys))).join(
+        known, (F.col("depth") == F.col("k")) & (F.col("prefix") == F.col("p")) & F.col("one_id").eqNullSafe(F.col("d")))
+    return rows.select("row", "doc_id").join(met.select("row", "depth", "prefix"), "row", "left").drop("row")

@@ -1,3 +1,5 @@
+import itertools
+import random
 from collections import defaultdict
 
 import pytest
@@ -35,6 +37,8 @@ def test_targets_and_taken_words(documents):
     again = {r["doc_id"]: r["taken"] for r in mixing.mix(documents.repartition(7)).collect()}
     assert again == {d: r["taken"] for d, r in got.items()}
     assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) < 0.05 * sum(sizes.values())
+    for s in sizes:  # every source comes near its own target: only whole documents are taken
+        assert abs(taken[s] - want[s]) <= max(0.02 * want[s], *(n for x, n in src.values() if x == s)), s
 
 
 def test_odd_rows(odd_docs, no_docs, spark):
@@ -67,6 +71,26 @@ def test_flow_repeats_only_when_it_must():
     assert flow["p", "a"] == pytest.approx(20)
 
 
+def test_flow_against_every_integer_flow():
+    """Most words first, then fewest repeated ones, over all flows of small problems."""
+    g = random.Random(5)
+    for _ in range(60):
+        cap = {p: g.randint(0, 3) for p in "pqr"[:g.randint(1, 3)]}
+        quota = {s: g.randint(0, 5) for s in "ab"[:g.randint(1, 2)]}
+        arcs = [(p, s) for p in cap for s in quota if g.random() < .75][:4]
+        best = (0, 0)
+        for f in itertools.product(*[range(min(2 * cap[p], quota[s]) + 1) for p, s in arcs]):
+            sent = {p: sum(v for v, (q, _) in zip(f, arcs) if q == p) for p in cap}
+            got = {s: sum(v for v, (_, t) in zip(f, arcs) if t == s) for s in quota}
+            if all(sent[p] <= 2 * cap[p] for p in cap) and all(got[s] <= quota[s] for s in quota):
+                best = max(best, (sum(f), -sum(max(0, sent[p] - cap[p]) for p in cap)))
+        flow = mixing.cheapest_flow({p: float(c) for p, c in cap.items()}, {s: float(q) for s, q in quota.items()}, arcs, 2)
+        sent = {p: sum(v for (q, _), v in flow.items() if q == p) for p in cap}
+        assert all(v >= -1e-9 for v in flow.values()) and all(sent[p] <= 2 * cap[p] + 1e-9 for p in cap)
+        assert all(sum(v for (_, t), v in flow.items() if t == s) <= quota[s] + 1e-9 for s in quota)
+        assert (sum(flow.values()), -sum(max(0, sent[p] - cap[p]) for p in cap)) == pytest.approx(best)
+
+
 def test_overlapping_sources(spark):
     rows = [(i, ["=a"] if i % 3 == 0 else ["=b", "=a"] if i % 3 == 1 else ["=b"], 10) for i in range(300)]
     decisions, goals = mixing.decide(spark.createDataFrame(rows, "doc_id long, sources array<string>, size long"))
