@@ -1,7 +1,8 @@
 """Dimension lookups with a checked broadcast.
 
 A dimension is broadcast only when its row count - recorded when the dimension
-was written - is at most ``max_broadcast_rows``; otherwise the join is left to
+was written - is at most ``max_broadcast_rows`` and its rows, by the types of the
+columns that are taken, stay within ``MAX_BROADCAST_BYTES``; otherwise the join is left to
 the planner (shuffle join, which AQE may still turn into a broadcast at run time
 from measured sizes). Nothing is broadcast on a guess.
 """
@@ -16,11 +17,18 @@ from pyspark.sql import functions as F
 # A lookup broadcasts only the join key(s) plus the surrogate key / a few
 # attributes (~50-100 bytes a row), so 1M rows stays around 100 MB per executor.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 << 20
+#: Bytes of a value in a hashed row, about; strings with their length word.
+_WIDTH = {"string": 72, "decimal": 16}
+
+
+def row_bytes(df: DataFrame) -> int:
+    return 32 + sum(_WIDTH.get(f.dataType.typeName(), 8) for f in df.schema.fields)
 
 
 def checked_broadcast(dim: DataFrame, n_rows: int | None,
                       max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    if n_rows is not None and n_rows <= max_rows:
+    if n_rows is not None and n_rows <= max_rows and n_rows * row_bytes(dim) <= MAX_BROADCAST_BYTES:
         return F.broadcast(dim)
     return dim
 

@@ -70,3 +70,13 @@ def test_insert_ignore_incremental_plan_same_result(spark):
     assert rows(probed) == plain == sorted([(None, 5, "n"), ("new", 1, "z")], key=repr)
     plan = probed._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_broadcast_is_bounded_by_rows_and_bytes(spark):
+    from fleetdw.operators.lookup import checked_broadcast
+
+    narrow = spark.range(1).selectExpr("id AS a", "id AS b")
+    wide = spark.range(1).selectExpr("id", *[f"CAST(id AS STRING) AS c{i}" for i in range(8)])
+    hinted = lambda df, n: "broadcast" in checked_broadcast(df, n)._jdf.queryExecution().logical().toString()
+    assert hinted(narrow, 1_000_000) and not hinted(narrow, 1_000_001) and not hinted(narrow, None)
+    assert hinted(wide, 300_000) and not hinted(wide, 900_000)
