@@ -79,14 +79,15 @@ def with_fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -
     """(row, doc_id, fp): every row of ``df`` as one struct, so that its columns may have any
     names, its id and its fingerprint's bits as a signed long."""
     ship_package(df.sparkSession)
-    src = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                    F.col(text_col).cast("string").alias("text"))
-    schema = StructType([*src.schema.fields[:2], StructField("fp", LongType())])
+    at = df.columns.index(text_col)
+    src = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"))
+    schema = StructType([*src.schema.fields, StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(2)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=schema.names)
+            texts = b.column(0).field(at).cast(pa.string())  # the text travels once, in its row
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps)], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
