@@ -2,11 +2,14 @@
 
 Documents are range-partitioned and sorted by id, encoded, closed with the end id
 and gathered into shards of about ``SHARD_IDS`` ids (documents are never split). A
-shard is compressed by Re-Pair: the most frequent pairs of neighbouring symbols
-become new symbols (rules), again and again, until no pair occurs ``LEAST`` times.
-Each round replaces, most frequent first, all pairs of at least a quarter of the
-highest count that cannot overlap one another, which is what replacing them one by one
-would do. Rules are numbered after the shard's distinct ids.
+shard is compressed by Re-Pair: frequent pairs of neighbouring symbols become new symbols
+(rules), again and again, until no rule pays: a rule costs 12 bytes in the file and
+saves one symbol per occurrence. Pairs are replaced in rounds: the most frequent first, and with
+them those of at least a ``1 / ROUND`` of its count that share no symbol with it on the facing
+side, so that they cannot overlap. (One pair a round would be the textbook order; the files
+are much the same.) Rules are numbered after the shard's distinct ids. Symbols have two bytes as
+long as the ids alone need no more: past that number every symbol of the shard would
+double, so rules end there.
 
 A shard file (little-endian; one row of a Parquet table in the shared folder, so that
 Spark's commit protocol holds when an executor is lost):
@@ -20,14 +23,17 @@ Spark's commit protocol holds when an executor is lost):
 the expansion lengths where it lies.
 
 Encoding: no token spans the border before a blank that follows a visible character,
-so a text is cut there and each distinct part is encoded by the tokenizers library
-once per memo (two generations of ``MEMO_CHARS`` characters). Texts with a blank after
+so texts are cut there. The parts of a block of texts are numbered by Arrow's dictionary
+encoding; each distinct part goes through the tokenizers library once per memo, letters and the
+signs behind them apart. The ids of all texts are taken by number from one Arrow column of
+lists, so there is a Python object per distinct part of a block only. Texts with a blank after
 other white space, or with white space other than blank, tab and line ends, are encoded
-whole.
+whole. The memo counts all it holds and is emptied beyond ``MEMO_BYTES``.
 
 Cases: a null text counts as empty; an empty text is just its end id; a null id sorts
-first; rows that repeat an id follow each other, ordered by their text's hash; an
-empty table gives no shard and an empty result; other columns are not read.
+first; rows that repeat an id follow each other, ordered by their text's hash, and equal rows
+are dealt out like any others; an empty table gives no shard and an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -39,33 +45,96 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetdw.llm.bpe import blocks
 from fleetdw.llm.common import shared_path, ship_package, shuffle_partitions
 
 SHARD_IDS = 1 << 20
-LEAST = 48
-SHARE = 4
+RULE_BYTES = 12
+ROUND = 16
 INDEX_STEP = 256
-MEMO_CHARS = 16_000_000
+MEMO_BYTES = 256_000_000
+KEY_BYTES = 150  # of Python for an entry, beside its characters
+BLOCK_BYTES = 16_000_000
 MAGIC = b"RPR1"
-_SPACES = ("", "\t", "\r", "\n")
-_LONG_SPACE = ("  ", "\t ", "\r ", "\n ")
-#: White space besides blank, tab and line ends, and what Python takes for it.
-_ODD = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200b)))
+#: Texts to encode whole: a blank after white space; white space besides blank, tab and line
+#: ends, and what Python takes for it.
+WHOLE = ("[ \\t\\r\\n] |[\\x0b\\x0c\\x1c-\\x1f]|[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def odd_space(text: str) -> bool:
-    """Must this text be encoded whole?"""
-    return any(c in text for c in (_ODD[:6] if text.isascii() else _ODD)) or any(x in text for x in _LONG_SPACE)
+#: ASCII letters with ASCII signs behind them.
+LETTERS_SIGNS = r"^(?P<letters>[A-Za-z]+)(?P<signs>[!-/:-@\[-`{-~]+)$"
+
+
+class Grown:
+    """A numpy array that grows by doubling."""
+
+    def __init__(self, dtype):
+        self.data, self.used = np.zeros(1 << 12, dtype), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        need = self.used + len(values)
+        if need > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(max(need, 2 * len(self.data)) - len(self.data), self.data.dtype)])
+        self.data[self.used:need] = values
+        self.used = need
+
+
+def _strings(column: pa.StringArray) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist()
+
+
+def _alternating(a: np.ndarray, a_counts: np.ndarray, b: np.ndarray, b_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists joined pair by pair: a's first, b's first, a's second and so on."""
+    counts = a_counts + b_counts
+    out = np.empty(len(a) + len(b), a.dtype)
+    at = np.repeat(np.cumsum(counts) - counts - (np.cumsum(a_counts) - a_counts), a_counts) + np.arange(len(a))
+    rest = np.ones(len(out), bool)
+    rest[at] = False
+    out[at], out[rest] = a, b
+    return out, counts
+
+
+class Memo:
+    """Distinct texts, numbered, and their ids in a column of lists."""
+
+    def __init__(self):
+        self.number, self.keys = {}, 0
+        self.ids, self.ends = Grown(np.uint32), Grown(np.int32)
+        self.ends.extend(np.zeros(1, np.int32))
+
+    def held(self) -> int:
+        return self.keys + 4 * (self.ids.used + self.ends.used)
+
+    def add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.number)
+        self.number.update(zip(words, range(first, first + len(words)), strict=True))
+        self.ends.extend((self.ids.used + np.cumsum(counts)).astype(np.int32))
+        self.ids.extend(ids)
+        self.keys += sum(map(len, words)) + KEY_BYTES * len(words)
+
+    def numbers(self, words: list[str], learn) -> np.ndarray:
+        """Where ``words`` are; ``learn`` adds those that are not there yet."""
+        known = list(map(self.number.get, words))
+        fresh = [w for w, k in zip(words, known, strict=True) if k is None]
+        if fresh:
+            learn(list(dict.fromkeys(fresh)))
+            known = list(map(self.number.__getitem__, words))
+        return np.array(known, np.int32)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some entries, joined, and how many each has."""
+        lists = pa.ListArray.from_arrays(pa.array(self.ends.data[:self.ends.used]), pa.array(self.ids.data[:self.ids.used]))
+        taken = lists.take(pa.array(numbers))
+        return taken.flatten().to_numpy(), np.diff(taken.offsets.to_numpy())
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct piece once."""
+    """Ids of whole texts by the tokenizers library, each distinct part once per memo."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task per core
@@ -74,56 +143,100 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.memo, self.older, self.held = {}, {}, 0
         vocab = self.tok.get_vocab(with_added_tokens=False)  # a character stands for a byte
         self.width = np.zeros(self.tok.get_vocab_size() + 1, np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)
         for i, token in self.tok.get_added_tokens_decoder().items():
             self.width[i] = len(token.content.encode())
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
-
-    def _learn(self, parts: list[str]) -> None:
-        """Ids of parts with a blank before each. Many are encoded as one text: no token spans
-        their borders, and the tokens' lengths in bytes tell them apart."""
-        groups = [parts[k:k + 2048] for k in range(0, len(parts), 2048)]
-        found = self.tok.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
-        for g, e in zip(groups, found, strict=True):
-            ids = np.array(e.ids, np.uint32)
-            own = np.array([len(p.encode()) for p in g], np.int64) + 1
-            cut = (np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(own)) + 1).tolist()
-            raw, begin = ids.tobytes(), 0
-            for p, z in zip(g, cut, strict=True):
-                self.memo[p] = raw[4 * begin:4 * z]
-                begin = z
-
-    def block(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as unsigned 32-bit integers."""
-        if self.held > MEMO_CHARS:
-            self.memo, self.older, self.held = {}, self.memo, 0
-        memo, older = self.memo, self.older
-        cut = [[t] if odd_space(t) else t.split(" ") for t in texts]
-        heads = self._library([ps[0] for ps in cut])
-        rests = [ps[1:] for ps in cut]
-        found = [list(map(memo.get, ps)) for ps in rests]
-        fresh = {p for ps, fs in zip(rests, found, strict=True) if None in fs
-                 for p, f in zip(ps, fs, strict=True) if f is None}
-        again = fresh & older.keys()
-        for p in again:
-            memo[p] = older[p]
-        fresh -= again
-        # white space alone, or at the end, would run on into the next part
-        alone = [p for p in fresh if p[-1:] in _SPACES]
-        memo.update(zip(alone, self._library([" " + p for p in alone]), strict=True))
-        fresh = list(fresh.difference(alone))
-        if fresh:
-            self._learn(fresh)
-        self.held += sum(map(len, fresh)) + 12 * len(fresh)
-        return [head + b"".join([memo[p] if f is None else f for p, f in zip(ps, fs, strict=True)])
-                for head, ps, fs in zip(heads, rests, found, strict=True)]
+        self.forget()
+
+    def forget(self) -> None:
+        # with a blank before; first of a text; signs behind letters
+        self.parts, self.firsts, self.tails = Memo(), Memo(), Memo()
+
+    def held(self) -> int:
+        return self.parts.held() + self.firsts.held() + self.tails.held()
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _learn_firsts(self, words: list[str]) -> None:
+        self.firsts.add(words, *self._alone(words))
+
+    def _learn_tails(self, words: list[str]) -> None:
+        self.tails.add(words, *self._alone(words))
+
+    def _learn_parts(self, words: list[str]) -> None:
+        """Parts with a blank before each. No token spans the border from letters to signs either, so letters
+        with signs behind them are put together from the two."""
+        cut = pc.extract_regex(pa.array(words, pa.string()), LETTERS_SIGNS)
+        both = pc.is_valid(cut)
+        letters, signs = (_strings(cut.filter(both).field(k)) for k in (0, 1))
+        plain = [w for w, split in zip(words, both.to_numpy(zero_copy_only=False).tolist(), strict=True) if not split]
+        self._learn_plain([w for w in dict.fromkeys([*plain, *letters]) if w not in self.parts.number])
+        if letters:
+            a, a_counts = self.parts.take(self.parts.numbers(letters, self._learn_plain))
+            b, b_counts = self.tails.take(self.tails.numbers(signs, self._learn_tails))
+            self.parts.add([x + y for x, y in zip(letters, signs, strict=True)], *_alternating(a, a_counts, b, b_counts))
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Many are encoded as one text: no token spans their borders, and the tokens' lengths in bytes
+        tell them apart. White space alone, or at the end, would run on into the next part."""
+        open_end = [w for w in words if w[-1:] in ("", "\t", "\r", "\n")]
+        if open_end:
+            self.parts.add(open_end, *self._alone([" " + w for w in open_end]))
+        closed = [w for w in words if w[-1:] not in ("", "\t", "\r", "\n")]
+        if closed:
+            found = self.tok.encode_batch_fast([" " + " ".join(closed[k:k + 2048]) for k in range(0, len(closed), 2048)],
+                                               add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+            own = pc.binary_length(pa.array(closed, pa.string())).to_numpy().astype(np.int64) + 1
+            cut = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(own)) + 1
+            self.parts.add(closed, ids, np.diff(cut, prepend=0))
+
+    def _cut(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that may be cut before blanks, joined, and how many each has."""
+        split = pc.split_pattern(texts, " ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        coded = split.flatten().dictionary_encode()
+        index, words = coded.indices.to_numpy(), coded.dictionary
+        first = offsets[:-1]
+        used = np.ones(len(words), bool)  # but for those that only begin a text
+        heads, times = np.unique(index[first], return_counts=True)
+        used[heads] = np.bincount(index, minlength=len(words))[heads] > times
+        by_word = np.zeros(len(words), np.int32)
+        by_word[used] = self.parts.numbers(_strings(words.filter(pa.array(used))), self._learn_parts)
+        begin, begin_counts = self.firsts.take(self.firsts.numbers(
+            _strings(words.take(pa.array(heads))), self._learn_firsts)[np.searchsorted(heads, index[first])])
+        rest = np.delete(by_word[index], first)
+        ids, counts = self.parts.take(rest)
+        after = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[offsets - np.arange(len(offsets))]
+        # every text's first part goes before its rest
+        return _alternating(begin, begin_counts, ids, np.diff(after))
+
+    def block(self, texts: pa.StringArray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, joined, each text's closed with ``end_id``, and how many each has."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if self.held() > MEMO_BYTES:
+            self.forget()
+        whole = pc.match_substring_regex(texts, WHOLE).to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(texts), np.int64)
+        ids = np.zeros(0, np.uint32)
+        if not whole.all():
+            ids, counts[~whole] = self._cut(texts.filter(pa.array(~whole)) if whole.any() else texts)
+        if whole.any():
+            own, own_counts = self._alone(texts.filter(pa.array(whole)).to_pylist())
+            before = np.cumsum(counts)[whole]  # ids of cut texts before each of these
+            counts[whole] = own_counts
+            ids = np.insert(ids, np.repeat(before, own_counts), own)
+        if end_id is not None:
+            ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
+            counts = counts + 1
+        return ids, counts
 
 
 # ------------------------------------------------------------------ Re-Pair
@@ -133,16 +246,39 @@ def _pairs(left: np.ndarray, right: np.ndarray, symbols: int) -> np.ndarray:
     return left.astype(kind) * kind(symbols) + right.astype(kind)
 
 
-def _frequent(seq: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (left * symbols + right) and counts of pairs that occur ``LEAST`` times."""
+def _frequent(seq: np.ndarray, symbols: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (left * symbols + right) and counts of pairs that occur ``least`` times."""
     keys = np.sort(_pairs(seq[:-1], seq[1:], symbols))
-    if len(keys) < LEAST:
+    if len(keys) < least:
         return keys[:0], keys[:0]
-    long = keys[np.flatnonzero(keys[LEAST - 1:] == keys[:len(keys) - LEAST + 1])]  # LEAST equal keys in a row
+    long = keys[np.flatnonzero(keys[least - 1:] == keys[:len(keys) - least + 1])]  # ``least`` equal keys in a row
     if not len(long):
         return long, long
     first = np.flatnonzero(np.r_[True, long[1:] != long[:-1]])
-    return long[first], np.diff(np.r_[first, len(long)]) + LEAST - 1
+    return long[first], np.diff(np.r_[first, len(long)]) + least - 1
+
+
+def _replaced(seq: np.ndarray, chosen: np.ndarray, symbols: int) -> np.ndarray:
+    """``seq`` with the k-th chosen pair as symbol ``symbols + k``."""
+    order = np.argsort(chosen)
+    known = chosen[order]
+    is_left, is_right = np.zeros(symbols, bool), np.zeros(symbols, bool)
+    is_left[(chosen // symbols).astype(np.int64)] = True
+    is_right[(chosen % symbols).astype(np.int64)] = True
+    at = np.flatnonzero(is_left.take(seq)[:-1] & is_right.take(seq)[1:])
+    found = _pairs(seq.take(at), seq.take(at + 1), symbols)
+    where = np.searchsorted(known, found)
+    where[where == len(known)] = 0
+    hit = known.take(where) == found
+    at, name = at[hit], order.take(where[hit])
+    if (at[1:] - at[:-1] == 1).any():  # a pair of equal symbols overlaps itself: every second one of a run counts
+        run = np.flatnonzero(np.r_[True, np.diff(at) != 1])
+        odd = (at - np.repeat(at[run], np.diff(np.r_[run, len(at)]))) % 2 == 1
+        at, name = at[~odd], name[~odd]
+    seq[at] = name + symbols
+    keep = np.ones(len(seq), bool)
+    keep[at + 1] = False
+    return seq[keep]
 
 
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -150,61 +286,44 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     used = np.bincount(ids) > 0 if len(ids) else np.zeros(0, bool)
     alphabet = np.flatnonzero(used)
     seq = (np.cumsum(used, dtype=np.int32) - 1)[ids]
-    rules: list[tuple[int, int]] = []
-    while len(seq) > 1:
+    width = 2 if len(alphabet) <= 1 << 16 else 4
+    room = (1 << 16) - len(alphabet) if width == 2 else 1 << 31
+    least = RULE_BYTES // width + 1  # so many occurrences save more than the rule costs
+    rules = np.zeros((0, 2), np.int64)
+    while len(seq) > 1 and len(rules) < room:
         symbols = len(alphabet) + len(rules)
-        keys, counts = _frequent(seq, symbols)
+        keys, counts = _frequent(seq, symbols, least)
         if not len(keys):
             break
-        high = counts * SHARE >= counts.max()
+        high = counts * ROUND >= counts.max()
         keys, counts = keys[high], counts[high]
-        lefts, rights, chosen = set(), set(), []
-        for key in keys[np.lexsort((keys, -counts))].tolist():
-            a, b = divmod(key, symbols)
-            if a not in rights and b not in lefts:
-                lefts.add(a)
-                rights.add(b)
-                chosen.append(key)
-        new = np.arange(symbols, symbols + len(chosen), dtype=np.int32)
-        rules += [divmod(k, symbols) for k in chosen]
-        is_left, is_right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        is_left[list(lefts)], is_right[list(rights)] = True, True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        found = _pairs(seq[at], seq[at + 1], symbols)
-        order = np.argsort(chosen)
-        known = np.array(chosen, found.dtype)[order]
-        where = np.minimum(np.searchsorted(known, found), len(known) - 1)
-        hit = known[where] == found
-        at, name = at[hit], new[order][where[hit]]
-        # only a pair of equal symbols can overlap itself: every second one of a run counts
-        run = np.flatnonzero(np.r_[True, np.diff(at) != 1])
-        odd = (at - np.repeat(at[run], np.diff(np.r_[run, len(at)]))) % 2 == 1
-        at, name = at[~odd], name[~odd]
-        seq[at] = name
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq = seq[keep]
-    pairs = np.array(rules, np.uint32).reshape(-1, 2)
+        keys = keys[np.lexsort((keys, -counts))]
+        lefts, rights, chosen = bytearray(symbols), bytearray(symbols), []
+        for k, (a, b) in enumerate(zip((keys // symbols).tolist(), (keys % symbols).tolist(), strict=True)):
+            if not rights[a] and not lefts[b]:
+                lefts[a] = rights[b] = 1
+                chosen.append(k)
+        chosen = keys[chosen[:room - len(rules)]]
+        seq = _replaced(seq, chosen, symbols)
+        rules = np.concatenate([rules, np.stack(np.divmod(chosen.astype(np.int64), symbols), axis=1)])
     size = [1] * len(alphabet)
-    for a, b in rules:
+    for a, b in rules.tolist():
         size.append(size[a] + size[b])
-    return alphabet.astype(np.uint32), pairs, np.array(size[len(alphabet):], np.uint32), seq
+    return alphabet.astype(np.uint32), rules.astype(np.uint32), np.array(size[len(alphabet):], np.uint32), seq
 
 
-def pack(doc_ids: list[int | None], parts: list[bytes]) -> bytes:
-    """A shard file of documents and their ids."""
-    ids = np.frombuffer(b"".join(parts), np.uint32)
+def pack(doc_ids: list[int | None], ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """A shard file of documents and their ids: all joined, and how many each has."""
     alphabet, rules, sizes, seq = compress(ids)
     width = 2 if len(alphabet) + len(rules) <= 1 << 16 else 4
     full = np.concatenate([np.ones(len(alphabet), np.int64), sizes])
     ends = np.cumsum(full[seq])
-    starts = np.cumsum([0] + [len(p) // 4 for p in parts])[:-1]
-    docs = np.zeros(len(parts), [("id", "<i8"), ("null", "u1"), ("start", "<u8")])
+    docs = np.zeros(len(doc_ids), [("id", "<i8"), ("null", "u1"), ("start", "<u8")])
     docs["id"] = [0 if d is None else d for d in doc_ids]
     docs["null"] = [d is None for d in doc_ids]
-    docs["start"] = starts
+    docs["start"] = np.cumsum(counts) - counts
     return b"".join([
-        MAGIC, struct.pack("<8I", len(parts), len(ids), len(alphabet), len(rules), len(seq), INDEX_STEP, width, 0),
+        MAGIC, struct.pack("<8I", len(doc_ids), len(ids), len(alphabet), len(rules), len(seq), INDEX_STEP, width, 0),
         alphabet.astype("<u4").tobytes(), rules.astype("<u4").tobytes(), sizes.astype("<u4").tobytes(),
         seq.astype(f"<u{width}").tobytes(), (ends - full[seq])[::INDEX_STEP].astype("<u8").tobytes(), docs.tobytes()])
 
@@ -230,11 +349,20 @@ class Shard:
         self.seq = take(f"<u{width}", n_seq)
         self.index = take("<u8", -(-n_seq // self.step))
         self.docs = take([("id", "<i8"), ("null", "u1"), ("start", "<u8")], n_docs)
-        flat = [self.alphabet[k:k + 1] for k in range(n_alpha)]
-        for a, b in rules:
-            flat.append(np.concatenate([flat[a], flat[b]]))
-        self.table = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
         self.at = np.cumsum(self.size) - self.size
+        self.table = np.zeros(int(self.size.sum()), np.uint32)
+        self.table[:n_alpha] = self.alphabet
+        # rules whose parts are expanded already, all at once, level by level
+        level = [0] * n_alpha
+        for a, b in rules.tolist():
+            level.append(1 + max(level[a], level[b]))
+        level = np.array(level)
+        for k in range(1, int(level.max(initial=0)) + 1):
+            here = np.flatnonzero(level == k)
+            a, b = rules[here - n_alpha].T
+            both = np.stack([a, b], axis=1).ravel()
+            to = np.repeat(self.at[here] - (np.cumsum(self.size[here]) - self.size[here]), self.size[here])
+            self.table[to + np.arange(len(to))] = self._expand(both)
 
     def _expand(self, seq: np.ndarray) -> np.ndarray:
         n = self.size[seq]
@@ -260,6 +388,16 @@ def decode_range(shard: Shard, start: int, stop: int) -> np.ndarray:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def _blocks(texts: pa.StringArray, names: pa.Array) -> Iterator[tuple[pa.StringArray, pa.Array]]:
+    """Consecutive whole texts of about ``BLOCK_BYTES``, with their names."""
+    upto, a = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while a < len(texts):
+        before = int(upto[a - 1]) if a else 0
+        z = min(int(np.searchsorted(upto, before + BLOCK_BYTES)) + 1, len(texts))
+        yield texts.slice(a, z - a), names.slice(a, z - a)
+        a = z
+
+
 def write(df: DataFrame, vocab_path: str, path: str, end_id: int = 2, id_col: str = "doc_id",
           text_col: str = "text") -> None:
     """Write the documents' ids as shards below ``path``, in ascending id order: partitions
@@ -267,30 +405,38 @@ def write(df: DataFrame, vocab_path: str, path: str, end_id: int = 2, id_col: st
     ship_package(df.sparkSession)
     src = df.select(F.col(id_col).cast("long").alias("doc_id"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
-    ranged = src.repartitionByRange(shuffle_partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
-    end = struct.pack("<I", end_id)
+    # the last key only deals equal rows out to several partitions
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("tie").asc()]
+    ranged = (src.withColumn("tie", F.monotonically_increasing_id())
+              .repartitionByRange(shuffle_partitions(df.sparkSession), *keys).sortWithinPartitions(*keys).drop("tie"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _ENCODERS.setdefault(vocab_path, None) or Encoder(vocab_path)
         _ENCODERS[vocab_path] = enc
-        part, shard, docs, parts, held = TaskContext.get().partitionId(), 0, [], [], 0
+        part, shard, docs, ids, counts = TaskContext.get().partitionId(), 0, [], [], []
 
         def flush():
+            whole = np.concatenate(ids)
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([held], pa.int64()),
-                 pa.array([pack(docs, parts)], pa.binary())], names=["part", "shard", "n_ids", "file"])
+                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(whole)], pa.int64()),
+                 pa.array([pack(docs, whole, np.concatenate(counts))], pa.binary())], names=["part", "shard", "n_ids", "file"])
 
+        held = 0
         for b in batches:
-            ids = iter(b.column(0).to_pylist())
-            for block in blocks(b.column(1).to_pylist()):
-                for raw in enc.block(block):
-                    docs.append(next(ids))
-                    parts.append(raw + end)
-                    held += len(parts[-1]) // 4
+            for texts, names in _blocks(b.column(1), b.column(0)):
+                found, n = enc.block(texts, end_id)
+                names, upto, done = names.to_pylist(), np.cumsum(n), 0
+                while done < len(names):
+                    begin = int(upto[done - 1]) if done else 0
+                    # the document that fills the shard is its last one
+                    last = min(int(np.searchsorted(upto, begin + SHARD_IDS - held)) + 1, len(names))
+                    docs += names[done:last]
+                    ids.append(found[begin:upto[last - 1]])
+                    counts.append(n[done:last])
+                    held, done = held + int(upto[last - 1]) - begin, last
                     if held >= SHARD_IDS:
                         yield flush()
-                        shard, docs, parts, held = shard + 1, [], [], 0
+                        shard, docs, ids, counts, held = shard + 1, [], [], [], 0
         if docs:
             yield flush()
 
