@@ -1,10 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network (operator 1), in numpy.
 
-A text is a sequence of words, seen through overlapping windows of ``WINDOW`` words, in
-whole texts of any length. Windows are scored in two passes: every ``STRIDE``-th first (the last
-one is filled up, so every word is in one), then, wherever such a window's log-odds reach ``NEAR``,
-all windows that overlap it by more than ``WINDOW - STRIDE`` words, so a passage is found at
-whatever offset it lies. Each word enters as the pair of
+A text is a sequence of words, seen through windows of ``WINDOW`` words. Scoring looks at the windows
+at all offsets of the whole text, however long (:meth:`Network.every`), and at the filled-up window at its
+end that learning cuts, too. Each word enters as the pair of
 
 * a word input: an embedding of the hashed lower-case word, and
 * a character input: the mean embedding of its hashed character n-grams, with marks
@@ -44,7 +42,6 @@ from fleetdw.llm.bpe import blocks
 from fleetdw.llm.common import ship_package
 
 WINDOW, STRIDE = 32, 28
-NEAR = -6.0  # log-odds from which on the windows around are scored, too
 HIDDEN = 8
 WORD_ROWS, CHAR_ROWS, WORD_DIM, CHAR_DIM = 1 << 14, 1 << 15, 8, 12
 NGRAMS = (3, 4, 5, 6, 7)
@@ -137,8 +134,15 @@ class Network:
         """(words, WORD_DIM + CHAR_DIM)"""
         if not len(rows.word):
             return np.zeros((0, WORD_DIM + CHAR_DIM), np.float32)
-        chars = np.add.reduceat(self.p["char"][rows.char], rows.start[:-1], axis=0)
-        return np.hstack([self.p["word"][rows.word], chars / np.diff(rows.start)[:, None].astype(np.float32)])
+        size = np.diff(rows.start)
+        longest = np.argsort(-size, kind="stable")
+        first, left = rows.start[longest], np.searchsorted(-size[longest], -np.arange(size.max()))
+        chars = np.zeros((len(size), CHAR_DIM), self.p["char"].dtype)
+        for k, n in enumerate(left.tolist()):  # the k-th n-gram of the words that have one
+            chars[:n] += self.p["char"][rows.char[first[:n] + k]]
+        mean = np.empty_like(chars)
+        mean[longest] = chars / size[longest, None].astype(np.float32)
+        return np.hstack([self.p["word"][rows.word], mean])
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """Both networks' input sums of each word: (words, 6 * HIDDEN)."""
@@ -195,6 +199,47 @@ class Network:
         odds = self.p["out"] @ pooled + self.p["bias"][0]
         return (odds, (a, pooled, runs)) if keep else odds
 
+    def every(self, gates: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
+        """Log-odds of the windows of ``numbers`` (no word is 0) at all offsets, as :meth:`forward` gives them.
+
+        Windows that start next to each other read neighbouring words at each step, so a step reads a
+        stretch of the text as it lies; of a state only its share in attention and in the result is kept."""
+        h2, h3 = 2 * HIDDEN, 3 * HIDDEN
+        att, out = np.split(self.p["att"], 2), np.split(self.p["out"], 2)
+        # a sigmoid is (1 + tanh(x / 2)) / 2; the halves are in the weights and in ``g``
+        weights = [np.vstack([0.5 * self.p[f"u{side}"].T, att[i][None], out[i][None]]) for i, side in enumerate("fb")]
+        odds = np.empty(len(numbers) - WINDOW + 1, np.float32)
+        for k in range(0, len(odds), WINDOWS_AT_ONCE):
+            n = min(WINDOWS_AT_ONCE, len(odds) - k)
+            total, both = np.zeros((WINDOW, 2, n), np.float32), np.empty((h3 + 2, n), np.float32)
+            zr, z, r, hu, shares = both[:h2], both[:HIDDEN], both[HIDDEN:h2], both[h2:h3], both[h3:]
+            for gate, w, order in zip(gates, weights, (range(WINDOW), range(WINDOW - 1, -1, -1)), strict=True):
+                g = np.ascontiguousarray(gate[numbers[k:k + n + WINDOW - 1]].T)
+                g[:h2] *= 0.5
+                h, before = np.zeros((HIDDEN, n), np.float32), None
+                for t in order:
+                    np.matmul(w, h, out=both)
+                    if before is not None:
+                        total[before] += shares
+                    before = t
+                    zr += g[:h2, t:t + n]
+                    np.tanh(zr, out=zr)
+                    zr += 1
+                    r *= hu
+                    r += g[h2:, t:t + n]
+                    np.tanh(r, out=r)  # the new state
+                    z *= 0.5
+                    h -= r
+                    h *= z
+                    h += r
+                total[before] += w[h3:] @ h
+            a = total[:, 0]
+            a -= a.max(axis=0)
+            np.exp(a, out=a)
+            odds[k:k + n] = np.einsum("tb,tb->b", a, total[:, 1]) / (a.sum(axis=0) + 1e-9)
+        odds += self.p["bias"][0]
+        return odds
+
     def backward(self, gates, at, saved, d_odds):
         """Gradients of the parameters above the words, and of ``gates``."""
         a, pooled, runs = saved
@@ -238,12 +283,15 @@ class Reader:
         self.number: dict[str, int] = {}
         self.tables = [self.net.halves(self.net.gates(self.net.inputs(Rows([], pad=True))))]  # number 0: no word
 
-    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+    def numbers(self, texts: list[str], in_order: bool = False) -> list[np.ndarray]:
+        """Word numbers of each text; ``in_order``: of the new words, by alphabet."""
         if len(self.number) > MEMO_WORDS:
             self.clear()
         cut = [t.split() for t in texts]
         number = self.number
-        fresh = sorted({w for ws in cut for w in ws if w not in number})
+        fresh = list(dict.fromkeys(w for ws in cut for w in ws if w not in number))
+        if in_order:
+            fresh.sort()
         number.update(zip(fresh, range(len(number) + 1, len(number) + len(fresh) + 1), strict=True))
         self.tables += [self.net.halves(self.net.gates(self.net.inputs(Rows(fresh[k:k + WORDS_AT_ONCE]))))
                         for k in range(0, len(fresh), WORDS_AT_ONCE)]
@@ -259,8 +307,8 @@ class Reader:
 
 
 def windows(numbers: np.ndarray, offset: int = 0) -> np.ndarray:
-    """Overlapping windows of a text, every ``STRIDE``-th from ``offset`` words before its begin
-    on, filled up with 0: (windows, WINDOW)."""
+    """Overlapping windows of a text to learn from, every ``STRIDE``-th from ``offset`` words before its
+    begin on, filled up with 0: (windows, WINDOW)."""
     n = max(1, -(-max(0, len(numbers) + offset - WINDOW) // STRIDE) + 1)
     full = np.zeros((n - 1) * STRIDE + WINDOW, np.int32)
     full[offset:offset + len(numbers)] = numbers
@@ -268,8 +316,8 @@ def windows(numbers: np.ndarray, offset: int = 0) -> np.ndarray:
 
 
 def between(numbers: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """The windows that start less than ``STRIDE`` words from those numbered ``near`` and that the
-    first pass has not scored."""
+    """The windows that start less than ``STRIDE`` words from those numbered ``near`` of :func:`windows`
+    and that are not among these."""
     last = len(numbers) - WINDOW
     if last <= 0 or not len(near):
         return np.zeros((0, WINDOW), np.int32)
@@ -293,7 +341,7 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
     """Learn from whole documents with one label each."""
     net, g = Network(seed), np.random.default_rng(seed)
     reader = Reader(net)
-    numbers = reader.numbers(texts)
+    numbers = reader.numbers(texts, in_order=True)
     y = np.asarray(labels, np.float32)
     rows = Rows.of(list(reader.number))
     del reader
@@ -351,32 +399,20 @@ def _adagrad(table, seen, at, grad, rate: float = 0.1):
 
 
 def score_texts(net: Network | None, reader: Reader | None, texts: list[str]) -> np.ndarray:
-    """The highest window of each text, as a probability."""
+    """The highest window of each text, of those at all offsets, as a probability."""
     if net is None:
         return np.zeros(len(texts))
     numbers = reader.numbers(texts)
-    per_doc = [windows(x) for x in numbers]
-    odds = window_odds(net, reader.gates, np.concatenate(per_doc))
-    starts = np.concatenate([[0], np.cumsum([len(w) for w in per_doc])[:-1]]).astype(np.int64)
-    highest = np.maximum.reduceat(odds, starts).astype(np.float64)
-    held, more, owner = 0, [], []
-
-    def second() -> None:
-        found = window_odds(net, reader.gates, np.concatenate(more))
-        np.maximum.at(highest, np.repeat(owner, [len(w) for w in more]), found.astype(np.float64))
-        more.clear()
-        owner.clear()
-
-    for doc in np.flatnonzero(highest >= NEAR):
-        here = odds[starts[doc]:starts[doc] + len(per_doc[doc])]
-        more.append(between(numbers[doc], np.flatnonzero(here >= NEAR)))
-        owner.append(doc)
-        held += len(more[-1])
-        if held >= 16 * WINDOWS_AT_ONCE:
-            second()
-            held = 0
-    if more:
-        second()
+    ends = np.concatenate([windows(x)[-1:] for x in numbers])  # the whole text, if it is short
+    highest = window_odds(net, reader.gates, ends).astype(np.float64)
+    long = [i for i, x in enumerate(numbers) if len(x) > WINDOW]
+    if long:
+        odds = net.every(reader.gates, np.concatenate([numbers[i] for i in long]))
+        size = np.array([len(numbers[i]) for i in long])
+        first = np.cumsum(size) - size
+        own = np.ravel([first, first + size - WINDOW + 1], "F")  # from there on, windows reach into the next text
+        best = np.maximum.reduceat(np.append(odds, np.float32(-np.inf)), own)[::2]
+        highest[long] = np.maximum(highest[long], best)
     return 1 / (1 + np.exp(-highest))
 
 

@@ -90,6 +90,25 @@ def test_a_passage_counts_at_any_offset(net):
         assert (s >= 0.5) == (best >= 0.5) and (abs(s - best) < 1e-5 or best < 0.1)
 
 
+def test_windows_at_all_offsets_are_scored():
+    """Networks that were not trained give any order of windows: none may be passed over."""
+    g = random.Random(5)
+    for seed in range(4):
+        net = X.Network(seed)
+        net.p["out"] *= 20
+        net.p["bias"] -= 15  # most windows, not all, far below any likely one
+        reader = X.Reader(net)
+        texts = [" ".join(g.choice("abcdefghijklmnop") * 3 for _ in range(n)) for n in (31, 32, 33, 61, 90, 0, 300, 47, 5000)]
+        got = X.score_texts(net, reader, texts)
+        for t, s in zip(texts, got, strict=True):
+            x = reader.numbers([t])[0]
+            odds = X.window_odds(net, reader.gates, X.windows(x)[-1:]).max()
+            if len(x) > X.WINDOW:
+                every = np.lib.stride_tricks.sliding_window_view(x, X.WINDOW)
+                odds = max(odds, X.window_odds(net, reader.gates, every).max())
+            assert s == pytest.approx(1 / (1 + np.exp(-float(odds))), rel=1e-3)
+
+
 def test_second_pass_windows():
     x = np.arange(1, 201, dtype=np.int32)
     for near in ([], [0], [3], [0, 1, 7], [7]):
