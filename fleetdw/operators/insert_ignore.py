@@ -5,11 +5,12 @@ when its key already exists in the target *or* was inserted earlier by the same
 statement; rows with a NULL key never conflict. Parquet has no unique index, so
 the operator is written as two DataFrame steps:
 
-1. in-batch dedup: one row per key, chosen by a deterministic tie-break. The keys that
-   repeat are found first, by a hash aggregation of the key columns alone; all other
-   rows pass through untouched, neither sorted nor shuffled. Rows of repeated keys are
-   reduced by ``min_by`` over a struct, not by a window, so map-side partial
-   aggregation collapses a hot key before the shuffle;
+1. in-batch dedup: one row per key, chosen by a deterministic tie-break. The 64-bit
+   hashes that repeat are found first, by a hash aggregation of 8 bytes a key; all other
+   rows pass through untouched, neither sorted nor shuffled. Rows whose hash repeats are
+   reduced per key (keys that only share a hash stay apart) by ``min`` over a struct, not
+   by a window, so map-side partial aggregation collapses a hot key before the shuffle.
+   If too many hashes repeat to be broadcast, all rows take that way: one shuffle;
 2. anti join against the target's keys.
 """
 
@@ -25,6 +26,7 @@ from fleetdw.session import fresh_scratch
 
 _ROW = "__row"
 _BREAK = "__rows"
+_HASH = "__hash"
 
 
 def _order_struct(tie_break: Sequence[str]) -> Column:
@@ -40,13 +42,17 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """The non-NULL keys that more than one row has, written, and how many they are. Keys are
-    counted on the map side first, so a hot key costs one row a task."""
-    spark = rows.sparkSession
-    found = (rows.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_BREAK))
-             .where(F.col(_BREAK) > 1).select(*keys))
-    path = fresh_scratch(spark, "repeated-keys")
+def _key_hash(keys: Sequence[str]) -> Column:
+    """64-bit hash of a key; NULL, which joins nothing, if a part is NULL."""
+    return F.when(~_any_null(keys), F.xxhash64(*keys))
+
+
+def repeated_hashes(hashes: DataFrame, by: Sequence[str]) -> tuple[DataFrame, int]:
+    """The values of the columns ``by`` that more than one row has, written, and how many they are. They
+    are counted on the map side first, so a hot key costs one row a task."""
+    spark = hashes.sparkSession
+    found = hashes.groupBy(*by).agg(F.count(F.lit(1)).alias(_BREAK)).where(F.col(_BREAK) > 1).select(*by)
+    path = fresh_scratch(spark, "repeated-hashes")
     seen = Observation()
     found.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return spark.read.schema(found.schema).parquet(path), int(seen.get["n"])
@@ -60,17 +66,27 @@ def dedup_batch(batch: DataFrame, keys: Sequence[str], tie_break: Sequence[str]
     ``probe``: a cheaper frame that has at least one row for each row of ``batch`` with the same
     key (e.g. the table the batch was derived from), to find repeated keys in.
     """
-    repeated, n = repeated_keys(batch if probe is None else probe, keys)
+    cols = batch.columns
+    typed = [F.col(k).cast(batch.schema[k].dataType).alias(k) for k in keys]  # equal keys hash alike
+    known = (batch if probe is None else probe).where(~_any_null(keys)).select(*typed)
+    repeated, n = repeated_hashes(known.select(_key_hash(keys).alias(_HASH)), [_HASH])
     if not n:
         return batch
-    if n <= max_broadcast_rows:
-        repeated = F.broadcast(repeated)
-    cols = batch.columns
-    picker = F.min_by if keep == "first" else F.max_by
-    several = (batch.join(repeated, list(keys), "left_semi").groupBy(*keys)
-               .agg(picker(F.struct(*[F.col(c) for c in cols]), _order_struct(tie_break)).alias(_ROW))
-               .select(f"{_ROW}.*"))
-    return batch.join(repeated, list(keys), "left_anti").select(*cols).unionByName(several)
+
+    def reduced(rows: DataFrame) -> DataFrame:
+        # the order holds the values of its columns, so a row moves once: order, then what it lacks
+        rest = [c for c in cols if c not in keys and c not in tie_break]
+        order = _order_struct(tie_break)
+        row = F.struct(order.alias("o"), F.struct(F.lit(0).alias("z"), *[F.col(c) for c in rest]).alias("r"))
+        best = rows.groupBy(*keys).agg((F.min if keep == "first" else F.max)(row).alias(_ROW))
+        at = {**{c: F.col(f"{_ROW}.o.v{i}") for i, c in enumerate(tie_break)}, **{c: F.col(f"{_ROW}.r.{c}") for c in rest}}
+        return best.select(*[F.col(c) if c in keys else at[c].alias(c) for c in cols])
+
+    if n > max_broadcast_rows:
+        return batch.where(_any_null(keys)).unionByName(reduced(batch.where(~_any_null(keys))))
+    hashed = batch.withColumn(_HASH, _key_hash(keys))
+    several = reduced(hashed.join(F.broadcast(repeated), _HASH, "left_semi"))
+    return hashed.join(F.broadcast(repeated), _HASH, "left_anti").select(*cols).unionByName(several)
 
 
 def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],

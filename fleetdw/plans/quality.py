@@ -16,9 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetdw.operators.insert_ignore import repeated_hashes
 from fleetdw.schemas import AS_OF, DW_WIDTHS, SYS_A, SYS_B, SYS_C, SYS_D
 
 SYS = "id_sistema_origem"
+#: Repeated hashes up to which they are broadcast.
+SUSPECTS = 1_000_000
 
 
 def _c(n: str) -> Column:
@@ -151,8 +154,10 @@ def repeated_values(tables: Sequence[tuple[DataFrame, dict[str, Sequence[str]]]]
     """Key values that more than one row has, per rule: (rule, n_violations). ``tables``: frames
     with their rules, each the columns of a key (NULL keys ignored).
 
-    A row gives one (rule, key) pair per rule, so a table is read once for all its keys;
-    pairs are counted before anything moves, so a hot key is one row a task."""
+    A row gives one (rule, key) pair per rule, so a table is read once for all its keys. Pairs are
+    counted by a 64-bit hash of the key first, before anything moves, so a task holds and
+    sends a few bytes a key and a hot key is one row; only pairs whose hash repeats are counted
+    by the key itself."""
     names, parts = [], []
     for df, rules in tables:
         pairs = []
@@ -162,7 +167,11 @@ def repeated_values(tables: Sequence[tuple[DataFrame, dict[str, Sequence[str]]]]
             pairs.append(F.when(whole, F.struct(F.lit(len(names)).alias("rule_no"), F.array(*key).alias("k"))))
             names.append(name)
         parts.append(df.select(F.explode(F.array(*pairs)).alias("p")).where(_c("p").isNotNull()).select("p.*"))
-    counted = _union(parts).groupBy("rule_no", "k").agg(F.count(F.lit(1)).alias("n"))
+    pairs = _union(parts).withColumn("h", F.xxhash64("k"))
+    suspect, n = repeated_hashes(pairs, ["rule_no", "h"])
+    if n <= SUSPECTS:  # else nearly all pairs would be looked up
+        pairs = pairs.join(F.broadcast(suspect), ["rule_no", "h"], "left_semi")
+    counted = pairs.groupBy("rule_no", "k").agg(F.count(F.lit(1)).alias("n"))
     bad = counted.where(_c("n") > 1).groupBy("rule_no").agg(F.count(F.lit(1)).alias("n"))
     return _by_rule(tables[0][0], names, bad)
 

@@ -142,3 +142,17 @@ def test_every_reference_and_key_names_columns_of_the_test_data(spark):
     for p, children in C.REFERENCES.items():
         for child, refs in children.items():
             assert set(refs) <= set(sources[p][child].columns) and set(refs.values()) <= set(C.KEYS[p])
+
+
+def test_repeated_values_sends_eight_bytes_a_key(spark, monkeypatch):
+    from fleetdw.plans import quality as Q
+
+    seen, was = [], Q.repeated_hashes
+    monkeypatch.setattr(Q, "repeated_hashes", lambda rows, by: seen.append([rows.schema[c].dataType.simpleString() for c in by])
+                        or was(rows, by))
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "y"), (None, None), (None, None), (3, "y")], "id int, a string")
+    for limit in (0, 1_000_000):
+        monkeypatch.setattr(Q, "SUSPECTS", limit)
+        out = Q.repeated_values([(df, {"pk": ["id"], "a": ["a"], "both": ["id", "a"]})])
+        assert sorted(map(tuple, out.collect())) == [("a", 1), ("both", 0), ("pk", 1)]
+    assert seen == [["int", "bigint"]] * 2

@@ -1,3 +1,4 @@
+import importlib
 import random
 
 from fleetdw.operators.insert_ignore import dedup_batch, insert_ignore, skipped_by_reason, upsert
@@ -80,3 +81,19 @@ def test_broadcast_is_bounded_by_rows_and_bytes(spark):
     hinted = lambda df, n: "broadcast" in checked_broadcast(df, n)._jdf.queryExecution().logical().toString()
     assert hinted(narrow, 1_000_000) and not hinted(narrow, 1_000_001) and not hinted(narrow, None)
     assert hinted(wide, 300_000) and not hinted(wide, 900_000)
+
+
+def test_dedup_batch_finds_repeated_keys_by_eight_bytes_each(spark, monkeypatch):
+    """What is looked for repeats in is a hash, not the key; the rows are those of either way."""
+    I = importlib.import_module("fleetdw.operators.insert_ignore")  # noqa: N806 - the package names a function so
+    seen, was = [], I.repeated_hashes
+    monkeypatch.setattr(I, "repeated_hashes", lambda rows, by: seen.append(rows.schema) or was(rows, by))
+    batch = spark.createDataFrame([("a", 1, None, "x"), ("a", 1, 2, "y"), ("a", 1, 1, "z"), ("b", 1, 5, None), (None, 1, 3, "n"),
+                                   (None, 1, 3, "n"), ("c", 2, None, "q"), ("c", 2, None, "q")], "k string, j int, tb int, v string")
+    for keep, a in (("first", ("a", 1, 1, "z")), ("last", ("a", 1, None, "x"))):
+        want = sorted([a, ("b", 1, 5, None), (None, 1, 3, "n"), (None, 1, 3, "n"), ("c", 2, None, "q")], key=str)
+        for limit in (0, 1_000_000):  # too many repeated hashes for a broadcast, and few
+            got = dedup_batch(batch, ["k", "j"], ["tb"], keep=keep, probe=batch, max_broadcast_rows=limit)
+            assert got.columns == batch.columns
+            assert sorted(map(tuple, got.collect()), key=str) == want
+    assert {tuple(f.dataType.simpleString() for f in s.fields) for s in seen} == {("bigint",)}
