@@ -9,11 +9,12 @@ order, one stack entry per symbol of the current path) computes the last token o
 every shared prefix once. A word's ids are read off by walking back from its
 leaf, whose symbol carries the end-of-word mark.
 
-Texts are cut at white space first: no token of these vocabularies spans it. Each
-distinct piece goes through the vocabulary's own normaliser and splitter; only
-the merges are computed here. Memory per task is bounded: texts are taken in
-blocks of ``BLOCK_CHARS`` characters, and the memo of pieces keeps two generations
-of ``MEMO_CHARS`` characters each.
+Texts are cut at white space first: no token of these vocabularies spans it. Pieces of Latin
+letters with ASCII signs behind them (:class:`Plain`) are put together from the letters, in lower
+case, and the signs, so pieces that differ in these only are encoded once; every other distinct piece
+goes through the vocabulary's own normaliser and splitter. Only the merges are computed here. Memory
+per task is bounded: texts are taken in blocks of ``BLOCK_CHARS`` characters, and the memo of pieces
+keeps two generations of ``MEMO_CHARS`` characters each.
 
 Cases: a null text counts as empty; an empty text has no ids and decodes to the
 empty string; rows are never merged, so repeated rows give repeated results; an
@@ -27,7 +28,8 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+import string
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +45,28 @@ ODD_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _PLAIN_SPACE = re.compile("[ \t\n\r\x0b\x0c\x85\xa0]+")
 
 
+class Plain:
+    """What a normaliser and splitter make of Latin letters and ASCII signs, asked letter by letter: ``table``
+    has it. Letters are those that stay one word whatever their case; a run of them is a word, and so is a
+    run of signs behind it. ``cut`` matches such pieces; it is None where a vocabulary does otherwise."""
+
+    def __init__(self, words: Callable[[str], list[str]], special: Iterable[str]):
+        made = {c: words(c) for c in map(chr, range(0x180)) if c.isalpha()}
+        letters = "".join(c for c, ws in made.items() if len(ws) == 1 and made.get(c.lower()) == ws)
+        signs = string.punctuation
+        self.table = {ord(c): made[c][0] for c in letters}
+        self.cut = re.compile(f"([{re.escape(letters)}]*)([{re.escape(signs)}]*)") if letters else None
+        inside = re.compile(f"[{re.escape(signs)}][{re.escape(letters)}]") if letters else None
+        asked = [(x, y) for x in ("", letters, letters[::-1]) for y in ("", signs, signs[::-1], *signs) if x or y]
+        if (not letters or not all(inside.search(t) for t in special)  # else, one may be part of such a piece
+                or any(words(x + y) != [w for w in (x.translate(self.table), y) if w] for x, y in asked)):
+            self.cut = None
+
+    def words(self, runs: list[str]) -> list[str]:
+        """The word of each run of letters or signs."""
+        return " ".join(runs).translate(self.table).split(" ") if runs else []
+
+
 class State:
     """The longest tail of a path that begins some token; ``tokens`` end there."""
 
@@ -86,6 +110,7 @@ class Merges:
         tok = Tokenizer.from_file(path)
         self.normalise = tok.normalizer.normalize_str if tok.normalizer else (lambda s: s)
         self.split = tok.pre_tokenizer.pre_tokenize_str
+        self.plain = Plain(lambda x: [w for w, _ in self.split(self.normalise(x))], self.special)
         self._ok: dict[tuple[int, int], bool] = {}
 
     def neighbours(self, a: int, b: int) -> bool:
@@ -117,7 +142,7 @@ class Merges:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Ids of distinct, non-empty words (already normalised and split)."""
-        neighbours, step, ending = self.neighbours, self.step, self.ending
+        neighbours, known, step, ending = self.neighbours, self._ok.get, self.step, self.ending
         root = self.root
         stack: list[tuple[int, int]] = []  # per symbol of the path: last token, its length
         states = [root]  # per symbol of the path: which tokens may still grow
@@ -128,16 +153,25 @@ class Merges:
                 keep += 1
             del stack[keep:]
             del states[keep + 1:]
-            for i in range(len(stack) + 1, n):
-                c, state = word[i - 1], states[-1]
-                state = state.next.get(c) or step(state, c)
+            state, i = states[-1], keep
+            for c in word[keep:-1]:
+                i += 1
+                try:
+                    state = state.next[c]
+                except KeyError:
+                    state = step(state, c)
                 states.append(state)
-                for t, size in state.tokens:
-                    if size == i or neighbours(stack[i - size - 1][0], t):
-                        stack.append((t, size))
+                for last in state.tokens:
+                    t, size = last
+                    if size == i:
+                        break
+                    pair = stack[i - size - 1][0], t
+                    ok = known(pair)
+                    if neighbours(*pair) if ok is None else ok:
                         break
                 else:
                     raise ValueError(f"no token ends {word[:i]!r}")  # the alphabet holds every byte
+                stack.append(last)
             state, c = states[n - 1], word[-1]
             for t, size in state.final.get(c) or ending(state, c):
                 if size == n or neighbours(stack[n - size - 1][0], t):
@@ -205,7 +239,7 @@ class Encoder:
         and split in one call, joined by spaces, which no word spans."""
         m, out, plain = self.merges, {}, []
         for p in pieces:
-            if "<|" in p or any(c.isspace() for c in p):
+            if "<|" in p or p.split() != [p]:
                 out[p] = self._words(p)
             else:
                 plain.append(p)
@@ -224,33 +258,64 @@ class Encoder:
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        words_of = self._words_of(pieces)
-        ids_of = self.merges.encode_words({w for ws in words_of.values() for w in ws if isinstance(w, str)})
+        """Put ``pieces``, and the runs of letters and signs that some are made of, into the memo."""
+        m, runs, others = self.merges, {}, []
+        cut = m.plain.cut.fullmatch if m.plain.cut else lambda p: None
+        for p in pieces:
+            found = cut(p)
+            if found:
+                letters, signs = found.groups()
+                runs[p] = letters.lower(), signs
+            else:
+                others.append(p)
+        fresh = list(self._unknown({x for both in runs.values() for x in both if x}))
+        words_of = dict(zip(fresh, m.plain.words(fresh), strict=True))
+        others_of = self._words_of(others)
+        ids_of = m.encode_words({*words_of.values(), *(w for ws in others_of.values() for w in ws if isinstance(w, str))})
+        for p, w in words_of.items():
+            self._keep(p, ids_of[w])
+        for p, ws in others_of.items():
+            self._keep(p, [i for w in ws for i in ((w,) if isinstance(w, int) else ids_of[w])])
+        memo = self.memo
+        for p, (letters, signs) in runs.items():
+            if p not in memo:
+                if letters and signs:
+                    (a, x), (b, y) = memo[letters], memo[signs]
+                    memo[p] = a + b, f"{x} {y}"
+                else:
+                    memo[p] = memo[letters or signs]
+                self.held += 12 + len(p)
+
+    def _keep(self, piece: str, ids: list[int]) -> None:
         text = self.merges.text
-        for p, ws in words_of.items():
-            ids = [i for w in ws for i in ((w,) if isinstance(w, int) else ids_of[w])]
-            self.memo[p] = (array("I", ids).tobytes(), " ".join([text[i] for i in ids]))
+        self.memo[piece] = array("I", ids).tobytes(), " ".join([text[i] for i in ids])
+        self.held += 12 + len(piece)
+
+    def _unknown(self, pieces: set[str]) -> set[str]:
+        """Those of ``pieces`` that the memo lacks; what the older generation has is taken from there."""
+        memo, older = self.memo, self.older
+        new = {p for p in pieces if p not in memo}
+        for p in new & older.keys():
+            memo[p] = older[p]
             self.held += 12 + len(p)
+            new.discard(p)
+        return new
 
     def block(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian 32-bit integers, decoded text) of each text."""
         if self.held > MEMO_CHARS:  # the older generation goes
             self.older, self.memo, self.held = self.memo, {}, 0
         cut = [self.pieces(t) for t in texts]
-        memo, older = self.memo, self.older
         new = set()
         for ps in cut:
             new.update(ps)
-        new = {p for p in new if p not in memo}
-        for p in new & older.keys():
-            memo[p] = older[p]
-            self.held += 12 + len(p)
-            new.discard(p)
+        new = self._unknown(new)
         if new:
             self.learn(new)
+        get = self.memo.__getitem__
         for ps in cut:
-            found = [memo[p] for p in ps]
-            yield b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])
+            raws, decoded = zip(*map(get, ps), strict=True) if ps else ((), ())
+            yield b"".join(raws), " ".join(filter(None, decoded))
 
 
 _ENCODERS: dict[str, Encoder] = {}

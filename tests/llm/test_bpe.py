@@ -58,3 +58,34 @@ def test_real_outputs(spark, library):
     row = bpe.encode_decode(df, PATH, keep_ids=True).first()
     assert row["ids"] == library.encode("Hello there, World", add_special_tokens=False).ids
     assert row["decoded"] == library.decode(row["ids"], skip_special_tokens=False)
+
+
+def test_letters_and_signs_are_encoded_once(library, monkeypatch):
+    enc, asked = bpe.Encoder(PATH), []
+    once = enc.merges.encode_words
+    monkeypatch.setattr(enc.merges, "encode_words", lambda words: once(asked.extend(words) or asked[-len(words):]))
+    texts = ["Ración. ración RACIÓN!! ración", "(ración) Ración?! ??? İx ŉſ ªº µ ração.ração it's IT's 'S 's' x'", "ración, ración."]
+    for text in texts:
+        (raw, decoded), = enc.block([text])
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(raw, "<u4").tolist() == ids and decoded == library.decode(ids, skip_special_tokens=False)
+    assert asked.count("raciÃ³n") == 2  # of letters and signs in any case, and within the others, as "(ración)"
+
+
+def test_pieces_of_letters_and_signs_match_the_library(library):
+    g = random.Random(2)
+    letters = [chr(c) for c in range(0x180) if chr(c).isalpha()]
+    texts = [" ".join("".join(g.choices(letters, k=g.randint(0, 9))) + "".join(g.choices("'.,!<|>/\"_-$", k=g.randint(0, 4)))
+                      for _ in range(20)) for _ in range(200)]
+    for text, (raw, decoded) in zip(texts, bpe.encoder(PATH).block(texts), strict=True):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(raw, "<u4").tolist() == ids, text
+        assert decoded == library.decode(ids, skip_special_tokens=False), text
+
+
+def test_other_splitters_are_asked_for_every_piece():
+    assert bpe.Plain(lambda x: list(x.lower()), ()).cut is None  # a word a letter
+    m = bpe.encoder(PATH).merges
+    words = lambda x: [w for w, _ in m.split(m.normalise(x))]
+    assert bpe.Plain(words, ["inside"]).cut is None  # a special token that may be part of a piece
+    assert bpe.Plain(words, m.special).cut
