@@ -147,3 +147,16 @@ def test_labels_of_held_out_rows_are_not_read(spark, corpus):
     assert a == b
     assert all(h == (zlib.crc32(str(d).encode()) % 5 == 0) and p == (s >= 0.5) for d, h, s, p in a)
     assert X.fit(docs, lab.where("toxic = 0")) is None
+
+
+@pytest.mark.filterwarnings("error")
+def test_all_offsets_need_no_tanh_and_bear_extreme_sums(net, monkeypatch):
+    g = np.random.default_rng(5)
+    for scale in (1, 30, 1000):
+        gates = net.halves((g.standard_normal((50, 6 * X.HIDDEN)) * scale).astype(np.float32))
+        numbers = g.integers(1, 50, 300)
+        want = X.window_odds(net, gates, np.lib.stride_tricks.sliding_window_view(numbers, X.WINDOW))
+        with monkeypatch.context() as m:
+            m.setattr(X.np, "tanh", None)
+            odds = net.every(gates, numbers)
+        assert np.allclose(odds, want, rtol=1e-3, atol=1e-3)
