@@ -60,6 +60,7 @@ INDEX_STEP = 256
 MEMO_BYTES = 256_000_000
 KEY_BYTES = 150  # of Python for an entry, beside its characters
 BLOCK_BYTES = 16_000_000
+TOGETHER = 128  # parts in one text for the library, which takes longer for each of them in long texts
 MAGIC = b"RPR1"
 #: Texts to encode whole: a blank after white space; white space besides blank, tab and line
 #: ends, and what Python takes for it.
@@ -189,7 +190,7 @@ class Encoder:
             self.parts.add(open_end, *self._alone([" " + w for w in open_end]))
         closed = [w for w in words if w[-1:] not in ("", "\t", "\r", "\n")]
         if closed:
-            found = self.tok.encode_batch_fast([" " + " ".join(closed[k:k + 2048]) for k in range(0, len(closed), 2048)],
+            found = self.tok.encode_batch_fast([" " + " ".join(closed[k:k + TOGETHER]) for k in range(0, len(closed), TOGETHER)],
                                                add_special_tokens=False)
             ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
             own = pc.binary_length(pa.array(closed, pa.string())).to_numpy().astype(np.int64) + 1

@@ -111,3 +111,14 @@ def test_round_trip_of_documents(documents, odd_docs, no_docs, monkeypatch):
             want.append((r["doc_id"], len(x), zlib.crc32(struct.pack(f"<{len(x)}I", *x))))
         assert sorted(((r[0], r[2], r[3]) for r in got), key=str) == sorted(want, key=str)
     assert T.round_trip(no_docs, PATH).collect() == []
+
+
+def test_new_parts_go_to_the_library_in_short_texts(monkeypatch):
+    lib, enc, asked = Tokenizer.from_file(PATH), T.Encoder(PATH), []
+    once = enc.tok
+    monkeypatch.setattr(enc, "tok", type("Library", (), {
+        "encode_batch_fast": lambda self, texts, **more: asked.extend(texts) or once.encode_batch_fast(texts, **more)})())
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(1000)]
+    text = " ".join(words)
+    assert encoded(enc, [text]) == [lib.encode(text, add_special_tokens=False).ids]
+    assert max(t.count(" ") for t in asked) <= 128
