@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetdw.llm.common import ship_package
+from fleetdw.llm.common import bound_batches, ship_package
 
 WORD_END = "</w>"
 BLOCK_CHARS = 2_000_000
@@ -351,6 +351,7 @@ def encode_decode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_c
     (array of int) and ``decoded``.
     """
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if keep_ids:

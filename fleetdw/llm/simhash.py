@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from fleetdw.llm.common import join_by_key, materialise, ship_package
+from fleetdw.llm.common import bound_batches, join_by_key, materialise, ship_package
 from fleetdw.llm.components import connected_components
 
 SEED = 42
@@ -65,6 +65,7 @@ def fingerprint(text: str | None, size: int) -> int:
 def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint's bits as a signed long."""
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -79,6 +80,7 @@ def with_fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -
     """(row, doc_id, fp): every row of ``df`` as one struct, so that its columns may have any
     names, its id and its fingerprint's bits as a signed long."""
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     at = df.columns.index(text_col)
     src = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"))
     schema = StructType([*src.schema.fields, StructField("fp", LongType())])
@@ -180,6 +182,17 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = groups(rows.select("doc_id", "fp"), max_bits)
     # the fingerprints that hold their component's smallest id: mostly one a component
     first = named.where(F.col("low").eqNullSafe(F.col("component_id"))).select("fp", "low", "root")
-    held = rows.join(first, (rows["fp"] == first["fp"]) & F.col("doc_id").eqNullSafe(F.col("low"))).select("row", "root")
+
+    def held(rows: DataFrame, first: DataFrame) -> DataFrame:
+        """The short side is hashed, so whole rows are moved once and never sorted."""
+        return rows.join(first.hint("shuffle_hash"),
+                         (rows["fp"] == first["fp"]) & rows["doc_id"].eqNullSafe(first["low"])).drop("fp", "low")
+
+    # most components have one such row, which is known without its other columns
+    sizes = materialise(held(rows.select("doc_id", "fp"), first).groupBy("root").agg(F.count(F.lit(1)).alias("n")),
+                        "simhash-held")
+    one = held(rows, first.join(sizes.where("n = 1"), "root").select("fp", "low", "root"))
+    several = held(rows, first.join(sizes.where("n > 1"), "root").select("fp", "low", "root"))
     ordered = F.struct(*[F.col("row")[c] for c in (id_col, *(c for c in df.columns if c != id_col))])
-    return held.groupBy("root").agg(F.min_by("row", ordered).alias("row")).select("row.*")
+    least = several.groupBy("root").agg(F.min_by("row", ordered).alias("row"))
+    return one.select("row.*").unionByName(least.select("row.*"))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetdw.llm.bpe import blocks
-from fleetdw.llm.common import ship_package
+from fleetdw.llm.common import bound_batches, ship_package
 
 WINDOW, STRIDE = 32, 28
 HIDDEN = 8
@@ -445,6 +445,7 @@ def _scorer(df: DataFrame, net: Network | None):
     """A function from texts to scores, for Python workers."""
     spark = df.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     sent = spark.sparkContext.broadcast(None if net is None else net.p)  # a fixed size
 
     def scorer():

@@ -1,7 +1,8 @@
 import public_tokenizers
+import pyarrow as pa
 
 import corpus_pipeline as P
-from fleetdw.llm import bpe, simhash
+from fleetdw.llm import bpe, common, simhash
 
 
 def test_stages_and_run(spark, sf_dir, documents):
@@ -56,3 +57,29 @@ def test_empty_documents(spark, sf_dir, documents):
     docs = documents.where("1 = 0")
     for _, stage in P.STAGES:
         assert stage(spark, docs, sf_dir).collect() == []
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    made = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat('word and more ', 1000) as text")  # 28 MB
+    bpe.encode_decode(made, public_tokenizers.path("word_bpe_49k.json"))  # sets the bound
+    sizes = made.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in bs), "n long")
+    assert max(r["n"] for r in sizes.collect()) < 2 * common.BATCH_BYTES
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    common.bound_batches(spark)  # what the session says stays
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_near_dedup_moves_whole_rows_once_and_sorts_none(spark, tmp_path):
+    made = spark.range(3000).selectExpr("id as doc_id", "md5(string(id)) as text", "repeat(md5(string(id)), 20) as more")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = simhash.representatives(made)
+        assert out.count() == 3000
+        out.write.parquet(f"{tmp_path}/out")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "ShuffledHashJoin" in plan
+    assert not [x for x in plan.splitlines() if "SortMergeJoin" in x and "doc_id" in x]
