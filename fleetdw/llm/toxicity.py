@@ -32,9 +32,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,7 @@ SAMPLE, SAMPLE_CHARS, SEED = 2000, 20_000, 7
 EPOCHS, STEPS, BATCH = 4, 400, 64  # at least so many passes and updates
 MEMO_WORDS = 150_000
 WINDOWS_AT_ONCE = 2048
+OFFSETS_AT_ONCE = 3072
 WORDS_AT_ONCE = 1 << 13
 BLOCK_CHARS = 2_000_000
 EDGE = "\"'`.,;:!?()[]{}<>|*&%$#@~^_=+-/\\"
@@ -67,24 +70,28 @@ class Rows:
     def __init__(self, pieces: list[str], pad: bool = False):
         marked = [f"\x02{p.lower().strip(EDGE) or p}\x03".encode() for p in pieces]
         size = np.fromiter(map(len, marked), np.int64, len(marked))
-        self.word = np.fromiter((zlib.crc32(m) % (WORD_ROWS - 1) + 1 for m in marked), np.int64, len(marked))
+        self.word = np.fromiter(map(zlib.crc32, marked), np.int64, len(marked)) % (WORD_ROWS - 1) + 1
         per_n = [np.maximum(size - n + 1, 0) for n in NGRAMS]  # every word has a 3-gram
         counts = np.sum(per_n, axis=0, dtype=np.int64) if len(size) else size
         self.start = np.concatenate([[0], np.cumsum(counts)])
         self.char = np.zeros(self.start[-1], np.uint16)
         if len(marked):
             letters = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
-            owner = np.repeat(np.arange(len(size)), size)
-            at = np.arange(len(letters)) - np.repeat(np.cumsum(size) - size, size)
+            left = np.repeat(np.cumsum(size), size) - np.arange(len(letters))  # letters from there to the word's end
             h, factor, done = np.zeros(len(letters), np.uint32), 1, self.start[:-1].copy()
             for k in range(max(NGRAMS)):  # hash of the n letters from each place on, modulo 2 ** 32
                 h[:len(letters) - k] += letters[k:] * np.uint32(factor)
                 factor = factor * 0x01000193 % (1 << 32)
                 if k + 1 in NGRAMS:
-                    fits = np.flatnonzero(at + k + 1 <= size[owner])
-                    mixed = (h[fits] ^ np.uint32(k)) * np.uint32(0x9E3779B1)
-                    self.char[done[owner[fits]] + at[fits]] = (mixed >> np.uint32(8)) % (CHAR_ROWS - 1) + 1
-                    done += per_n[NGRAMS.index(k + 1)]
+                    own = per_n[NGRAMS.index(k + 1)]
+                    mixed = h[left > k]  # of each word, the first ``own`` places
+                    mixed ^= np.uint32(k)
+                    mixed *= np.uint32(0x9E3779B1)
+                    mixed >>= np.uint32(8)
+                    mixed -= mixed // np.uint32(CHAR_ROWS - 1) * np.uint32(CHAR_ROWS - 1)  # faster than numpy's %
+                    mixed += np.uint32(1)
+                    self.char[np.arange(len(mixed)) + np.repeat(done - (np.cumsum(own) - own), own)] = mixed
+                    done += own
         if pad:  # number 0: no word
             self.word = np.concatenate([[0], self.word])
             self.char = np.concatenate([np.zeros(1, np.uint16), self.char])
@@ -137,12 +144,13 @@ class Network:
         size = np.diff(rows.start)
         longest = np.argsort(-size, kind="stable")
         first, left = rows.start[longest], np.searchsorted(-size[longest], -np.arange(size.max()))
-        chars = np.zeros((len(size), CHAR_DIM), self.p["char"].dtype)
-        for k, n in enumerate(left.tolist()):  # the k-th n-gram of the words that have one
-            chars[:n] += self.p["char"][rows.char[first[:n] + k]]
+        chars, grams = np.zeros((len(size), CHAR_DIM), self.p["char"].dtype), rows.char.astype(np.intp)
+        part = np.empty_like(chars)
+        for k, n in enumerate(left.tolist()):  # the k-th n-gram of the words that have one; "clip", as "raise" copies
+            chars[:n] += self.p["char"].take(grams.take(first[:n] + k), axis=0, out=part[:n], mode="clip")
         mean = np.empty_like(chars)
         mean[longest] = chars / size[longest, None].astype(np.float32)
-        return np.hstack([self.p["word"][rows.word], mean])
+        return np.hstack([self.p["word"].take(rows.word, axis=0), mean])
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """Both networks' input sums of each word: (words, 6 * HIDDEN)."""
@@ -199,7 +207,7 @@ class Network:
         odds = self.p["out"] @ pooled + self.p["bias"][0]
         return (odds, (a, pooled, runs)) if keep else odds
 
-    @np.errstate(over="ignore")  # what is divided by an infinite exp(x) is 0, as it should be
+    @np.errstate(over="ignore")  # what is divided by an infinite exp2(x) is 0, as it should be
     def every(self, gates: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
         """Log-odds of the windows of ``numbers`` (no word is 0) at all offsets, as :meth:`forward` gives them.
 
@@ -207,37 +215,41 @@ class Network:
         stretch of the text as it lies; of a state only its share in attention and in the result is kept."""
         h2, h3 = 2 * HIDDEN, 3 * HIDDEN
         att, out = np.split(self.p["att"], 2), np.split(self.p["out"], 2)
-        # a sigmoid is 1 / (1 + exp(-x)) and tanh(x) is 1 - 2 / (1 + exp(2 * x)), as numpy's exp takes half the
-        # time of its tanh; the factors of x are in the weights and in ``g``
-        factor = np.repeat(np.array([-1, 2], np.float32), [h2, HIDDEN])[:, None]
+        # a sigmoid is 1 / (1 + exp(-x)) and tanh(x) is 1 - 2 / (1 + exp(2 * x)), and exp(x) is exp2(x * log2(e)), as
+        # numpy's exp2 takes half the time of its exp; the factors of x are in the weights and in ``g``. A state h is
+        # kept as q = (1 - h) / 2, below which a row of ones gives the sums of the weights
+        factor = np.repeat(np.array([-1, 2]) * np.log2(np.e), [h2, HIDDEN])[:, None]
         weights = [np.vstack([factor * self.p[f"u{side}"].T, att[i][None], out[i][None]]) for i, side in enumerate("fb")]
+        weights = [np.hstack([-2 * w, w.sum(axis=1, keepdims=True)]).astype(np.float32) for w in weights]
+        factor, one = factor.astype(np.float32), np.float32(1)
         odds = np.empty(len(numbers) - WINDOW + 1, np.float32)
-        for k in range(0, len(odds), WINDOWS_AT_ONCE):
-            n = min(WINDOWS_AT_ONCE, len(odds) - k)
+        for k in range(0, len(odds), OFFSETS_AT_ONCE):
+            n = min(OFFSETS_AT_ONCE, len(odds) - k)
             total, both = np.zeros((WINDOW, 2, n), np.float32), np.empty((h3 + 2, n), np.float32)
             zr, z, r, hu, shares = both[:h2], both[:HIDDEN], both[HIDDEN:h2], both[h2:h3], both[h3:]
             for gate, w, order in zip(gates, weights, (range(WINDOW), range(WINDOW - 1, -1, -1)), strict=True):
-                g = np.ascontiguousarray(gate[numbers[k:k + n + WINDOW - 1]].T)
+                g = np.ascontiguousarray(gate.take(numbers[k:k + n + WINDOW - 1], axis=0).T)
                 g *= factor
-                h, before = np.zeros((HIDDEN, n), np.float32), None
+                state, before = np.ones((HIDDEN + 1, n), np.float32), None
+                q = state[:HIDDEN]
+                q *= 0.5
                 for t in order:
-                    np.matmul(w, h, out=both)
+                    np.matmul(w, state, out=both)
                     if before is not None:
                         total[before] += shares
                     before = t
                     zr += g[:h2, t:t + n]
-                    np.exp(zr, out=zr)
-                    zr += 1
+                    np.exp2(zr, out=zr)
+                    zr += one
                     np.divide(hu, r, out=r)
                     r += g[h2:, t:t + n]
-                    np.exp(r, out=r)
-                    r += 1
-                    np.divide(-2, r, out=r)
-                    r += 1  # the new state
-                    h -= r
-                    h /= z
-                    h += r
-                total[before] += w[h3:] @ h
+                    np.exp2(r, out=r)
+                    r += one
+                    np.reciprocal(r, out=r)  # the new state
+                    q -= r
+                    q /= z
+                    q += r
+                total[before] += w[h3:] @ state
             a = total[:, 0]
             a -= a.max(axis=0)
             np.exp(a, out=a)
@@ -292,16 +304,19 @@ class Reader:
         """Word numbers of each text; ``in_order``: of the new words, by alphabet."""
         if len(self.number) > MEMO_WORDS:
             self.clear()
-        cut = [t.split() for t in texts]
-        number = self.number
-        fresh = list(dict.fromkeys(w for ws in cut for w in ws if w not in number))
+        cut = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))  # as str.split(), but for empty ends
+        coded, number = cut.flatten().dictionary_encode(), self.number
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = [w for w in words if w and w not in number]
         if in_order:
             fresh.sort()
         number.update(zip(fresh, range(len(number) + 1, len(number) + len(fresh) + 1), strict=True))
         self.tables += [self.net.halves(self.net.gates(self.net.inputs(Rows(fresh[k:k + WORDS_AT_ONCE]))))
                         for k in range(0, len(fresh), WORDS_AT_ONCE)]
-        get = number.__getitem__
-        return [np.fromiter(map(get, ws), np.int32, len(ws)) for ws in cut]
+        found = np.fromiter(map(number.get, words, repeat(0)), np.int32, len(words))[coded.indices.to_numpy()]
+        there = found > 0
+        upto = np.concatenate([[0], np.cumsum(there)])[cut.offsets.to_numpy()[1:]]
+        return np.split(found[there], upto)[:-1]
 
     @property
     def gates(self) -> list[np.ndarray]:

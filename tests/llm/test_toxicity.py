@@ -160,3 +160,24 @@ def test_all_offsets_need_no_tanh_and_bear_extreme_sums(net, monkeypatch):
             m.setattr(X.np, "tanh", None)
             odds = net.every(gates, numbers)
         assert np.allclose(odds, want, rtol=1e-3, atol=1e-3)
+
+
+def test_steps_take_no_exp(net, monkeypatch):
+    """Only the attention weights do, once a word and window; a step's gates take exp2."""
+    g, taken, exp = np.random.default_rng(6), [], np.exp
+    gates = net.halves(g.standard_normal((50, 6 * X.HIDDEN)).astype(np.float32))
+    monkeypatch.setattr(X.np, "exp", lambda x, *a, **k: taken.append(np.size(x)) or exp(x, *a, **k))
+    odds = net.every(gates, g.integers(1, 50, 7000))
+    assert sum(taken) <= X.WINDOW * len(odds)
+
+
+def test_words_are_those_of_split(net):
+    """White space of any kind, at ends and repeated; words keep their numbers from block to block."""
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    texts = ["a" + s + "b" for s in map(chr, range(0x3100))] + ["", " ", "".join(spaces), " a  b ", "\n\x1fa\u3000\t", "中 é\x85😀 a"]
+    reader = X.Reader(net)
+    for part in (texts, [], [""], texts[::-1]):
+        got = reader.numbers(part)
+        assert len(got) == len(part) and all(x.dtype == np.int32 for x in got)
+        word = {n: w for w, n in reader.number.items()}
+        assert [[word[n] for n in x.tolist()] for x in got] == [t.split() for t in part]
