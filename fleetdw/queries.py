@@ -26,6 +26,7 @@ from fleetdw.plans import source_views as V
 from fleetdw.plans.facts import discards
 from fleetdw.plans.transform import TRANSFORMS
 from fleetdw.plans.star import DIM_ORDER, STAGING_KEYS, input_stamp, store_for
+from fleetdw.session import CODEC, fresh_scratch, hadoop_path, release
 from fleetdw.sources.adapters import Shapes
 from fleetdw.sources.declared_shapes import extended
 from fleetdw.sources.extract import ENTITIES, EXTRACTS, a_reserva
@@ -152,18 +153,36 @@ def _fact_query(name: str) -> Query:
 def _staging_query(entity: str) -> Query:
     """An entity's staging table after a batch of all four extracts, all their columns: keys of even
     length are staged already (``lote`` 0, the last version of each) and stay as they are;
-    of the batch, which holds every row twice, the first version of each new key is added."""
+    of the batch, which holds every row twice, the first version of each new key is added.
+
+    The source is part of the key, so one source is staged after the other, from its extract written
+    once: on disk there are the shuffles of one at a time."""
     def q(spark, sf_dir):
         src = _shapes(spark, sf_dir).all_sources()
         key = STAGING_KEYS[entity]
-        frames = [EXTRACTS[p][entity](src[p]) for p in "ABCD"]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                      [f.select(*[F.col(c).cast("string").alias(c) for c in f.columns]) for f in frames])
-        tie = sorted(c for c in rows.columns if c not in (key, "id_sistema_origem"))
-        staged = dedup_batch(rows.where(F.length(key) % 2 == 0), ["id_sistema_origem", key], tie, keep="last", probe=rows)
-        staged = staged.withColumn("lote", F.lit(0))
-        batch = rows.withColumn("lote", F.lit(1)).unionByName(rows.withColumn("lote", F.lit(2)))
-        return staged.unionByName(insert_ignore(staged, batch, ["id_sistema_origem", key], ["lote", *tie]))
+        frames = {p: EXTRACTS[p][entity](src[p]) for p in "ABCD"}
+        columns = list(dict.fromkeys(c for f in frames.values() for c in f.columns))
+        tie = sorted(c for c in columns if c not in (key, "id_sistema_origem"))
+
+        def staging_of(p: str) -> DataFrame:
+            rows = frames[p].select(*[(F.col(c) if c in frames[p].columns else F.lit(None)).cast("string").alias(c)
+                                      for c in columns])
+            extract = fresh_scratch(spark, f"extract-{p.lower()}-{entity}")
+            rows.write.parquet(extract, compression=CODEC)
+            rows = spark.read.schema(rows.schema).parquet(extract)
+            release(spark, extract)
+            staged = dedup_batch(rows.where(F.length(key) % 2 == 0), ["id_sistema_origem", key], tie, keep="last", probe=rows)
+            staged = staged.withColumn("lote", F.lit(0))
+            batch = rows.withColumn("lote", F.lit(1)).unionByName(rows.withColumn("lote", F.lit(2)))
+            out = staged.unionByName(insert_ignore(staged, batch, ["id_sistema_origem", key], ["lote", *tie]))
+            path, schema = fresh_scratch(spark, f"staged-{p.lower()}-{entity}"), out.schema
+            out.write.parquet(path, compression=CODEC)
+            del rows, staged, batch, out
+            release(spark, path)
+            fs, at = hadoop_path(spark, extract)
+            fs.delete(at, True)
+            return spark.read.schema(schema).parquet(path)
+        return reduce(lambda a, b: a.unionByName(b), [staging_of(p) for p in "ABCD"])
     q.__name__ = f"stg_{entity}"
     return q
 
